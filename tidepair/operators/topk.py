@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -27,3 +27,23 @@ def top_k(scores: DataFrame, measure: str, k: int = 20, digits: int | None = Non
         .orderBy(F.col("similarity").desc(), "series", "topic1", "topic2")
         .limit(k)
     )
+
+
+def best_per_measure(matches: DataFrame, k: int = 20, digits: int | None = None) -> DataFrame:
+    """(measure, position, series, topic1, topic2, similarity) for the rows of
+    ``top_matches``: the k best of every measure from one pass.
+
+    The limit on the position goes below the shuffle, so a map task passes on
+    at most k rows per measure.
+    """
+    score = F.col("similarity")
+    if digits is not None:
+        score = F.round(score, digits)
+    order = Window.partitionBy("measure").orderBy(
+        F.col("similarity").desc(), "series", "topic1", "topic2"
+    )
+    return (
+        matches.select("measure", "series", "topic1", "topic2", score.alias("similarity"))
+        .withColumn("position", F.row_number().over(order))
+        .where(F.col("position") <= k)
+    )

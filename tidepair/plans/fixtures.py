@@ -18,23 +18,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_prices(
-    spark: SparkSession, sf_dir: str, calendar: WeekdayCalendar | None = None
+def _events(
+    spark: SparkSession, sf_dir: str, calendar: WeekdayCalendar | None
 ) -> DataFrame:
-    """A price panel: one series per user, several rows per day.
+    """The events, within the bounds of a calendar if one is given.
 
-    With a calendar its bounds are put on the time stamp itself, where the
-    parquet reader can use them; a bound on the derived date stays above the
-    scan.
+    The bounds are put on the time stamp itself, where the parquet reader can
+    use them; a bound on the derived date stays above the scan.
     """
     events = table(spark, sf_dir, "events")
-    if calendar is not None:
-        after = calendar.end + timedelta(days=1)
-        events = events.where(
-            (F.col("ts") >= F.lit(calendar.start).cast("timestamp_ntz"))
-            & (F.col("ts") < F.lit(after).cast("timestamp_ntz"))
-        )
-    return events.select(
+    if calendar is None:
+        return events
+    after = calendar.end + timedelta(days=1)
+    return events.where(
+        (F.col("ts") >= F.lit(calendar.start).cast("timestamp_ntz"))
+        & (F.col("ts") < F.lit(after).cast("timestamp_ntz"))
+    )
+
+
+def event_prices(
+    spark: SparkSession, sf_dir: str, calendar: WeekdayCalendar | None = None
+) -> DataFrame:
+    """A price panel: one series per user, several rows per day."""
+    return _events(spark, sf_dir, calendar).select(
         F.concat(F.col("user_id").cast("string"), F.lit(".U")).alias("series"),
         F.col("ts").cast("date").alias("date"),
         "value",
@@ -42,9 +48,11 @@ def event_prices(
     )
 
 
-def event_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_visits(
+    spark: SparkSession, sf_dir: str, calendar: WeekdayCalendar | None = None
+) -> DataFrame:
     """Visits per event type and day; one row per event, each one visit."""
-    return table(spark, sf_dir, "events").select(
+    return _events(spark, sf_dir, calendar).select(
         F.col("event_type").alias("topic"),
         F.col("ts").cast("date").alias("date"),
         F.lit(1).alias("visit"),
