@@ -61,9 +61,15 @@ def window_cells(panes: DataFrame, size: str, slide: str) -> DataFrame:
     last pane.
     """
     last_pane = F.col("pane.end") == F.col("window.end")
+    spread = panes.withColumn("window", F.window(F.window_time("pane"), size, slide))
+    if not panes.isStreaming:
+        # The panes of a cell lie in different tasks, so a map-side combine
+        # finds nothing to do.  Partitioning by stream serves this sum and the
+        # gathering of sketches after it; a stream's share is bounded by its
+        # panes and cells.
+        spread = spread.repartition("window", "sid")
     return (
-        panes.withColumn("window", F.window(F.window_time("pane"), size, slide))
-        .groupBy("window", "sid", "f", "v")
+        spread.groupBy("window", "sid", "f", "v")
         .agg(
             F.sum("n").alias("n"),
             F.sum(F.when(last_pane, F.col("n")).otherwise(0)).alias("fresh"),
@@ -72,8 +78,10 @@ def window_cells(panes: DataFrame, size: str, slide: str) -> DataFrame:
 
 
 def _sketches(cells: DataFrame, family: HashFamily) -> DataFrame:
-    """One row per window and stream: its non-zero cells, at most depth x
-    buckets, and its squared norm under each function."""
+    """One row per window (if there are windows) and stream: its non-zero
+    cells, at most depth x buckets, and its squared norm under each function."""
+    keys = [c for c in ("window", "sid") if c in cells.columns]
+    window_end = F.unix_micros("window.end") if "window" in keys else F.lit(0).cast("bigint")
     cell = F.col("f") * F.lit(family.buckets) + F.col("v")
     entries = F.collect_list(
         F.struct(cell.cast("int").alias("cell"), F.col("n").cast("bigint").alias("n"))
@@ -84,10 +92,16 @@ def _sketches(cells: DataFrame, family: HashFamily) -> DataFrame:
         for f in range(family.depth)
     ]
     return (
-        cells.groupBy("window_end", "sid")
+        cells.groupBy(*keys)
         .agg(entries.alias("entries"), *norms)
-        .withColumns({"cells": F.col("entries.cell"), "counts": F.col("entries.n")})
-        .drop("entries")
+        .withColumns(
+            {
+                "window_end": window_end,
+                "cells": F.col("entries.cell"),
+                "counts": F.col("entries.n"),
+            }
+        )
+        .drop("entries", "window")
     )
 
 
@@ -140,8 +154,7 @@ def inner_products(
     cells: DataFrame, family: HashFamily, streams_per_block: int = STREAMS_PER_BLOCK
 ) -> DataFrame:
     """(sid1, sid2, f, product), sid1 > sid2, where the product is not zero."""
-    whole = cells.withColumn("window_end", F.lit(0).cast("bigint"))
-    found = _compare(whole, family, 0, True, streams_per_block)
+    found = _compare(cells, family, 0, True, streams_per_block)
     return found.select("sid1", "sid2", "f", F.col("similarity").alias("product"))
 
 
@@ -155,8 +168,7 @@ def sketch_similarity(
 
     A pair without a shared bucket under some function has similarity 0.
     """
-    whole = cells.withColumn("window_end", F.lit(0).cast("bigint"))
-    return _compare(whole, family, threshold, False, streams_per_block).drop("window_end")
+    return _compare(cells, family, threshold, False, streams_per_block).drop("window_end")
 
 
 def window_similarity(
@@ -166,7 +178,6 @@ def window_similarity(
     streams_per_block: int = STREAMS_PER_BLOCK,
 ) -> DataFrame:
     """(window_end, sid1, sid2, similarity) from :func:`window_cells`."""
-    keyed = cells.withColumn("window_end", F.unix_micros("window.end"))
-    return _compare(keyed, family, threshold, False, streams_per_block).withColumn(
+    return _compare(cells, family, threshold, False, streams_per_block).withColumn(
         "window_end", F.timestamp_micros("window_end")
     )

@@ -264,11 +264,16 @@ class TopCosineKernel(CosineKernel):
 class SketchKernel:
     """Inner products of stream sketches: side 0 is held, side 1 streams past.
 
-    The tile key ends in (row block, column block).  Products are sums of
-    non-negative integers; below 2^53 a float product is exact, above it the
-    same product is taken in 64-bit integers, and past 2^63 it is an error.
+    The tile key starts with the window and ends in (row block, column block).
+    Products are sums of non-negative integers; below 2^53 a float product is
+    exact, above it the same product is taken in 64-bit integers, and past 2^63
+    it is an error.
     """
 
+    # When fewer than one pair in this many passes the first function, the
+    # other functions are taken pair by pair rather than for the whole block.
+    SPARSE = 50
+
     def __init__(self, depth: int, buckets: int, threshold: int, per_function: bool) -> None:
         self.depth, self.buckets = depth, buckets
         self.threshold, self.per_function = threshold, per_function
@@ -300,44 +305,54 @@ class SketchKernel:
         blocks = dense.reshape(batch.num_rows, self.depth, self.buckets).transpose(1, 0, 2)
         return batch.column("sid").to_numpy(), blocks
 
-    def _product(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        if not a.size or not b.size:
-            return np.zeros((len(a), len(b)), dtype=np.int64)
+    def _exact(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Both blocks in a number type whose products and sums are exact."""
         bound = a.sum(axis=1, dtype=np.float64).max() * float(b.max())
         if bound < 2.0**53:
-            return np.rint(a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
+            return a.astype(np.float64), b.astype(np.float64)
         if bound >= 2.0**63:
             raise OverflowError("inner product does not fit 64 bits")
-        return a @ b.T
+        return a, b
 
     def _compare(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids, columns = self._dense(batch)
-        wanted = np.ones((len(self.row_ids), len(ids)), dtype=bool)
+        pairs = [self._exact(self.rows[f], columns[f]) for f in range(self.depth)]
+        first = pairs[0][0] @ pairs[0][1].T
+        hit = first > (0 if self.per_function else self.threshold)
         if self.same_block:
-            wanted = self.row_ids[:, None] > ids[None, :]
-        least = None
-        for f in range(self.depth):
-            product = self._product(self.rows[f], columns[f])
-            if self.per_function:
-                yield from self._emit(wanted & (product > 0), product, ids, f)
-                continue
-            least = product if least is None else np.minimum(least, product)
-            if not (wanted & (least > self.threshold)).any():
-                return
-        if not self.per_function:
-            yield from self._emit(wanted & (least > self.threshold), least, ids, None)
-
-    def _emit(self, hit, product, ids, f) -> Iterator[pa.RecordBatch]:
+            ordered = self.row_ids[:, None] > ids[None, :]
+            hit &= ordered
+        if self.per_function:
+            yield from self._emit(*np.nonzero(hit), first[hit], ids, 0)
+            for f in range(1, self.depth):
+                product = pairs[f][0] @ pairs[f][1].T
+                hit = product > 0
+                if self.same_block:
+                    hit &= ordered
+                yield from self._emit(*np.nonzero(hit), product[hit], ids, f)
+            return
         row, column = np.nonzero(hit)
+        least = first[row, column]
+        for a, b in pairs[1:]:
+            if len(row) * self.SPARSE > hit.size:
+                product = (a @ b.T)[row, column]
+            else:
+                product = np.einsum("ij,ij->i", a[row], b[column])
+            least = np.minimum(least, product)
+            kept = least > self.threshold
+            row, column, least = row[kept], column[kept], least[kept]
+        yield from self._emit(row, column, least, ids, None)
+
+    def _emit(self, row, column, product, ids, f) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(row), FLUSH_ROWS):
-            r, c = row[at:at + FLUSH_ROWS], column[at:at + FLUSH_ROWS]
-            one, two = self.row_ids[r], ids[c]
+            part = slice(at, at + FLUSH_ROWS)
+            one, two = self.row_ids[row[part]], ids[column[part]]
             arrays = {
-                "window_end": pa.array(np.full(len(r), self.window)),
+                "window_end": pa.array(np.full(len(one), self.window)),
                 "sid1": pa.array(np.maximum(one, two)),
                 "sid2": pa.array(np.minimum(one, two)),
             }
             if f is not None:
-                arrays["f"] = pa.array(np.full(len(r), f, dtype=np.int32))
-            arrays["similarity"] = pa.array(product[r, c])
+                arrays["f"] = pa.array(np.full(len(one), f, dtype=np.int32))
+            arrays["similarity"] = pa.array(product[part].astype(np.int64))
             yield pa.RecordBatch.from_pydict(arrays)

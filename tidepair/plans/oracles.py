@@ -14,6 +14,7 @@ from tidepair.plans.queries import (
     LATE_DAYS,
     LATE_ITEM,
     LIMIT,
+    MURMUR,
     PART_DAYS,
     WINDOW_THRESHOLD,
 )
@@ -150,6 +151,57 @@ cells AS (
 
 _SKETCH = ", ".join([_HASHES, _FEED, _CELLS])
 
+# Murmur3 (32 bit, seed 42) of a 64-bit integer, in arithmetic on numbers below
+# 2^64, one step per subquery.  Fixed values: the constants of the hash.
+_M = 4294967296
+
+
+def _times(x: str, factor: int) -> str:
+    return f"CAST((CAST({x} AS HUGEINT) * {factor}) % {_M} AS BIGINT)"
+
+
+def _rotate(x: str, bits: int) -> str:
+    return f"(({x} * {2**bits}) % {_M} + {x} // {2 ** (32 - bits)})"
+
+
+def _murmur3_cells() -> str:
+    steps = ["SELECT DISTINCT item FROM feed"]
+
+    def step(**columns: str) -> None:
+        named = ", ".join(f"{expr} AS {name}" for name, expr in columns.items())
+        steps.append(f"SELECT *, {named} FROM ({steps[-1]}) AS t{len(steps)}")
+
+    step(w0=f"((item % {_M}) + {_M}) % {_M}")
+    step(w1=f"((((item - w0) // {_M}) % {_M}) + {_M}) % {_M}")
+    state = "42"
+    for i, word in enumerate(("w0", "w1")):
+        step(**{f"k{i}": _times(word, 3432918353)})
+        step(**{f"r{i}": _rotate(f"k{i}", 15)})
+        step(**{f"x{i}": f"xor(CAST({state} AS BIGINT), {_times(f'r{i}', 461845907)})"})
+        step(**{f"s{i}": _rotate(f"x{i}", 13)})
+        step(**{f"h{i}": f"({_times(f's{i}', 5)} + 3864292196) % {_M}"})
+        state = f"h{i}"
+    step(f0=f"xor({state}, CAST(8 AS BIGINT))")
+    step(f1="xor(f0, f0 // 65536)")
+    step(f2=_times("f1", 2246822507))
+    step(f3="xor(f2, f2 // 8192)")
+    step(f4=_times("f3", 3266489909))
+    step(full_hash="xor(f4, f4 // 65536)")
+    seeds = ", ".join(f"({f}, {seed})" for f, seed in enumerate(MURMUR.seeds))
+    w = MURMUR.buckets
+    return f"""
+seeds(f, seed) AS (VALUES {seeds}),
+hashed AS (
+    SELECT item, CAST(f AS INTEGER) AS f,
+           CASE WHEN mixed >= {_M // 2} THEN mixed - {_M} ELSE mixed END AS signed
+    FROM (SELECT item, f, xor(full_hash, CAST(seed AS BIGINT)) AS mixed
+          FROM ({steps[-1]}) AS last CROSS JOIN seeds) AS all_functions),
+cells AS (
+    SELECT e.sid, h.f, CAST(((h.signed % {w}) + {w}) % {w} AS INTEGER) AS v, count(*) AS n
+    FROM feed e JOIN hashed h ON h.item = e.item GROUP BY 1, 2, 3)
+"""
+
+
 _PRODUCTS = """
 products AS (
     SELECT x.sid AS sid1, y.sid AS sid2, x.f AS f, CAST(sum(x.n * y.n) AS BIGINT) AS product
@@ -334,6 +386,12 @@ ORACLES: dict[str, str] = {
         _PRODUCTS,
         select=f" SELECT sid1, sid2, similarity FROM alike WHERE similarity > {FEED_THRESHOLD}",
     ),
+    "sketch_similarity_murmur3": _with(
+        _FEED,
+        _murmur3_cells(),
+        _PRODUCTS,
+        select=f" SELECT sid1, sid2, similarity FROM alike WHERE similarity > {FEED_THRESHOLD}",
+    ),
     "sketch_similarity_windows": _with(_HASHES, _FEED, _WINDOWS, select=_CLOSED_PAIRS),
     "stream_cells": _with(
         _HASHES,

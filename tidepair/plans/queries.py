@@ -75,7 +75,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 TIE = "event_id"
 DIGITS = 6
 HASHES = LinearHashes(buckets=64)
-MURMUR = Murmur3XorHashes(buckets=64)
+# Not a power of two: there, xor with a seed only renames the buckets.
+MURMUR = Murmur3XorHashes(buckets=61)
 FEED_THRESHOLD = 75
 WINDOW_THRESHOLD = 5
 SIZE, SLIDE, DELAY = "5 days", "1 day", "1 hour"
