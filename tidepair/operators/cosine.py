@@ -10,8 +10,9 @@ whose repeated rows are added up.
 
 Three forms with equal results:
 
-* :func:`cosine_aligned` ships vectors, not day rows: tiles of series blocks and
-  topic blocks, no broadcast, no row per (series, pair, day).  The default.
+* :func:`cosine_aligned` works on vectors in matrix blocks; there is no row per
+  (series, pair, day).  Small topic vectors go to the series by broadcast, large
+  ones meet them in tiles.  The default.
 * :func:`cosine_aligned_broadcast` joins on the date with the pair series
   broadcast, if they are small; else it is :func:`cosine_aligned`.
 * :func:`cosine_vectors` is SQL over arrays on the calendar.
@@ -20,6 +21,7 @@ Three forms with equal results:
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,14 +30,22 @@ from tidepair.functions.calendar import WeekdayCalendar
 from tidepair.functions.vectors import register_cosine
 from tidepair.operators.align import align_to_calendar, series_vectors, sparse_vectors, sum_visits
 from tidepair.operators.pairs import pair_series
-from tidepair.operators.tiles import CosineKernel, TopCosineKernel, run_tiles
+from tidepair.operators.tiles import (
+    CosineKernel,
+    TopCosineKernel,
+    run_tiles,
+    run_with_fixed,
+)
 from tidepair.session import materialize, shuffle_partitions, tile_side
 
-# Topics of one block: at 1,305 days a block is 21 MB in a task.
+# Topic vectors up to this size are broadcast to the series; larger ones meet
+# the series in tiles.
+TOPIC_BROADCAST_BYTES = 32 << 20
+# Topics of one block of a tile: at 1,305 days a block is 21 MB in a task.
 TOPICS_PER_BLOCK = 2048
 # Upper bound for the pair series in the broadcast form, and the size of one
 # of its rows (two names, a date and three doubles).
-BROADCAST_BYTES = 64 << 20
+PAIR_BROADCAST_BYTES = 64 << 20
 PAIR_ROW_BYTES = 96
 
 MEASURES = ("mean", "min", "max")
@@ -45,55 +55,77 @@ SCORE_SCHEMA = (
 TOP_SCHEMA = "measure string, series string, topic1 string, topic2 string, similarity double"
 
 
-def _cosine_tiles(
-    series: DataFrame, visits: DataFrame, topics_per_block: int
+def _run(
+    series: DataFrame,
+    visits: DataFrame,
+    kernel: Callable[[], CosineKernel],
+    schema: str,
+    topic_bytes: int,
+    topics_per_block: int,
 ) -> DataFrame:
-    """Rows for the kernel: topics of a tile as sides 0 and 1, series as side 2.
+    """Bring series vectors and topic vectors together in the kernel.
 
-    Topics are counted to choose the number of blocks.  Series are not: they
-    stream past, so their blocks only set the parallelism.
+    The topic vectors are written once and measured.  Series vectors are never
+    counted or gathered: they stream past.
     """
-    spark = series.sparkSession
     topics = materialize(sparse_vectors(sum_visits(visits), "topic", "visit"), "topics")
-    topic_blocks = max(1, math.ceil(topics.count() / topics_per_block))
+    vectors = sparse_vectors(series, "series", "value")
+    # a vector entry is a day number and a double
+    count, size = topics.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.size("days") * 12 + F.length("name")), F.lit(0))
+    ).first()
+    if size <= topic_bytes:
+        return run_with_fixed(vectors, topics.toArrow(), kernel, schema)
+    rows = _tiles(vectors, topics, max(1, math.ceil(count / topics_per_block)))
+    return run_tiles(rows, ["part", "low", "high"], "name", kernel, schema)
+
+
+def _tiles(vectors: DataFrame, topics: DataFrame, topic_blocks: int) -> DataFrame:
+    """Copies of topics as sides 0 and 1 of their tiles, and series as side 2.
+
+    A tile is two topic blocks (low <= high) and a part of the series.  The
+    number of parts sets the parallelism only.
+    """
     tiles = topic_blocks * (topic_blocks + 1) // 2
-    series_blocks = max(1, math.ceil(4 * shuffle_partitions(spark) / tiles))
+    parts = max(1, math.ceil(4 * shuffle_partitions(vectors.sparkSession) / tiles))
 
-    def from_to(first: Column, last: int) -> Column:
-        return F.explode(F.sequence(first, F.lit(last)))
+    def from_to(first: Column | int, last: Column | int) -> Column:
+        first, last = (F.lit(v) if isinstance(v, int) else v for v in (first, last))
+        return F.explode(F.sequence(first, last))
 
-    block = F.pmod(F.xxhash64("name"), F.lit(topic_blocks)).cast("int")
-    by_block = topics.withColumn("block", block)
-    left = by_block.withColumn("low", F.col("block")).withColumn(
-        "high", from_to(F.col("block"), topic_blocks - 1)
-    )
-    right = by_block.withColumn("high", F.col("block")).withColumn(
-        "low", F.explode(F.sequence(F.lit(0), F.col("block")))
+    own = F.pmod(F.xxhash64("name"), F.lit(topic_blocks)).cast("int")
+    blocks = topics.withColumn("own", own)
+    # A block is side 1 of the tiles in which it is high, its tile with itself
+    # included, and side 0 of those in which it is low.
+    high = blocks.select(
+        "*", F.lit(1).alias("side"), F.col("own").alias("high"), from_to(0, F.col("own")).alias("low")
     )
-    tile = ["part", "low", "high", "side", "name", "days", "vals"]
-    fixed = (
-        left.withColumn("side", F.lit(0))
-        .unionByName(right.withColumn("side", F.lit(1)))
-        .withColumn("part", from_to(F.lit(0), series_blocks - 1))
-        .select(tile)
+    low = blocks.where(F.col("own") < topic_blocks - 1).select(
+        "*",
+        F.lit(0).alias("side"),
+        F.col("own").alias("low"),
+        from_to(F.col("own") + 1, topic_blocks - 1).alias("high"),
     )
+    columns = ["part", "low", "high", "side", "name", "days", "vals"]
+    fixed = high.unionByName(low).withColumn("part", from_to(0, parts - 1)).select(columns)
     streamed = (
-        sparse_vectors(series, "series", "value")
-        .withColumn("part", F.pmod(F.xxhash64("name"), F.lit(series_blocks)).cast("int"))
+        vectors.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int"))
         .withColumn("side", F.lit(2))
-        .withColumn("low", from_to(F.lit(0), topic_blocks - 1))
+        .withColumn("low", from_to(0, topic_blocks - 1))
         .withColumn("high", from_to(F.col("low"), topic_blocks - 1))
-        .select(tile)
+        .select(columns)
     )
     return fixed.unionByName(streamed)
 
 
 def cosine_aligned(
-    series: DataFrame, visits: DataFrame, topics_per_block: int = TOPICS_PER_BLOCK
+    series: DataFrame,
+    visits: DataFrame,
+    topic_bytes: int = TOPIC_BROADCAST_BYTES,
+    topics_per_block: int = TOPICS_PER_BLOCK,
 ) -> DataFrame:
     """(series, topic1, topic2, cos_mean, cos_min, cos_max) for every triple."""
-    rows = _cosine_tiles(series, visits, topics_per_block)
-    return run_tiles(rows, ["part", "low", "high"], "name", CosineKernel, SCORE_SCHEMA)
+    return _run(series, visits, CosineKernel, SCORE_SCHEMA, topic_bytes, topics_per_block)
 
 
 def top_matches(
@@ -102,6 +134,7 @@ def top_matches(
     k: int = 20,
     measures: tuple[str, ...] = MEASURES,
     digits: int | None = None,
+    topic_bytes: int = TOPIC_BROADCAST_BYTES,
     topics_per_block: int = TOPICS_PER_BLOCK,
 ) -> DataFrame:
     """(measure, series, topic1, topic2, similarity): a superset of the best k
@@ -111,13 +144,14 @@ def top_matches(
     Give the result to :func:`tidepair.operators.topk.top_k`.
     """
     slack = 0.0 if digits is None else 10.0**-digits
-    rows = _cosine_tiles(series, visits, topics_per_block)
-    return run_tiles(
-        rows,
-        ["part", "low", "high"],
-        "name",
-        lambda: TopCosineKernel(k, tuple(measures), slack),
+    wanted = tuple(measures)
+    return _run(
+        series,
+        visits,
+        lambda: TopCosineKernel(k, wanted, slack),
         TOP_SCHEMA,
+        topic_bytes,
+        topics_per_block,
     )
 
 
@@ -150,7 +184,7 @@ def pair_scores(joined: DataFrame) -> DataFrame:
 def cosine_aligned_broadcast(
     series: DataFrame,
     visits: DataFrame,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int = PAIR_BROADCAST_BYTES,
 ) -> DataFrame:
     """As :func:`cosine_aligned`, by a date join with the pair series broadcast.
 

@@ -8,22 +8,25 @@ is never below the exact inner product of their item counts.
 Streams meet in tiles of sketch blocks (a matrix product per function), not by
 a join on buckets: a popular item makes one bucket hot, and a join would emit
 every pair of streams in it.  Here a bucket is a matrix column and only pairs
-above the threshold are emitted.
+above the threshold are emitted.  Blocks of streams that are too small to reach
+the threshold with each other are never brought together.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepair.functions.hashing import DEFAULT_THRESHOLD, HashFamily, hashed_cells
 from tidepair.operators.tiles import SketchKernel, run_tiles
-from tidepair.session import materialize
+from tidepair.session import materialize, shuffle_partitions
 
-# Streams of a block: at 5 x 3000 buckets a block is 120 MB in a task.
-STREAMS_PER_BLOCK = 1024
+# Memory of one block of dense sketches in a task.
+BLOCK_BYTES = 128 << 20
+# A block is not cut below this many streams for the sake of parallelism.
+MIN_BLOCK = 128
 
 
 def _count_cells(feed: DataFrame, keys: list[str], family: HashFamily) -> DataFrame:
@@ -105,44 +108,111 @@ def _sketches(cells: DataFrame, family: HashFamily) -> DataFrame:
     )
 
 
+def _blocks(
+    sketches: DataFrame, family: HashFamily, threshold: int, streams_per_block: int | None
+) -> tuple[Column, Column, int]:
+    """(block of a stream, first block it can have a partner in, blocks).
+
+    Streams are blocked by the power of two below their squared norm under the
+    first function, shorter ones first, and by a hash among equals.  An inner
+    product is at most the product of the norms, so a stream's partners above
+    the threshold lie in a run of blocks that ends with the last one; tiles
+    outside it are never made.
+    """
+    spark = sketches.sparkSession
+    power = F.floor(F.log2("square0")).cast("int")
+    # one row per power of two: the most streams it has in a window
+    counts = (
+        sketches.groupBy("window_end", power.alias("power"))
+        .agg(F.count(F.lit(1)).alias("streams"))
+        .groupBy("power")
+        .agg(F.max("streams").alias("streams"), F.count(F.lit(1)).alias("windows"))
+        .orderBy("power")
+        .collect()
+    )
+    if not counts:
+        return F.lit(0), F.lit(0), 1
+    capacity = BLOCK_BYTES // (family.depth * family.buckets * 8)
+    size = streams_per_block or max(1, min(8192, capacity))
+    if streams_per_block is None:
+        streams = sum(r["streams"] for r in counts)
+        windows = max(r["windows"] for r in counts)
+        spread = math.ceil(math.sqrt(8 * shuffle_partitions(spark) / windows))
+        size = min(size, max(MIN_BLOCK, math.ceil(streams / spread)))
+    # Neighbouring powers share blocks until a block is full.
+    groups: list[tuple[list[int], int]] = []
+    for r in counts:
+        powers, streams = groups[-1] if groups else ([], 0)
+        if groups and streams + r["streams"] <= size:
+            groups[-1] = ([*powers, r["power"]], streams + r["streams"])
+        else:
+            groups.append(([r["power"]], r["streams"]))
+    first, width, longest, total = {}, {}, {}, 0
+    for powers, streams in groups:
+        blocks = math.ceil(streams / size)
+        for p in powers:
+            first[p], width[p], longest[p] = total, blocks, powers[-1]
+        total += blocks
+    # squares below 2^(p+1) and 2^(q+1) can pass only if p + q + 2 > log2(t^2)
+    needed = 2 * math.log2(threshold) - 2 - 1e-6 if threshold > 0 else -math.inf
+    partner = {
+        p: min((first[q] for q in first if longest[p] + longest[q] >= needed), default=total)
+        for p in first
+    }
+
+    def of_power(values: dict[int, int]) -> Column:
+        pairs = [F.lit(v) for item in values.items() for v in item]
+        return F.element_at(F.create_map(*pairs), power)
+
+    hashed = F.pmod(F.xxhash64("sid"), of_power(width)).cast("int")
+    return of_power(first) + hashed, of_power(partner), total
+
+
 def _compare(
     cells: DataFrame,
     family: HashFamily,
     threshold: int,
     per_function: bool,
-    streams_per_block: int,
+    streams_per_block: int | None,
 ) -> DataFrame:
     sketches = materialize(_sketches(cells, family), "sketches")
-    squares = [f"square{f}" for f in range(family.depth)]
-    # An inner product is at most the product of the norms, under every
-    # function.  A stream that cannot pass the threshold even with the longest
-    # stream of its window has no partner and need not be compared.
-    longest = sketches.groupBy("window_end").agg(
-        F.count(F.lit(1)).alias("streams"), *(F.max(s).alias(f"max_{s}") for s in squares)
+    own, partner, blocks = _blocks(
+        sketches, family, 0 if per_function else threshold, streams_per_block
     )
-    most = longest.agg(F.max("streams")).first()[0] or 0
-    blocks = max(1, math.ceil(most / streams_per_block))
     candidates = sketches
     if threshold > 0 and not per_function:
+        # A stream that cannot pass the threshold even with the longest stream
+        # of its window, under some function, has no partner.
+        squares = [f"square{f}" for f in range(family.depth)]
+        longest = sketches.groupBy("window_end").agg(
+            *(F.max(s).alias(f"max_{s}") for s in squares)
+        )
         floor = float(threshold) ** 2 * (1 - 1e-9)
         can_pass = F.lit(True)
         for s in squares:
             can_pass = can_pass & (F.col(s) * F.col(f"max_{s}") > floor)
         candidates = sketches.join(longest, "window_end").where(can_pass)
-    block = F.pmod(F.xxhash64("sid"), F.lit(blocks)).cast("int")
-    named = candidates.select("window_end", "sid", "cells", "counts", block.alias("own"))
-    rows = named.withColumns({"low": F.col("own"), "side": F.lit(0)}).withColumn(
-        "high", F.explode(F.sequence(F.col("own"), F.lit(blocks - 1)))
+    named = candidates.select(
+        "window_end", "sid", "cells", "counts", own.alias("own"), partner.alias("partner")
+    )
+    rows = (
+        named.where(F.col("partner") < blocks)
+        .withColumns({"low": F.col("own"), "side": F.lit(0)})
+        .withColumn(
+            "high", F.explode(F.sequence(F.greatest("own", "partner"), F.lit(blocks - 1)))
+        )
     )
-    columns = named.withColumns({"high": F.col("own"), "side": F.lit(1)}).withColumn(
-        "low", F.explode(F.sequence(F.lit(0), F.col("own")))
+    columns = (
+        named.where("partner <= own")
+        .withColumns({"high": F.col("own"), "side": F.lit(1)})
+        .withColumn("low", F.explode(F.sequence("partner", "own")))
     )
     depth, buckets = family.depth, family.buckets
     schema = "window_end bigint, sid1 bigint, sid2 bigint, similarity bigint"
     if per_function:
         schema = "window_end bigint, sid1 bigint, sid2 bigint, f int, similarity bigint"
     return run_tiles(
-        rows.unionByName(columns).drop("own"),
+        rows.unionByName(columns).drop("own", "partner"),
         ["window_end", "low", "high"],
         "sid",
         lambda: SketchKernel(depth, buckets, threshold, per_function),
@@ -151,7 +221,7 @@ def _compare(
 
 
 def inner_products(
-    cells: DataFrame, family: HashFamily, streams_per_block: int = STREAMS_PER_BLOCK
+    cells: DataFrame, family: HashFamily, streams_per_block: int | None = None
 ) -> DataFrame:
     """(sid1, sid2, f, product), sid1 > sid2, where the product is not zero."""
     found = _compare(cells, family, 0, True, streams_per_block)
@@ -162,7 +232,7 @@ def sketch_similarity(
     cells: DataFrame,
     family: HashFamily,
     threshold: int = 0,
-    streams_per_block: int = STREAMS_PER_BLOCK,
+    streams_per_block: int | None = None,
 ) -> DataFrame:
     """(sid1, sid2, similarity), sid1 > sid2, where it is above ``threshold``.
 
@@ -175,7 +245,7 @@ def window_similarity(
     cells: DataFrame,
     family: HashFamily,
     threshold: int = DEFAULT_THRESHOLD,
-    streams_per_block: int = STREAMS_PER_BLOCK,
+    streams_per_block: int | None = None,
 ) -> DataFrame:
     """(window_end, sid1, sid2, similarity) from :func:`window_cells`."""
     return _compare(cells, family, threshold, False, streams_per_block).withColumn(

@@ -6,6 +6,9 @@ task sees the tiles one after another, and in each tile the small fixed sides
 before the long one.  The kernel holds only the fixed sides of one tile; the
 last side flows past in Arrow batches and is never gathered.  Both kernels are
 dense matrix products on blocks, of bounded size.
+
+If all of the fixed side is small, it is broadcast instead and the long side is
+not moved at all.
 """
 
 from __future__ import annotations
@@ -61,6 +64,29 @@ def run_tiles(
     return tiled.mapInArrow(drive, schema)
 
 
+def run_with_fixed(
+    rows: DataFrame, fixed: pa.Table, kernel: Callable[[], Any], schema: str
+) -> DataFrame:
+    """One tile whose fixed side 1 is broadcast, so ``rows`` (side 2) stay where
+    they are.  The caller has checked the size of ``fixed``."""
+    cloudpickle.register_pickle_by_value(tidepair)
+    buffer = pa.BufferOutputStream()
+    with pa.ipc.new_stream(buffer, fixed.schema) as writer:
+        writer.write_table(fixed)
+    shared = rows.sparkSession.sparkContext.broadcast(buffer.getvalue().to_pybytes())
+
+    def drive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = kernel()
+        state.open((0, 0))
+        for batch in pa.ipc.open_stream(shared.value):
+            list(state.feed(1, batch))
+        for batch in batches:
+            if batch.num_rows:
+                yield from state.feed(2, batch)
+
+    return rows.mapInArrow(drive, schema)
+
+
 def list_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     """A list column as (row number of each entry, entries)."""
     column = batch.column(name)
@@ -69,22 +95,24 @@ def list_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarra
     return np.repeat(np.arange(len(column)), lengths), entries
 
 
+def _cosine(product: np.ndarray, x_norm: np.ndarray, y_norm: np.ndarray) -> np.ndarray:
+    norm = x_norm * y_norm
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(norm > 0, product / norm, np.nan)
+
+
 class CosineKernel:
     """Scores of series (side 2) against pairs of topics (sides 0 and 1).
 
-    A tile holds one block of topics for each side; if the two are the same
-    block, each unordered pair of it is taken once.
+    A tile holds one block of topics for each side.  A tile of one block with
+    itself gets side 1 only, and takes each unordered pair of it once.
     """
 
     MEASURES = ("mean", "min", "max")
 
-    def __init__(self) -> None:
-        self.topics: list[list[pa.RecordBatch]] = [[], []]
-        self.ready = False
-
     def open(self, tile: tuple[int, ...]) -> None:
         self.same_block = tile[-2] == tile[-1]
-        self.topics = [[], []]
+        self.topics: list[list[pa.RecordBatch]] = [[], []]
         self.ready = False
 
     def feed(self, side: int, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -93,36 +121,36 @@ class CosineKernel:
             return
         if not self.ready:
             self._prepare()
-        for at in range(0, batch.num_rows, CHUNK):
+        for at in range(0, batch.num_rows if len(self.days) else 0, CHUNK):
             yield from self._score(batch.slice(at, CHUNK))
 
     def _prepare(self) -> None:
-        """Lay both blocks of topics out as (topic, day) matrices."""
-        sides = [[(b, *list_column(b, "days"), list_column(b, "vals")[1]) for b in side]
-                 for side in self.topics]
-        all_days = [days for side in sides for _, _, days, _ in side]
-        self.days = np.unique(np.concatenate(all_days)) if all_days else np.empty(0, np.int32)
-        self.names: list[str] = []
-        self.values, self.present = [], []
-        for side in sides:
-            names = [n for b, *_ in side for n in b.column("name").to_pylist()]
-            values = np.zeros((len(names), len(self.days)))
-            present = np.zeros(values.shape)
-            first = 0
-            for b, row, days, vals in side:
-                column = np.searchsorted(self.days, days)
-                values[first + row, column] = vals
-                present[first + row, column] = 1.0
-                first += b.num_rows
-            self.values.append(values)
-            self.present.append(present)
-            self.names += names
-        self.left_count = len(self.values[0])
-        self.name_array = pa.array(self.names, pa.string())
-        self.complete = all(p.all() for p in self.present)
+        """Lay the blocks of topics out as (topic, day) matrices."""
+        sides = [[b for b in side if b.num_rows] for side in self.topics]
+        days = [list_column(b, "days")[1] for side in sides for b in side]
+        self.days = np.unique(np.concatenate(days)) if days else np.empty(0, np.int32)
+        laid_out = [self._matrix(side) for side in sides]
+        left, right = laid_out[1 if self.same_block else 0], laid_out[1]
+        self.left_names, self.left, self.left_present = left
+        self.right_names, self.right, self.right_present = right
+        self.names = pa.array(self.left_names + self.right_names, pa.string())
+        present = (self.left_present, self.right_present)
+        self.complete = all(m.all() for m in present)
+        self.non_negative = all((m >= 0).all() for m in (self.left, self.right))
+        self.left_square = (self.left**2).sum(axis=1)
+        self.right_square = (self.right**2).sum(axis=1)
         self.ready = True
 
-    def _series_block(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    def _matrix(self, batches: list[pa.RecordBatch]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        parts = [self._block(b) for b in batches]
+        if not parts:
+            empty = np.zeros((0, len(self.days)))
+            return [], empty, empty
+        names = [n for b in batches for n in b.column("name").to_pylist()]
+        return names, *(np.concatenate(m) for m in zip(*parts))
+
+    def _block(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Rows as (values, presence) over the days of the tile's topics."""
         row, days = list_column(batch, "days")
         vals = list_column(batch, "vals")[1]
         values = np.zeros((batch.num_rows, len(self.days)))
@@ -135,54 +163,56 @@ class CosineKernel:
         return values, present
 
     def _score(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        if not len(self.days):
-            return
-        x, x_present = self._series_block(batch)
-        complete = self.complete and bool(x_present.all())
-        x_square = x * x
-        right, right_present = self.values[1], self.present[1]
-        first_name = self.left_count
+        x, x_present = self._block(batch)
         self._begin(batch)
-        for i in range(self.left_count):
-            name = self.names[i]
-            partners = np.arange(len(right))
+        if self.complete and self.non_negative and x_present.all():
+            score = self._score_complete
+            known = x @ self.right.T, np.sqrt((x * x).sum(axis=1))
+        else:
+            score = self._score_shared
+            known = x * x, x_present
+        for i, name in enumerate(self.left_names):
+            partners = np.arange(len(self.right_names))
             if self.same_block:
-                partners = np.array(
-                    [j for j in partners if name < self.names[first_name + j]], dtype=np.int64
-                )
+                after = [j for j in partners if name < self.right_names[j]]
+                partners = np.array(after, dtype=np.int64)
             if not len(partners):
                 continue
-            b = right[partners]
-            shared = self.present[0][i] * right_present[partners]
-            a = self.values[0][i]
-            joined = {
-                "mean": (a + b) / 2 * shared,
-                "min": np.minimum(a, b) * shared,
-                "max": np.maximum(a, b) * shared,
-            }
-            if complete:
-                x_norm = np.sqrt(x_square.sum(axis=1))[:, None]
-                met = None
-            else:
-                x_norm = np.sqrt(x_square @ shared.T)
-                met = (x_present @ shared.T) > 0
-            scores = []
-            for measure in self.MEASURES:
-                y = joined[measure]
-                if complete:
-                    y_norm = np.sqrt((y * y).sum(axis=1))[None, :]
-                else:
-                    y_norm = np.sqrt(x_present @ (y * y).T)
-                norm = x_norm * y_norm
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    scores.append(np.where(norm > 0, (x @ y.T) / norm, np.nan))
-            swapped = np.array([self.names[first_name + j] < name for j in partners])
-            other = first_name + partners
-            topic1 = np.where(swapped, other, i)
-            topic2 = np.where(swapped, i, other)
+            scores, met = score(i, partners, x, *known)
+            first = np.array([name < self.right_names[j] for j in partners])
+            other = len(self.left_names) + partners
+            topic1, topic2 = np.where(first, i, other), np.where(first, other, i)
             yield from self._take(scores, met, topic1, topic2)
         yield from self._end()
 
+    def _score_complete(self, i, partners, x, x_right, x_norm):
+        """All have every day and visits are not negative.  The mean and the
+        maximum then follow from the minimum, as max = a + b - min, so one
+        matrix product is left to do."""
+        a, b = self.left[i], self.right[partners]
+        low = np.minimum(a, b)
+        both = (x @ a)[:, None] + x_right[:, partners]
+        x_low = x @ low.T
+        squares = self.left_square[i] + self.right_square[partners]
+        low_square = (low * low).sum(axis=1)
+        scores = [
+            _cosine(both / 2, x_norm[:, None], np.sqrt((squares + 2 * (b @ a)) / 4)),
+            _cosine(x_low, x_norm[:, None], np.sqrt(low_square)),
+            _cosine(both - x_low, x_norm[:, None], np.sqrt(squares - low_square)),
+        ]
+        return scores, None
+
+    def _score_shared(self, i, partners, x, x_square, x_present):
+        """Sums and norms over the days that the series and both topics have."""
+        a, b = self.left[i], self.right[partners]
+        shared = self.left_present[i] * self.right_present[partners]
+        x_norm = np.sqrt(x_square @ shared.T)
+        scores = []
+        for y in ((a + b) / 2, np.minimum(a, b), np.maximum(a, b)):
+            y = y * shared
+            scores.append(_cosine(x @ y.T, x_norm, np.sqrt(x_present @ (y * y).T)))
+        return scores, (x_present @ shared.T) > 0
+
     # -- results: every score -------------------------------------------------
 
     def _begin(self, batch: pa.RecordBatch) -> None:
@@ -205,8 +235,8 @@ class CosineKernel:
             yield pa.RecordBatch.from_arrays(
                 [
                     self.series_array.take(pa.array(series)),
-                    self.name_array.take(pa.array(topic1)),
-                    self.name_array.take(pa.array(topic2)),
+                    self.names.take(pa.array(topic1)),
+                    self.names.take(pa.array(topic2)),
                     *(pa.array(s, from_pandas=True) for s in scores),
                 ],
                 names=["series", "topic1", "topic2", "cos_mean", "cos_min", "cos_max"],
@@ -224,7 +254,6 @@ class TopCosineKernel(CosineKernel):
     """
 
     def __init__(self, k: int, measures: tuple[str, ...], slack: float) -> None:
-        super().__init__()
         self.k, self.measures, self.slack = k, measures, slack
         self.best = {m: np.full(k, -np.inf) for m in measures}
 
@@ -252,8 +281,8 @@ class TopCosineKernel(CosineKernel):
                 [
                     pa.array(list(self.MEASURES)).take(pa.array(measure)),
                     self.series_array.take(pa.array(series)),
-                    self.name_array.take(pa.array(topic1)),
-                    self.name_array.take(pa.array(topic2)),
+                    self.names.take(pa.array(topic1)),
+                    self.names.take(pa.array(topic2)),
                     pa.array(score),
                 ],
                 names=["measure", "series", "topic1", "topic2", "similarity"],
