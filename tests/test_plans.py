@@ -1,0 +1,116 @@
+"""The physical plans that the design relies on."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import re
+
+import pytest
+
+from tidepair.functions.hashing import LinearHashes
+from tidepair.operators.clean import clean_series, clean_series_relational
+from tidepair.operators.cosine import (
+    cosine_aligned,
+    cosine_aligned_broadcast,
+    cosine_vectors,
+    top_matches,
+)
+from tidepair.operators.pairs import pair_series, topic_pairs
+from tidepair.operators.sketch import pane_cells, sketch_cells, sketch_similarity, window_cells
+from tidepair.operators.topk import best_per_measure, top_k
+from tidepair.plans.fixtures import EVENT_CALENDAR, event_feed, event_prices, event_visits
+
+SF_DIR = "/root/testdata/sf0.001"
+FAMILY = LinearHashes(buckets=16)
+
+
+def plan(df) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    # the tree, then the details of each node
+    return out.getvalue()
+
+
+def nodes(text: str, name: str) -> int:
+    tree = text.split("\n\n\n")[0]
+    return len(re.findall(rf"[+:*\- ]{name} \(", tree))
+
+
+@pytest.fixture(scope="module")
+def prices(spark):
+    return event_prices(spark, SF_DIR, EVENT_CALENDAR)
+
+
+@pytest.fixture(scope="module")
+def visits(spark):
+    return event_visits(spark, SF_DIR, EVENT_CALENDAR)
+
+
+@pytest.fixture(scope="module")
+def cleaned(prices):
+    return clean_series(prices, EVENT_CALENDAR, tie="event_id")
+
+
+def test_clean_has_two_shuffles_one_sort_and_a_pushed_filter(cleaned):
+    text = plan(cleaned)
+    assert nodes(text, "Exchange") == 2 and nodes(text, "Sort") == 1
+    assert "partial_min_by" in text and "SortAggregate" not in text
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts,.*LessThan\(ts,", text)
+    assert "props" not in re.search(r"ReadSchema: (.*)", text).group(1)
+
+
+def test_no_python_rows_no_cartesian_products(spark, prices, visits, cleaned):
+    feed = event_feed(spark, SF_DIR)
+    plans = [
+        cleaned,
+        clean_series_relational(prices, EVENT_CALENDAR, 2, "event_id"),
+        cosine_aligned(cleaned, visits),
+        cosine_aligned(cleaned, visits, topic_bytes=0, topics_per_block=2),
+        cosine_aligned_broadcast(cleaned, visits),
+        cosine_vectors(cleaned, visits, EVENT_CALENDAR),
+        topic_pairs(visits),
+        pair_series(visits),
+        window_cells(pane_cells(feed, FAMILY, "1 day"), "5 days", "1 day"),
+        sketch_similarity(sketch_cells(feed, FAMILY), FAMILY, 5),
+    ]
+    for df in plans:
+        text = plan(df)
+        for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "SinglePartition"):
+            assert banned not in text, text
+
+
+def test_vectors_of_a_clean_panel_are_not_shuffled_again(cleaned, visits):
+    text = plan(cosine_aligned(cleaned, visits))
+    assert "MapInArrow" in text and nodes(text, "Exchange") == 2
+
+
+def test_broadcast_form_sums_without_a_further_shuffle(cleaned, visits):
+    tree = plan(cosine_aligned_broadcast(cleaned, visits)).split("\n\n\n")[0]
+    above_join = tree[: tree.index("BroadcastHashJoin")]
+    assert "Exchange" not in above_join and above_join.count("HashAggregate") == 2
+
+
+def test_broadcast_form_gives_way_to_tiles_when_pairs_are_many(cleaned, visits):
+    text = plan(cosine_aligned_broadcast(cleaned, visits, broadcast_bytes=100))
+    assert "BroadcastHashJoin" not in text and "MapInArrow" in text
+
+
+def test_window_cells_and_sketches_share_one_partitioning(spark):
+    feed = event_feed(spark, SF_DIR)
+    cells = window_cells(pane_cells(feed, FAMILY, "1 day"), "5 days", "1 day")
+    assert nodes(plan(cells), "Exchange") == 2
+    assert nodes(plan(cells.groupBy("window", "sid").count()), "Exchange") == 2
+
+
+def test_cells_are_counted_before_the_shuffle(spark):
+    text = plan(sketch_cells(event_feed(spark, SF_DIR), FAMILY))
+    assert nodes(text, "Exchange") == 1 and "partial_count" in text
+    assert "value" not in re.search(r"ReadSchema: (.*)", text).group(1)
+
+
+def test_top_k_is_taken_without_a_full_sort(cleaned, visits):
+    matches = top_matches(cleaned, visits, 20)
+    assert "TakeOrderedAndProject" in plan(top_k(matches, "mean", 20))
+    assert "WindowGroupLimit" in plan(best_per_measure(matches, 20))

@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from tidepair.functions.names import numeric_prefix
+from tidepair.operators.dictionary import build_dictionary, decode, encode
+from tidepair.functions.prefix import with_running_total
+from tidepair.session import shared_folder
+from tidepair.sources.series import (
+    read_prices,
+    read_visits,
+    read_visits_untyped,
+    write_prices,
+    write_visits,
+)
+
+
+def lines(spark, rows):
+    path = shared_folder(spark, "csv")
+    spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def test_prices_with_malformed_fields(spark):
+    path = lines(
+        spark,
+        ["1.A,01/02/2016,10.5,100", "2.B,2016-01-02,3,1", "3.C,01/04/2016,abc,1", "4.D,02/30/2016,1,1"],
+    )
+    got = sorted(tuple(r) for r in read_prices(spark, path).collect())
+    assert got == [
+        ("1.A", date(2016, 1, 2), 10.5),
+        ("2.B", None, 3.0),
+        ("3.C", date(2016, 1, 4), None),
+        ("4.D", None, 1.0),
+    ]
+
+
+def test_visits_typed_and_untyped(spark):
+    rows = ["topic,date,visit", "a,01/02/2016,5", "b,01/03/2016,x"]
+    path = lines(spark, rows)
+    want = [("a", date(2016, 1, 2), 5), ("b", date(2016, 1, 3), None)]
+    assert sorted(tuple(r) for r in read_visits(spark, path).collect()) == want
+    assert sorted(tuple(r) for r in read_visits_untyped(spark, path).collect()) == want
+    iso = lines(spark, ["visit,topic,date", "5,a,2016-01-02"])
+    assert [tuple(r) for r in read_visits_untyped(spark, iso).collect()] == want[:1]
+
+
+def test_round_trip(spark):
+    rows = [("1.A", date(2020, 2, 29), 1.25, 3), ("2.B", date(2016, 12, 1), None, None)]
+    df = spark.createDataFrame(rows, "series string, date date, value double, volume int")
+    path = shared_folder(spark, "csv")
+    write_prices(df, path)
+    assert sorted(tuple(r) for r in read_prices(spark, path).collect()) == [r[:3] for r in rows]
+    visits = spark.createDataFrame([("t", date(2020, 1, 1), 4)], "topic string, date date, visit int")
+    path = shared_folder(spark, "csv")
+    write_visits(visits, path)
+    assert [tuple(r) for r in read_visits(spark, path).collect()] == [("t", date(2020, 1, 1), 4)]
+
+
+def test_volume_is_not_read(spark, capsys):
+    path = lines(spark, ["1.A,01/02/2016,10.5,100"])
+    read_prices(spark, path).explain("formatted")
+    assert "ReadSchema: struct<series:string,date:date,value:double>" in capsys.readouterr().out
+
+
+def test_numeric_prefix(spark):
+    names = ["12.A", "x.1", "7", "", "99999999999.Z", "3.4.5"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = [r.p for r in df.select(numeric_prefix(F.col("n")).alias("p")).collect()]
+    assert got == [12, None, 7, None, None, 3]
+
+
+def test_dictionary_is_dense_sorted_and_lossless(spark):
+    names = [f"n{i % 501:04d}" for i in range(3000)] + [None]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, row long")
+    book = build_dictionary(df, "name")
+    rows = sorted(tuple(r) for r in book.table.select("id", "name").collect())
+    assert rows == list(enumerate(sorted(set(names[:-1])))) and book.size == 501
+    coded = encode(df, book, "name", "name_id")
+    back = decode(coded, book, "name_id", "name")
+    want = {(n, i) for i, n in enumerate(names) if n is not None}
+    assert {(r.name, r.row) for r in back.collect()} == want and back.count() == 3000
+
+
+def test_large_dictionary_is_joined_with_salt(spark, monkeypatch, capsys):
+    import tidepair.operators.dictionary as module
+
+    rows = [("hot" if i % 3 else f"n{i}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "name string, row long")
+    book = build_dictionary(df, "name")
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 10)
+    coded = encode(df, book, "name", "name_id")
+    coded.explain()
+    assert "_salt" in capsys.readouterr().out
+    assert {(r.name, r.row) for r in decode(coded, book, "name_id", "name").collect()} == set(rows)
+
+
+def test_running_total(spark):
+    df = spark.range(1000).selectExpr("(id * 7919) % 1000 AS at", "id % 5 AS amount").repartition(7)
+    got = {r.at: r.total for r in with_running_total(df, "at", "amount", "total").collect()}
+    amounts = {(i * 7919) % 1000: i % 5 for i in range(1000)}
+    total = 0
+    for at in range(1000):
+        total += amounts[at]
+        assert got[at] == total
+
+
+def test_shared_folder_uses_the_session_setting(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
+    root = root or spark.sparkContext.getCheckpointDir()
+    assert one != two and one.startswith(root.rstrip("/"))

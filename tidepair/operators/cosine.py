@@ -252,5 +252,6 @@ def cosine_vectors(
                cosine_similarity(s.vector, p.min) AS cos_min,
                cosine_similarity(s.vector, p.max) AS cos_max
         FROM series_copies s JOIN pair_copies p USING (series_block, pair_block)
+        WHERE exists(zip_with(s.vector, p.mean, (a, b) -> a IS NOT NULL AND b IS NOT NULL), t -> t)
         """
     )
