@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepair.functions.prefix import with_running_total
-from tidepair.session import BROADCAST_ROWS
+from tidepair.session import BROADCAST_ROWS, materialize
 
 # Copies of a dictionary row, and parts of a hot name's rows, in a salted join.
 SALTS = 16
@@ -31,8 +31,8 @@ def build_dictionary(df: DataFrame, column: str) -> Dictionary:
         .withColumn("_one", F.lit(1).cast("bigint"))
     )
     numbered = with_running_total(names, "name", "_one", "id")
-    table = numbered.select("name", (F.col("id") - 1).alias("id"))
-    return Dictionary(table, numbered.select("_one").count())
+    table = materialize(numbered.select("name", (F.col("id") - 1).alias("id")), "dictionary")
+    return Dictionary(table, table.count())
 
 
 def _look_up(df: DataFrame, lookup: DataFrame, key: str, size: int) -> DataFrame:

@@ -14,7 +14,8 @@ def limit_series(panel: DataFrame, n: int = 1000) -> DataFrame:
 
     Names without a number come first; names with the same number are taken in
     name order.  The chosen names are at most ``n`` rows, so they are broadcast
-    when ``n`` is within the bound, and the panel is not shuffled.
+    when ``n`` is within the bound, and the panel is not shuffled.  The panel is
+    read twice, the first time for its names only, so give it a table.
     """
     chosen = (
         panel.select("series")

@@ -23,8 +23,10 @@ from tidepair.functions.hashing import DEFAULT_THRESHOLD, HashFamily, hashed_cel
 from tidepair.operators.tiles import SketchKernel, run_tiles
 from tidepair.session import materialize, shuffle_partitions
 
-# Memory of one block of dense sketches in a task.
-BLOCK_BYTES = 128 << 20
+# Memory of one block of dense sketches (32-bit counts) in a task, and the
+# most streams of a block.
+BLOCK_BYTES = 256 << 20
+MAX_BLOCK = 4096
 # A block is not cut below this many streams for the sake of parallelism.
 MIN_BLOCK = 128
 
@@ -80,9 +82,13 @@ def window_cells(panes: DataFrame, size: str, slide: str) -> DataFrame:
     )
 
 
-def _sketches(cells: DataFrame, family: HashFamily) -> DataFrame:
-    """One row per window (if there are windows) and stream: its non-zero
-    cells, at most depth x buckets, and its squared norm under each function."""
+def build_sketches(cells: DataFrame, family: HashFamily) -> DataFrame:
+    """One row per window (if there are windows) and stream, written once.
+
+    A row holds the non-zero cells of the stream, at most depth x buckets, its
+    squared norm under each function, and its number of events; the events of
+    the window's last pane too, if the cells know them.
+    """
     keys = [c for c in ("window", "sid") if c in cells.columns]
     window_end = F.unix_micros("window.end") if "window" in keys else F.lit(0).cast("bigint")
     cell = F.col("f") * F.lit(family.buckets) + F.col("v")
@@ -90,13 +96,20 @@ def _sketches(cells: DataFrame, family: HashFamily) -> DataFrame:
         F.struct(cell.cast("int").alias("cell"), F.col("n").cast("bigint").alias("n"))
     )
     n = F.col("n").cast("double")
-    norms = [
+    sums = [
         F.sum(F.when(F.col("f") == f, n * n).otherwise(0.0)).alias(f"square{f}")
         for f in range(family.depth)
     ]
-    return (
+    # every event is in one cell of each function
+    counts = {"n": "events", "fresh": "fresh"}
+    sums += [
+        F.sum(F.when(F.col("f") == 0, F.col(c)).otherwise(0)).alias(name)
+        for c, name in counts.items()
+        if c in cells.columns
+    ]
+    sketches = (
         cells.groupBy(*keys)
-        .agg(entries.alias("entries"), *norms)
+        .agg(entries.alias("entries"), *sums)
         .withColumns(
             {
                 "window_end": window_end,
@@ -106,6 +119,7 @@ def _sketches(cells: DataFrame, family: HashFamily) -> DataFrame:
         )
         .drop("entries", "window")
     )
+    return materialize(sketches, "sketches")
 
 
 def _blocks(
@@ -132,8 +146,8 @@ def _blocks(
     )
     if not counts:
         return F.lit(0), F.lit(0), 1
-    capacity = BLOCK_BYTES // (family.depth * family.buckets * 8)
-    size = streams_per_block or max(1, min(8192, capacity))
+    capacity = BLOCK_BYTES // (family.depth * family.buckets * 4)
+    size = streams_per_block or max(1, min(MAX_BLOCK, capacity))
     if streams_per_block is None:
         streams = sum(r["streams"] for r in counts)
         windows = max(r["windows"] for r in counts)
@@ -169,13 +183,12 @@ def _blocks(
 
 
 def _compare(
-    cells: DataFrame,
+    sketches: DataFrame,
     family: HashFamily,
     threshold: int,
     per_function: bool,
     streams_per_block: int | None,
 ) -> DataFrame:
-    sketches = materialize(_sketches(cells, family), "sketches")
     own, partner, blocks = _blocks(
         sketches, family, 0 if per_function else threshold, streams_per_block
     )
@@ -224,7 +237,7 @@ def inner_products(
     cells: DataFrame, family: HashFamily, streams_per_block: int | None = None
 ) -> DataFrame:
     """(sid1, sid2, f, product), sid1 > sid2, where the product is not zero."""
-    found = _compare(cells, family, 0, True, streams_per_block)
+    found = _compare(build_sketches(cells, family), family, 0, True, streams_per_block)
     return found.select("sid1", "sid2", "f", F.col("similarity").alias("product"))
 
 
@@ -238,7 +251,8 @@ def sketch_similarity(
 
     A pair without a shared bucket under some function has similarity 0.
     """
-    return _compare(cells, family, threshold, False, streams_per_block).drop("window_end")
+    sketches = build_sketches(cells, family)
+    return _compare(sketches, family, threshold, False, streams_per_block).drop("window_end")
 
 
 def window_similarity(
@@ -248,6 +262,16 @@ def window_similarity(
     streams_per_block: int | None = None,
 ) -> DataFrame:
     """(window_end, sid1, sid2, similarity) from :func:`window_cells`."""
-    return _compare(cells, family, threshold, False, streams_per_block).withColumn(
+    return compare_windows(build_sketches(cells, family), family, threshold, streams_per_block)
+
+
+def compare_windows(
+    sketches: DataFrame,
+    family: HashFamily,
+    threshold: int = DEFAULT_THRESHOLD,
+    streams_per_block: int | None = None,
+) -> DataFrame:
+    """As :func:`window_similarity`, from :func:`build_sketches`."""
+    return _compare(sketches, family, threshold, False, streams_per_block).withColumn(
         "window_end", F.timestamp_micros("window_end")
     )

@@ -329,7 +329,9 @@ class SketchKernel:
     def _dense(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         row, cells = list_column(batch, "cells")
         counts = list_column(batch, "counts")[1]
-        dense = np.zeros((batch.num_rows, self.depth * self.buckets), dtype=np.int64)
+        small = not len(counts) or counts.max() < 2**31
+        shape = (batch.num_rows, self.depth * self.buckets)
+        dense = np.zeros(shape, dtype=np.int32 if small else np.int64)
         dense[row, cells] = counts
         blocks = dense.reshape(batch.num_rows, self.depth, self.buckets).transpose(1, 0, 2)
         return batch.column("sid").to_numpy(), blocks
@@ -341,12 +343,12 @@ class SketchKernel:
             return a.astype(np.float64), b.astype(np.float64)
         if bound >= 2.0**63:
             raise OverflowError("inner product does not fit 64 bits")
-        return a, b
+        return a.astype(np.int64), b.astype(np.int64)
 
     def _compare(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids, columns = self._dense(batch)
-        pairs = [self._exact(self.rows[f], columns[f]) for f in range(self.depth)]
-        first = pairs[0][0] @ pairs[0][1].T
+        a, b = self._exact(self.rows[0], columns[0])
+        first = a @ b.T
         hit = first > (0 if self.per_function else self.threshold)
         if self.same_block:
             ordered = self.row_ids[:, None] > ids[None, :]
@@ -354,7 +356,8 @@ class SketchKernel:
         if self.per_function:
             yield from self._emit(*np.nonzero(hit), first[hit], ids, 0)
             for f in range(1, self.depth):
-                product = pairs[f][0] @ pairs[f][1].T
+                a, b = self._exact(self.rows[f], columns[f])
+                product = a @ b.T
                 hit = product > 0
                 if self.same_block:
                     hit &= ordered
@@ -362,7 +365,10 @@ class SketchKernel:
             return
         row, column = np.nonzero(hit)
         least = first[row, column]
-        for a, b in pairs[1:]:
+        for f in range(1, self.depth):
+            if not len(row):
+                return
+            a, b = self._exact(self.rows[f], columns[f])
             if len(row) * self.SPARSE > hit.size:
                 product = (a @ b.T)[row, column]
             else:

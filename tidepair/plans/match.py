@@ -10,6 +10,7 @@ from tidepair.operators.clean import clean_series
 from tidepair.operators.cosine import MEASURES, top_matches
 from tidepair.operators.select import limit_series
 from tidepair.operators.topk import best_per_measure
+from tidepair.session import materialize
 
 
 def prepare_series(
@@ -19,9 +20,15 @@ def prepare_series(
     max_gap: int = 1,
     tie: str | None = None,
 ) -> DataFrame:
-    """Cleaned series, and of those the first ``max_series`` by name number."""
+    """Cleaned series, and of those the first ``max_series`` by name number.
+
+    With a limit the cleaned panel is written once, since choosing the names
+    and taking their rows would otherwise both clean from the start.
+    """
     cleaned = clean_series(prices, calendar, max_gap, tie)
-    return cleaned if max_series is None else limit_series(cleaned, max_series)
+    if max_series is None:
+        return cleaned
+    return limit_series(materialize(cleaned, "cleaned"), max_series)
 
 
 def match_series(

@@ -29,7 +29,7 @@ from tidepair.operators.cosine import (
 )
 from tidepair.operators.dictionary import build_dictionary, decode, encode
 from tidepair.operators.pairs import pair_series, topic_pairs
-from tidepair.operators.select import describe_series, limit_series
+from tidepair.operators.select import describe_series
 from tidepair.operators.sketch import (
     inner_products,
     pane_cells,
@@ -48,7 +48,7 @@ from tidepair.plans.fixtures import (
     sale_prices,
     sale_visits,
 )
-from tidepair.plans.match import match_series
+from tidepair.plans.match import match_series, prepare_series
 from tidepair.session import shared_folder
 from tidepair.sources.feed import naive_utc, parse_feed
 from tidepair.sources.series import (
@@ -249,7 +249,9 @@ def clean_panel_relational(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("limit_series")
 def limit_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return limit_series(_clean(spark, sf_dir), LIMIT).select("series", _day(), "value")
+    prices = event_prices(spark, sf_dir, EVENT_CALENDAR)
+    chosen = prepare_series(prices, EVENT_CALENDAR, LIMIT, tie=TIE)
+    return chosen.select("series", _day(), "value")
 
 
 @register("describe_series")

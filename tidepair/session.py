@@ -18,25 +18,31 @@ def build_session(
     app_name: str = "tidepair",
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    state_on_disk: bool = False,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """A session in UTC with adaptive execution.
 
     On a cluster leave ``master`` and ``shuffle_partitions`` to the deployment;
     adaptive execution coalesces small shuffle partitions and splits skewed
-    join partitions.
+    join partitions.  ``state_on_disk`` keeps streaming state in RocksDB instead
+    of on the heap: slower for small state, needed for large.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master is not None:
         builder = builder.master(master)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if state_on_disk:
+        builder = builder.config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
