@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidepair.functions.hashing import DEFAULT_THRESHOLD, HashFamily, hashed_cells
 from tidepair.operators.tiles import SketchKernel, run_tiles
-from tidepair.session import materialize, shuffle_partitions
+from tidepair.session import BROADCAST_ROWS, materialize, shuffle_partitions
 
 # Memory of one block of dense sketches (32-bit counts) in a task, and the
 # most streams of a block.
@@ -124,8 +124,9 @@ def build_sketches(cells: DataFrame, family: HashFamily) -> DataFrame:
 
 def _blocks(
     sketches: DataFrame, family: HashFamily, threshold: int, streams_per_block: int | None
-) -> tuple[Column, Column, int]:
-    """(block of a stream, first block it can have a partner in, blocks).
+) -> tuple[Column, Column, int, int]:
+    """(block of a stream, first block it can have a partner in, number of
+    blocks, upper bound of the number of windows).
 
     Streams are blocked by the power of two below their squared norm under the
     first function, shorter ones first, and by a hash among equals.  An inner
@@ -145,7 +146,7 @@ def _blocks(
         .collect()
     )
     if not counts:
-        return F.lit(0), F.lit(0), 1
+        return F.lit(0), F.lit(0), 1, 0
     capacity = BLOCK_BYTES // (family.depth * family.buckets * 4)
     size = streams_per_block or max(1, min(MAX_BLOCK, capacity))
     if streams_per_block is None:
@@ -179,7 +180,8 @@ def _blocks(
         return F.element_at(F.create_map(*pairs), power)
 
     hashed = F.pmod(F.xxhash64("sid"), of_power(width)).cast("int")
-    return of_power(first) + hashed, of_power(partner), total
+    windows_at_most = sum(r["windows"] for r in counts)
+    return of_power(first) + hashed, of_power(partner), total, windows_at_most
 
 
 def _compare(
@@ -189,7 +191,7 @@ def _compare(
     per_function: bool,
     streams_per_block: int | None,
 ) -> DataFrame:
-    own, partner, blocks = _blocks(
+    own, partner, blocks, windows = _blocks(
         sketches, family, 0 if per_function else threshold, streams_per_block
     )
     candidates = sketches
@@ -200,6 +202,9 @@ def _compare(
         longest = sketches.groupBy("window_end").agg(
             *(F.max(s).alias(f"max_{s}") for s in squares)
         )
+        # one row per window; a window holds too many streams to be a join key
+        if windows <= BROADCAST_ROWS:
+            longest = F.broadcast(longest)
         floor = float(threshold) ** 2 * (1 - 1e-9)
         can_pass = F.lit(True)
         for s in squares:
