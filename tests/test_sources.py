@@ -90,7 +90,7 @@ def test_large_dictionary_is_joined_with_salt(spark, monkeypatch, capsys):
     rows = [("hot" if i % 3 else f"n{i}", i) for i in range(3000)]
     df = spark.createDataFrame(rows, "name string, row long")
     book = build_dictionary(df, "name")
-    monkeypatch.setattr(module, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(module, "BROADCAST_BYTES", 10)
     coded = encode(df, book, "name", "name_id")
     coded.explain()
     assert "_salt" in capsys.readouterr().out

@@ -44,9 +44,9 @@ TOPIC_BROADCAST_BYTES = 32 << 20
 # Topics of one block of a tile: at 1,305 days a block is 21 MB in a task.
 TOPICS_PER_BLOCK = 2048
 # Upper bound for the pair series in the broadcast form, and the size of one
-# of its rows (two names, a date and three doubles).
+# of its rows without the two names (a date, three doubles, row overhead).
 PAIR_BROADCAST_BYTES = 64 << 20
-PAIR_ROW_BYTES = 96
+PAIR_ROW_BYTES = 72
 
 MEASURES = ("mean", "min", "max")
 SCORE_SCHEMA = (
@@ -72,7 +72,7 @@ def _run(
     vectors = sparse_vectors(series, "series", "value")
     # a vector entry is a day number and a double
     count, size = topics.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.size("days") * 12 + F.length("name")), F.lit(0))
+        F.count(F.lit(1)), F.coalesce(F.sum(F.size("days") * 12 + F.octet_length("name")), F.lit(0))
     ).first()
     if size <= topic_bytes:
         return run_with_fixed(vectors, topics.toArrow(), kernel, schema)
@@ -194,9 +194,12 @@ def cosine_aligned_broadcast(
     it the tiled form takes over.
     """
     summed = materialize(sum_visits(visits), "visits")
-    counts = summed.agg(F.count(F.lit(1)), F.count_distinct("topic")).first()
-    estimate = counts[0] * max(counts[1] - 1, 0) / 2 * PAIR_ROW_BYTES
-    if estimate > broadcast_bytes:
+    rows, topics, name = summed.agg(
+        F.count(F.lit(1)), F.count_distinct("topic"), F.max(F.octet_length("topic"))
+    ).first()
+    # a row of a topic meets at most every other topic, once per pair
+    at_most = rows * max(topics - 1, 0) / 2 * (PAIR_ROW_BYTES + 2 * (name or 0))
+    if at_most > broadcast_bytes:
         return cosine_aligned(series, summed)
     usable = series.where("series IS NOT NULL AND value IS NOT NULL")
     return pair_scores(usable.join(F.broadcast(pair_series(summed)), "date"))

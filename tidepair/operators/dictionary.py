@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepair.functions.prefix import with_running_total
-from tidepair.session import BROADCAST_ROWS, materialize
+from tidepair.session import materialize
 
+# A dictionary up to this size is broadcast; a row has an id and some overhead
+# besides the name.
+BROADCAST_BYTES = 32 << 20
+ROW_BYTES = 40
 # Copies of a dictionary row, and parts of a hot name's rows, in a salted join.
 SALTS = 16
 
@@ -20,6 +24,7 @@ class Dictionary:
 
     table: DataFrame
     size: int
+    bytes: int
 
 
 def build_dictionary(df: DataFrame, column: str) -> Dictionary:
@@ -32,7 +37,8 @@ def build_dictionary(df: DataFrame, column: str) -> Dictionary:
     )
     numbered = with_running_total(names, "name", "_one", "id")
     table = materialize(numbered.select("name", (F.col("id") - 1).alias("id")), "dictionary")
-    return Dictionary(table, table.count())
+    size, total = table.agg(F.count(F.lit(1)), F.sum(F.octet_length("name") + ROW_BYTES)).first()
+    return Dictionary(table, size, total or 0)
 
 
 def _look_up(df: DataFrame, lookup: DataFrame, key: str, size: int) -> DataFrame:
@@ -41,7 +47,7 @@ def _look_up(df: DataFrame, lookup: DataFrame, key: str, size: int) -> DataFrame
     A small dictionary is broadcast.  A large one is joined on (key, salt):
     the rows of a hot key are spread over the salts by their own content.
     """
-    if size <= BROADCAST_ROWS:
+    if size <= BROADCAST_BYTES:
         return df.join(F.broadcast(lookup), key)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -51,10 +57,10 @@ def _look_up(df: DataFrame, lookup: DataFrame, key: str, size: int) -> DataFrame
 def encode(df: DataFrame, dictionary: Dictionary, column: str, id_column: str) -> DataFrame:
     """Replace a name column by its id."""
     lookup = dictionary.table.select(F.col("name").alias(column), F.col("id").alias(id_column))
-    return _look_up(df, lookup, column, dictionary.size).drop(column)
+    return _look_up(df, lookup, column, dictionary.bytes).drop(column)
 
 
 def decode(df: DataFrame, dictionary: Dictionary, id_column: str, column: str) -> DataFrame:
     """Replace an id column by its name."""
     lookup = dictionary.table.select(F.col("id").alias(id_column), F.col("name").alias(column))
-    return _look_up(df, lookup, id_column, dictionary.size).drop(id_column)
+    return _look_up(df, lookup, id_column, dictionary.bytes).drop(id_column)

@@ -129,7 +129,7 @@ def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("csv_scan_series")
 def csv_scan_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "prices")
-    prices = event_prices(spark, sf_dir).withColumn("volume", F.col("event_id").cast("int"))
+    prices = event_prices(spark, sf_dir).withColumn("volume", (F.col("event_id") % 1_000_000).cast("int"))
     write_prices(prices, path)
     return read_prices(spark, path).select("series", _day(), "value")
 
@@ -138,7 +138,7 @@ def csv_scan_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_scan_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "visits")
     write_visits(_summed(spark, sf_dir), path)
-    return read_visits(spark, path).select("topic", _day(), F.col("visit").cast("bigint"))
+    return read_visits(spark, path).select("topic", _day(), "visit")
 
 
 @register("csv_scan_visits_untyped")
@@ -150,7 +150,7 @@ def csv_scan_visits_untyped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _summed(spark: SparkSession, sf_dir: str) -> DataFrame:
     summed = sum_visits(event_visits(spark, sf_dir))
-    return summed.withColumn("visit", F.col("visit").cast("int"))
+    return summed.withColumn("visit", F.col("visit").cast("bigint"))
 
 
 @register("feed_lines")

@@ -8,9 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A lookup table of at most this many rows may be broadcast (about 10 MB of
-# names and ids).  Every broadcast hint in the package is behind this bound or
-# behind an explicit byte estimate; larger sides are shuffled.
+# A table of at most this many short rows may be broadcast.  Every broadcast in
+# the package is behind this bound or a bound in bytes; larger sides are shuffled.
 BROADCAST_ROWS = 100_000
 
 

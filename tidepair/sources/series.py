@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # File layout of the two inputs.
 DATE_FORMAT = "MM/dd/yyyy"
 PRICE_SCHEMA = "series string, date date, value double, volume int"
-VISIT_SCHEMA = "topic string, date date, visit int"
+VISIT_SCHEMA = "topic string, date date, visit bigint"
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
