@@ -2,19 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import pii, secrets
+from .common import held_out, table
+from .decontaminate import find_passages, hit_words
 from .exact_dedup import duplicate_groups
+from .language_id import identify_language, train
 from .mixing import taken_words
+from .pii import scan_personal_data
+from .secrets import scan_secrets
 from .url_filter import judge_urls
 
 
+def _spelt(spans: Column, kinds: tuple[str, ...]) -> Column:
+    """kind:start:end of spans by start, then in the order of ``kinds``, then of the others."""
+    order = F.array(*(F.lit(k) for k in kinds))
+    place = lambda s: F.coalesce(F.nullif(F.array_position(order, s["kind"]), F.lit(0)), F.lit(len(kinds) + 1))
+    ranked = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], place(s), s["kind"], s["end"])))
+    return F.array_join(F.transform(ranked, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _span_columns(found: str, kinds: tuple[str, ...]) -> list[Column]:
+    of = lambda k: F.filter(found, lambda s: s["kind"] == k)
+    base = F.filter(found, lambda s: s["kind"].isin(*kinds))
+    return [
+        *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in kinds),
+        F.sha2(_spelt(base, kinds), 256).alias("base_sha256"),
+        _spelt(F.col(found), kinds).alias("spans"),
+    ]
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *_span_columns("found", secrets.BASE))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return find_passages(docs, benchmark, ["doc_id"]).select(
+        "doc_id",
+        "n_words",
+        hit_words().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_personal_data(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select("doc_id", *_span_columns("found", pii.BASE))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(table(spark, sf_dir, "documents"))
 
@@ -24,6 +69,13 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify_language(docs, train(docs), ["doc_id"]).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -33,12 +85,49 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
+OP4_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size,
+    array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS win
+  FROM item_words, LATERAL (SELECT unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i)
+  WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS win
+  FROM doc_words, sizes, LATERAL (SELECT unnest(range(1, len(w) - size + 2)) AS i)
+  WHERE len(w) >= size),
+hits AS (SELECT doc_id, item_id, i, places.size FROM places JOIN windows USING (size, win)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit
+  FROM hits, LATERAL (SELECT unnest(range(0, size)) AS k) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
 REGISTRY = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_secrets": op2_secrets,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_pii": op5_pii,
     "op6_mixing": op6_mixing,
     "op7_url_filter": op7_url_filter,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op4_decontaminate": OP4_SQL,
 }
