@@ -1,0 +1,26 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """A frame of (doc_id, text) rows, with the other columns of the table."""
+
+    def make(rows, extra="", values=()):
+        full = [(i, t, "en", f"src{(i or 0) % 3}", len(t or ""), *values) for i, t in rows]
+        return spark.createDataFrame(full, DOCUMENTS + extra)
+
+    return make
+
+
+@pytest.fixture
+def rng():
+    return random.Random(7)
+
+
+ODD_TEXTS = [None, "", " ", "\n\t", "a", "é", "x" * 50_000, "word " * 20_000, "ß  \U0001f600" * 50]

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, shuffle_partitions
 from .common import WORD, whole_text
 
 BLOCK = 64
@@ -161,7 +161,8 @@ def slots(sources: DataFrame, seed: int = 0) -> DataFrame:
     """(source, slot, index, shard, place) for (source, source_blocks, slots):
     which block a slot takes, and the output shard and place that it fills.
 
-    Slots are made in chunks that are dealt to all tasks.
+    Slots are made in chunks that are dealt to all tasks; a number of partitions is
+    stated, as adaptive execution would put the short rows of chunks into one task.
     """
     before = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, -1
@@ -171,7 +172,7 @@ def slots(sources: DataFrame, seed: int = 0) -> DataFrame:
         .withColumn("_first", F.coalesce(F.sum("slots").over(before), F.lit(0)))
         .withColumn("_all", F.sum("slots").over(Window.partitionBy()))
         .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(slots - 1) div {CHUNK}"))))
-        .repartition("source", "_chunk")
+        .repartition(shuffle_partitions(sources.sparkSession), "source", "_chunk")
     )
     begin = F.col("_chunk") * CHUNK
     each = chunks.withColumn(
@@ -228,7 +229,8 @@ def taken_words(docs: DataFrame, seed: int = 0) -> DataFrame:
     held, mix = mix_plan(docs, seed)
     uses = mix.groupBy("source", "index").agg(F.count("*").alias("_uses"))
     taken = F.coalesce(F.col("_uses"), F.lit(0)) * F.coalesce("words", F.lit(0))
-    joined = _by_source(held, uses, "index", how="left").withColumn("_taken", taken)
+    # one row for each block: never broadcast, though its size is estimated from the sources'
+    joined = _by_source(held, uses.hint("merge"), "index", how="left").withColumn("_taken", taken)
     keys = ["source", "part", "row", "doc_id", "size", "source_size", "target"]
     return (
         joined.groupBy(*keys)
