@@ -11,6 +11,7 @@ from .decontaminate import find_passages, hit_words
 from .exact_dedup import duplicate_groups
 from .language_id import identify_language, train
 from .mixing import taken_words
+from .ngram_join import near_duplicates
 from .pii import scan_personal_data
 from .secrets import scan_secrets
 from .url_filter import judge_urls
@@ -76,6 +77,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -125,6 +132,7 @@ REGISTRY = {
     "op6_mixing": op6_mixing,
     "op7_url_filter": op7_url_filter,
     "op8_language_id": op8_language_id,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLES = {
