@@ -1,0 +1,111 @@
+"""Repeated passages against a table of all strings."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import pytest
+
+from tidepair.llm import queries, suffix_dedup
+from tidepair.llm.suffix_dedup import deep_shallow_order, repeated_strings, without_repeats
+
+from .conftest import ODD_TEXTS
+
+N = 200
+
+
+def expected(rows):
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    seen = Counter(hash(t[p : p + N]) for _, t in texts for p in range(len(t) - N + 1))
+    out = []
+    for i, t in texts:
+        gone = bytearray(len(t) + 1)
+        reach = 0
+        for p in range(len(t) - N + 1):
+            if seen[hash(t[p : p + N])] > 1:
+                for q in range(max(p, reach), p + N):
+                    gone[q] = 1
+                reach = p + N
+        left = bytes(b for b, g in zip(t, gone, strict=False) if not g)
+        number = sum(1 for a, b in zip([0, *gone], gone, strict=False) if b and not a)
+        out.append((i, len(t), sum(gone), number, hashlib.sha256(left).hexdigest()))
+    return sorted(out, key=str)
+
+
+def rows_of(df):
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_whole_table(spark, sf):
+    path = f"/root/testdata/{sf}"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
+    assert rows_of(queries.op9_suffix_dedup(spark, path)) == expected(rows)
+
+
+def passages(rng):
+    def fresh(n):
+        return "".join(rng.choice("abcdefgh éß") for _ in range(n))
+
+    p, q = fresh(260), fresh(200)
+    rows = [(i, fresh(rng.randrange(150)) + p[rng.randrange(60) :] + fresh(50)) for i in range(30)]
+    rows += [(100 + i, fresh(40) + q[: 198 + i] + fresh(30) + q[i:]) for i in range(3)]
+    rows += [(200, p + p), (201, fresh(199)), (202, fresh(200)), (203, "ab" * 400), (204, "z" * 1000)]
+    rows += [(300 + i, t) for i, t in enumerate(ODD_TEXTS)]
+    rows += [(400, p), (401, p), (400, p), (None, q)]
+    return rows
+
+
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 4])
+def test_planted_and_odd_rows(documents, rng, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rows = passages(rng)
+    assert rows_of(without_repeats(documents(rows, ", n_bytes int, spans int", (1, 2)), ["doc_id"])) == expected(rows)
+
+
+def test_long_texts_in_pieces(documents, rng):
+    long = "".join(rng.choice("abcdefgh ") for _ in range((1 << 20) + 5000))
+    rows = [(1, long), (2, "x" + long[(1 << 20) - 300 : (1 << 20) + 300]), (3, long[100:400])]
+    assert rows_of(without_repeats(documents(rows), ["doc_id"])) == expected(rows)
+    assert without_repeats(documents([]), ["doc_id"]).count() == 0
+
+
+def test_kept_text_and_other_columns(documents):
+    rows = [(1, "a" * 150 + "b" * 150), (2, "zz" + "a" * 150 + "b" * 150)]
+    kept = without_repeats(documents(rows, ", n_bytes int", (5,)), ["doc_id", "source"], kept_text=True)
+    assert {r["doc_id"]: bytes(r["kept_bytes"]) for r in kept.collect()} == {1: b"", 2: b"zz"}
+
+
+def test_order_of_suffixes(rng):
+    for size in (1, 2, 3, 40):
+        strings = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(12))) for _ in range(size)]
+        strings += [b"q" * 70 + s for s in strings] * 2
+        for shallow in (0, 4, 64):
+            order = deep_shallow_order(strings, shallow)
+            assert sorted(order) == list(range(len(strings)))
+            assert [strings[i] for i in order] == sorted(strings)
+
+
+def test_strings_of_one_bucket(rng):
+    anchor = bytes(rng.randrange(256) for _ in range(32))
+    contexts, anchors, counts = [], [], []
+    for _ in range(25):
+        before = bytes(rng.choice(b"ab") for _ in range(rng.choice((0, 3, 60, 168))))
+        before = (b"c" * 168 + before)[-rng.choice((10, 100, 168)) :] if rng.random() < 0.7 else before
+        after = b"d" * rng.choice((10, 100, 160)) + bytes(rng.choice(b"ab") for _ in range(160))
+        contexts.append((before + anchor + after)[: len(before) + N])
+        anchors.append(len(before))
+        counts.append(len(contexts[-1]) - N + 1)
+    contexts, anchors, counts = zip(*{c: (c, a, n) for c, a, n in zip(contexts, anchors, counts) if n > 0}.values())
+    found = repeated_strings(list(contexts), list(anchors), list(counts))
+    for i, c in enumerate(contexts):
+        got = {k for a, b in found[i] for k in range(a, b + 1)}
+        want = {
+            k
+            for k in range(counts[i])
+            for j, d in enumerate(contexts)
+            if j != i and 0 <= (at := anchors[j] - anchors[i] + k) < counts[j] and d[at : at + N] == c[k : k + N]
+        }
+        assert got == want

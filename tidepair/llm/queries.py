@@ -14,6 +14,7 @@ from .mixing import taken_words
 from .ngram_join import near_duplicates
 from .pii import scan_personal_data
 from .secrets import scan_secrets
+from .suffix_dedup import without_repeats
 from .url_filter import judge_urls
 
 
@@ -77,6 +78,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id"
@@ -132,6 +137,7 @@ REGISTRY = {
     "op6_mixing": op6_mixing,
     "op7_url_filter": op7_url_filter,
     "op8_language_id": op8_language_id,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_ngram_join": op10_ngram_join,
 }
 
