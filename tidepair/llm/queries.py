@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, secrets
+from . import pii, secrets, toxicity
 from .common import held_out, table
 from .decontaminate import find_passages, hit_words
 from .exact_dedup import duplicate_groups
@@ -45,6 +45,13 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *_span_columns("found", secrets.BASE))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return toxicity.score_toxicity(docs, toxicity.train(docs, labels), ["doc_id"]).select(
+        "doc_id", held_out().alias("held_out"), "score", "predicted"
+    )
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return find_passages(docs, benchmark, ["doc_id"]).select(
@@ -132,6 +139,7 @@ FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc
 REGISTRY = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secrets": op2_secrets,
+    "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_pii": op5_pii,
     "op6_mixing": op6_mixing,
