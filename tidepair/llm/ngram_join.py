@@ -46,8 +46,10 @@ from .textbytes import VISIBLE, Chunk, chunks, mixed, words
 SHINGLE = 5
 PERCENT = 80
 
-BUCKET_BITS = 20
-FAR_ABOVE = 8  # times the mean of a task from which a bucket is reported
+BUCKET_BITS = 22
+FAR_ABOVE = 4  # standard deviations above the mean of a task from which a bucket is reported
+PARITY = 256
+PARITIES = [f"b{i}" for i in range(PARITY // 64)]
 STAR_SHINGLES = 4
 STAR_ROUNDS = 6
 STAR_YIELD = 0.005  # share of classes a round must link for another one to follow
@@ -84,10 +86,10 @@ def frequent_levels(docs: DataFrame) -> np.ndarray:
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
             for chunk in chunks(batch.column("text")):
-                every = [s for s in shingle_sets(chunk) if len(s)]
-                if every:
-                    counts += np.bincount(_buckets(np.concatenate(every)), minlength=len(counts))
-        found = np.flatnonzero(counts > FAR_ABOVE * (counts.mean() + 1))
+                for s in shingle_sets(chunk):
+                    np.add.at(counts, _buckets(s), 1)
+        mean = counts.mean()
+        found = np.flatnonzero(counts > mean + FAR_ABOVE * (np.sqrt(mean) + 1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(found), pa.array(counts[found])], names=["bucket", "n"]
         )
@@ -106,6 +108,13 @@ def prefix(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return shingles[np.argsort(levels[_buckets(shingles)], kind="stable")[:keep]]
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """For each of ``PARITY`` buckets, whether it has an odd number of shingles: two
+    sets differ in at least as many shingles as their bitmaps in bits."""
+    odd = np.bincount((shingles & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with a 128-bit key of the text."""
     text = whole_text()
@@ -118,12 +127,14 @@ def signatures(docs: DataFrame, levels: np.ndarray) -> DataFrame:
 
     def sign(batches):
         for batch in batches:
-            n, digests, prefixes = [], [], []
+            n, digests, bitmaps, prefixes = [], [], [], []
             for chunk in chunks(batch.column("text")):
                 for s in shingle_sets(chunk):
                     n.append(len(s))
                     digests.append(xxhash.xxh3_128_digest(s.tobytes()))
+                    bitmaps.append(parity(s))
                     prefixes.append(prefix(s, shared.value).view(np.int64))
+            bits = np.frombuffer(b"".join(bitmaps), np.int64).reshape(-1, len(PARITIES))
             both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
@@ -133,14 +144,16 @@ def signatures(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                     pa.array(n, pa.int64()),
                     pa.array(both[:, 0]),
                     pa.array(both[:, 1]),
+                    *(pa.array(bits[:, i]) for i in range(len(PARITIES))),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 ],
-                names=["doc_id", "k1", "k2", "n", "d1", "d2", "prefix"],
+                names=["doc_id", "k1", "k2", "n", "d1", "d2", *PARITIES, "prefix"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
+    bitmap = "".join(f"{b} long, " for b in PARITIES)
     return keyed(docs.select("doc_id", "text")).mapInArrow(
-        sign, f"doc_id {kind}, k1 long, k2 long, n long, d1 long, d2 long, prefix array<long>"
+        sign, f"doc_id {kind}, k1 long, k2 long, n long, d1 long, d2 long, {bitmap}prefix array<long>"
     )
 
 
@@ -247,7 +260,7 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
     )
     shown = materialize(
         placed.join(groups.select(F.col("grp").alias("cls"), "gcomp"), "cls").select(
-            F.col("cls").alias("grp"), "gcomp", "n", "prefix"
+            F.col("cls").alias("grp"), "gcomp", "n", *PARITIES, "prefix"
         ),
         "group-prefixes",
     )
@@ -261,6 +274,8 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
     )
     bits = spark.sparkContext.broadcast(key_bits(shared, "token"))
 
+    head = ["grp", "gcomp", "n", *PARITIES]
+
     def hold(batches):
         for batch in batches:
             lists = batch.column("prefix")
@@ -268,29 +283,31 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
             keep = may_hold(bits.value, flat.to_numpy())
             row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))[keep]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(pa.array(row)) for c in ("grp", "gcomp", "n")]
-                + [flat.filter(pa.array(keep))],
-                names=["grp", "gcomp", "n", "token"],
+                [batch.column(c).take(pa.array(row)) for c in head] + [flat.filter(pa.array(keep))],
+                names=[*head, "token"],
             )
 
     postings = materialize(
-        shown.select("grp", "gcomp", "n", "prefix").mapInArrow(hold, "grp long, gcomp long, n long, token long"),
+        shown.select(*head, "prefix").mapInArrow(hold, "".join(f"{c} long, " for c in head) + "token long"),
         "postings",
     )
-    other = postings.select(*(F.col(c).alias(f"_{c}") for c in ("grp", "gcomp", "n")), "token")
-    larger = F.greatest("n", "_n")
-    need = F.ceil(PERCENT * (F.col("n") + F.col("_n")) / (100 + PERCENT))
-    least = need - F.ceil(larger * PERCENT / 100) + 1
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    n, m = x("n"), y("n")
+    need = F.ceil(PERCENT * (n + m) / (100 + PERCENT))
+    differ = sum((F.bit_count(x(b).bitwiseXOR(y(b))) for b in PARITIES), F.lit(0))
     pairs = (
-        postings.join(other.hint("merge"), "token")
-        .filter(
-            (F.col("grp") < F.col("_grp"))
-            & (F.col("gcomp") != F.col("_gcomp"))
-            & _alike_in_size(F.col("n"), F.col("_n"))
+        postings.alias("x")
+        .join(
+            postings.alias("y").hint("merge"),
+            (x("token") == y("token"))
+            & (x("grp") < y("grp"))
+            & (x("gcomp") != y("gcomp"))
+            & _alike_in_size(n, m)
+            & (differ <= n + m - 2 * need),
         )
-        .groupBy("grp", "_grp")
-        .agg(F.count("*").alias("common"), F.first("n").alias("n"), F.first("_n").alias("_n"))
-        .filter(F.col("common") >= least)
+        .groupBy(x("grp").alias("grp"), y("grp").alias("_grp"))
+        .agg(F.count("*").alias("common"), F.first(need - F.ceil(F.greatest(n, m) * PERCENT / 100) + 1).alias("least"))
+        .filter("common >= least")
         .select("grp", "_grp")
         .union(groups.filter("gcomp < 0").select("grp", F.col("grp").alias("_grp")))
     )
@@ -329,10 +346,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(
             F.min("doc_id").alias("doc"),
             F.min(F.struct("k1", "k2")).alias("key"),
-            F.first("n").alias("n"),
-            F.first("prefix").alias("prefix"),
+            *(F.first(c).alias(c) for c in ("n", *PARITIES, "prefix")),
         )
-        .select(F.monotonically_increasing_id().alias("cls"), "d1", "d2", "doc", "key.*", "n", "prefix"),
+        .select(F.monotonically_increasing_id().alias("cls"), "d1", "d2", "doc", "key.*", "n", *PARITIES, "prefix"),
         "classes",
     )
     total = classes.count()
