@@ -5,7 +5,9 @@ sample of training rows.  A text is reduced to lower-case letters and spaces,
 cut into blocks of ``CHUNK`` bytes so that its own history does not drown the
 dictionary, and every block is encoded with every dictionary.  The smallest sum
 wins; the margin to the second smallest is the score, and a text whose margin
-is below ``NARROW`` is rejected.
+is below ``NARROW`` is rejected.  In texts shorter than ``SHORT`` a match with a
+dictionary costs as much as the letters, so their margins say nothing and they
+are rejected only without letters.
 
 Sample (documented bound): ``SAMPLE_ROWS`` rows of each language in the order of
 a hash of the id, ``SAMPLE_CHARS`` characters of each, ``DICTIONARY`` bytes in all.
@@ -32,6 +34,7 @@ SAMPLE_ROWS = 64
 SAMPLE_CHARS = 512
 CHUNK = 2_048
 NARROW = 0.002
+SHORT = 64
 
 # Lower-case ASCII letters and all bytes of other characters stay, the rest is blank.
 _LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -73,14 +76,14 @@ class Classifier:
         blocks = [reduced[i : i + CHUNK] for i in range(0, len(reduced), CHUNK)]
         return [sum(len(e.compress(b)) for b in blocks) for e in self.encoders]
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, bool]:
+        """Language, score, and whether the text is rejected."""
         reduced = letters(text or "")
         if not self.dictionaries or not has_letter(text or "", reduced):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, True
         ranked = sorted(zip(self.sizes(reduced), self.dictionaries, strict=True))
-        if len(ranked) == 1:
-            return ranked[0][1], 1.0
-        return ranked[0][1], 1.0 - ranked[0][0] / ranked[1][0]
+        margin = 1.0 - ranked[0][0] / ranked[1][0] if len(ranked) > 1 else 1.0
+        return ranked[0][1], margin, len(reduced) >= SHORT and margin < NARROW
 
 
 def train(docs: DataFrame) -> Classifier:
@@ -116,9 +119,8 @@ def identify_language(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep]
                 + [
-                    pa.array([lang for lang, _ in found], pa.string()),
-                    pa.array([score for _, score in found], pa.float64()),
-                    pa.array([lang == UNKNOWN or score < NARROW for lang, score in found], pa.bool_()),
+                    pa.array([f[i] for f in found], kind)
+                    for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))
                 ],
                 names=[*keep, *added],
             )
