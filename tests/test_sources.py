@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidepair.functions.names import numeric_prefix
@@ -66,10 +67,10 @@ def test_volume_is_not_read(spark, capsys):
 
 
 def test_numeric_prefix(spark):
-    names = ["12.A", "x.1", "7", "", "99999999999.Z", "3.4.5"]
+    names = ["12.A", "x.1", "7", "", "99999999999.Z", "3.4.5", "1e3.A", "9" * 39]
     df = spark.createDataFrame([(n,) for n in names], "n string")
     got = [r.p for r in df.select(numeric_prefix(F.col("n")).alias("p")).collect()]
-    assert got == [12, None, 7, None, None, 3]
+    assert got == [12, None, 7, None, 99999999999, 3, None, None]
 
 
 def test_dictionary_is_dense_sorted_and_lossless(spark):
@@ -84,17 +85,37 @@ def test_dictionary_is_dense_sorted_and_lossless(spark):
     assert {(r.name, r.row) for r in back.collect()} == want and back.count() == 3000
 
 
-def test_large_dictionary_is_joined_with_salt(spark, monkeypatch, capsys):
+def test_large_dictionary_keeps_hot_rows_where_they_are(spark, monkeypatch, capsys):
     import tidepair.operators.dictionary as module
 
-    rows = [("hot" if i % 3 else f"n{i}", i) for i in range(3000)]
-    df = spark.createDataFrame(rows, "name string, row long")
+    rows = [("hot", 7)] * 2000 + [(f"n{i}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "name string, row long").withColumn("m", F.create_map(F.lit(1), F.lit(2)))
     book = build_dictionary(df, "name")
+    assert [r["name"] for r in book.table.where("hot").collect()] == ["hot"]
     monkeypatch.setattr(module, "BROADCAST_BYTES", 10)
     coded = encode(df, book, "name", "name_id")
     coded.explain()
-    assert "_salt" in capsys.readouterr().out
-    assert {(r.name, r.row) for r in decode(coded, book, "name_id", "name").collect()} == set(rows)
+    shown = capsys.readouterr().out
+    assert "BroadcastHashJoin" in shown and "SortMergeJoin" in shown
+    back = decode(coded, book, "name_id", "name").collect()
+    assert sorted((r.name, r.row) for r in back) == sorted(rows)
+
+
+def test_first_series_by_a_large_number(spark):
+    from tidepair.operators.select import limit_series
+
+    panel = spark.createDataFrame([("3000000000.U", 1), ("3.U", 2)], "series string, value long")
+    assert [r.series for r in limit_series(panel, 1).collect()] == ["3.U"]
+
+
+def test_scratch_can_be_discarded(spark):
+    from tidepair.session import discard, materialize
+
+    table = materialize(spark.range(3), "x")
+    assert table.count() == 3
+    discard(table, spark.range(1))
+    with pytest.raises(Exception):
+        spark.read.parquet(table._tidepair_path)
 
 
 def test_running_total(spark):

@@ -7,5 +7,6 @@ from pyspark.sql import functions as F
 
 
 def numeric_prefix(name: Column) -> Column:
-    """The integer before the first dot of a name, null if there is none."""
-    return F.split_part(name, F.lit("."), F.lit(1)).try_cast("int")
+    """The integer of up to 38 digits before the first dot of a name, null if there is none."""
+    number = F.split_part(name, F.lit("."), F.lit(1))
+    return F.when(number.rlike(r"^\s*[+-]?[0-9]+\s*$"), number.try_cast("decimal(38,0)"))

@@ -70,6 +70,13 @@ def calendar_grid(panel: DataFrame, calendar: WeekdayCalendar) -> DataFrame:
     )
 
 
+def _own_slots() -> Column:
+    """The slots from a row to the next one.  Of rows that share a day, none has a
+    slot but the last: a sequence would count downwards from there."""
+    upto = F.col("next_slot") - 1
+    return F.when(F.col("from_slot") <= upto, F.sequence("from_slot", upto))
+
+
 def missing_slots(panel: DataFrame, calendar: WeekdayCalendar) -> DataFrame:
     """Days of the calendar on which a series of the panel has no row."""
     return (
@@ -77,7 +84,7 @@ def missing_slots(panel: DataFrame, calendar: WeekdayCalendar) -> DataFrame:
         .select(
             "series",
             "slot",
-            F.explode(F.sequence("from_slot", F.col("next_slot") - 1)).alias("at"),
+            F.explode(_own_slots()).alias("at"),
         )
         .where("at <> slot")
         .select("series", calendar.date_at(F.col("at")).alias("date"))
@@ -94,7 +101,7 @@ def fill_gaps(panel: DataFrame, calendar: WeekdayCalendar, max_gap: int = 1) ->
     at = F.col("at")
     return (
         _with_gaps(panel, calendar)
-        .withColumn("at", F.explode(F.sequence("from_slot", F.col("next_slot") - 1)))
+        .withColumn("at", F.explode(_own_slots()))
         .select(
             "series",
             calendar.date_at(at).alias("date"),

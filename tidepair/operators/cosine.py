@@ -4,15 +4,16 @@ For a series x and topics a, b the scores are cos(x, mean(a, b)),
 cos(x, min(a, b)) and cos(x, max(a, b)), element by element over the days that
 all three have.  A zero norm gives a null score.
 
-Inputs: ``series`` (series, date, value) with at most one row per series and
-day, as :func:`clean_series` returns it, and ``visits`` (topic, date, visit),
-whose repeated rows are added up.
+Inputs: ``series`` (series, date, value) and ``visits`` (topic, date, visit).
+Values that are null, NaN or infinite count as missing, in all forms.  Of several
+rows of a series and day the least value stays, as in cleaning; repeated visits
+are added up.
 
 Three forms with equal results:
 
 * :func:`cosine_aligned` works on vectors in matrix blocks; there is no row per
-  (series, pair, day).  Small topic vectors go to the series by broadcast, large
-  ones meet them in tiles.  The default.
+  (series, pair, day).  Blocks of topics and parts of the series meet in tiles.
+  The default.
 * :func:`cosine_aligned_broadcast` joins on the date with the pair series
   broadcast, if they are small; else it is :func:`cosine_aligned`.
 * :func:`cosine_vectors` is SQL over arrays on the calendar.
@@ -34,15 +35,13 @@ from tidepair.operators.tiles import (
     CosineKernel,
     TopCosineKernel,
     run_tiles,
-    run_with_fixed,
 )
 from tidepair.session import materialize, shuffle_partitions, tile_side
 
-# Topic vectors up to this size are broadcast to the series; larger ones meet
-# the series in tiles.
-TOPIC_BROADCAST_BYTES = 32 << 20
-# Topics of one block of a tile: at 1,305 days a block is 21 MB in a task.
-TOPICS_PER_BLOCK = 2048
+# Memory of one block of topics in a task, laid out over all days: values, presence
+# and their products, as doubles.
+BLOCK_BYTES = 64 << 20
+DAY_BYTES = 32
 # Upper bound for the pair series in the broadcast form, and the size of one
 # of its rows without the two names (a date, three doubles, row overhead).
 PAIR_BROADCAST_BYTES = 64 << 20
@@ -60,28 +59,44 @@ def _run(
     visits: DataFrame,
     kernel: Callable[[], CosineKernel],
     schema: str,
-    topic_bytes: int,
-    topics_per_block: int,
+    topics_per_block: int | None,
 ) -> DataFrame:
     """Bring series vectors and topic vectors together in the kernel.
 
-    The topic vectors are written once and measured.  Series vectors are never
-    counted or gathered: they stream past.
+    The topic vectors are written once and their number and days measured, as a
+    task lays a block of them out over all days.  Series vectors are never counted
+    or gathered: they stream past.
     """
-    topics = materialize(sparse_vectors(sum_visits(visits), "topic", "visit"), "topics")
-    vectors = sparse_vectors(series, "series", "value")
-    # a vector entry is a day number and a double
-    count, size = topics.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.size("days") * 12 + F.octet_length("name")), F.lit(0))
+    topics = materialize(
+        sparse_vectors(sum_visits(usable(visits, "visit")), "topic", "visit"), "topics"
+    )
+    vectors = sparse_vectors(one_value(series), "series", "value")
+    count, first, last = topics.agg(
+        F.count(F.lit(1)), F.min(F.array_min("days")), F.max(F.array_max("days"))
     ).first()
-    if size <= topic_bytes:
-        return run_with_fixed(vectors, topics.toArrow(), kernel, schema)
-    rows = _tiles(vectors, topics, max(1, math.ceil(count / topics_per_block)))
-    return run_tiles(rows, ["part", "low", "high"], "name", kernel, schema)
+    if topics_per_block is None:
+        days = last - first + 1 if count else 1
+        topics_per_block = max(1, BLOCK_BYTES // (days * DAY_BYTES))
+    rows, tiles = _tiles(vectors, topics, max(1, math.ceil(count / topics_per_block)))
+    return run_tiles(rows, ["part", "low", "high"], "name", kernel, schema, tiles)
+
+
+def usable(df: DataFrame, value: str) -> DataFrame:
+    """The rows with a finite value."""
+    number = F.col(value).cast("double")
+    return df.where(number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf")))
+
+
+def one_value(series: DataFrame) -> DataFrame:
+    """One row for each series and day.  Needs no shuffle if the rows are already
+    partitioned by series."""
+    known = usable(series, "value").where("series IS NOT NULL AND date IS NOT NULL")
+    return known.groupBy("series", "date").agg(F.min("value").alias("value"))
 
 
-def _tiles(vectors: DataFrame, topics: DataFrame, topic_blocks: int) -> DataFrame:
-    """Copies of topics as sides 0 and 1 of their tiles, and series as side 2.
+def _tiles(vectors: DataFrame, topics: DataFrame, topic_blocks: int) -> tuple[DataFrame, int]:
+    """Copies of topics as sides 0 and 1 of their tiles, and series as side 2; and
+    the number of tiles.
 
     A tile is two topic blocks (low <= high) and a part of the series.  The
     number of parts sets the parallelism only.
@@ -115,17 +130,16 @@ def _tiles(vectors: DataFrame, topics: DataFrame, topic_blocks: int) -> DataFram
         .withColumn("high", from_to(F.col("low"), topic_blocks - 1))
         .select(columns)
     )
-    return fixed.unionByName(streamed)
+    return fixed.unionByName(streamed), tiles * parts
 
 
 def cosine_aligned(
     series: DataFrame,
     visits: DataFrame,
-    topic_bytes: int = TOPIC_BROADCAST_BYTES,
-    topics_per_block: int = TOPICS_PER_BLOCK,
+    topics_per_block: int | None = None,
 ) -> DataFrame:
     """(series, topic1, topic2, cos_mean, cos_min, cos_max) for every triple."""
-    return _run(series, visits, CosineKernel, SCORE_SCHEMA, topic_bytes, topics_per_block)
+    return _run(series, visits, CosineKernel, SCORE_SCHEMA, topics_per_block)
 
 
 def top_matches(
@@ -134,8 +148,7 @@ def top_matches(
     k: int = 20,
     measures: tuple[str, ...] = MEASURES,
     digits: int | None = None,
-    topic_bytes: int = TOPIC_BROADCAST_BYTES,
-    topics_per_block: int = TOPICS_PER_BLOCK,
+    topics_per_block: int | None = None,
 ) -> DataFrame:
     """(measure, series, topic1, topic2, similarity): a superset of the best k
     per measure, from one pass over the triples, without emitting them all.
@@ -150,7 +163,6 @@ def top_matches(
         visits,
         lambda: TopCosineKernel(k, wanted, slack),
         TOP_SCHEMA,
-        topic_bytes,
         topics_per_block,
     )
 
@@ -193,7 +205,7 @@ def cosine_aligned_broadcast(
     partitioning by name as it is, so the sums need no further shuffle; beyond
     it the tiled form takes over.
     """
-    summed = materialize(sum_visits(visits), "visits")
+    summed = materialize(sum_visits(usable(visits, "visit")), "visits")
     rows, topics, name = summed.agg(
         F.count(F.lit(1)), F.count_distinct("topic"), F.max(F.octet_length("topic"))
     ).first()
@@ -201,8 +213,7 @@ def cosine_aligned_broadcast(
     at_most = rows * max(topics - 1, 0) / 2 * (PAIR_ROW_BYTES + 2 * (name or 0))
     if at_most > broadcast_bytes:
         return cosine_aligned(series, summed)
-    usable = series.where("series IS NOT NULL AND value IS NOT NULL")
-    return pair_scores(usable.join(F.broadcast(pair_series(summed)), "date"))
+    return pair_scores(one_value(series).join(F.broadcast(pair_series(summed)), "date"))
 
 
 def cosine_vectors(
@@ -220,28 +231,25 @@ def cosine_vectors(
     spark = series.sparkSession
     register_cosine(spark)
     blocks = blocks or tile_side(spark)
-    days = align_to_calendar(sum_visits(visits), calendar)
-    views = {
-        "tidepair_series": series_vectors(series, calendar),
-        "tidepair_topics": series_vectors(days, calendar, "topic", "visit"),
-    }
-    for name, view in views.items():
-        view.createOrReplaceTempView(name)
+    days = align_to_calendar(sum_visits(usable(visits, "visit")), calendar)
     return spark.sql(
         f"""
         WITH topic_copies AS (
             SELECT name, vector, CAST(pmod(xxhash64(name), {blocks}) AS INT) AS own,
                    explode(sequence(0, {blocks} - 1)) AS other
-            FROM tidepair_topics),
+            FROM {{topics}}),
+        low_copies AS (SELECT * FROM topic_copies WHERE own <= other),
+        high_copies AS (SELECT * FROM topic_copies WHERE other <= own),
         pairs AS (
-            SELECT t1.name AS topic1, t2.name AS topic2,
+            SELECT least(t1.name, t2.name) AS topic1, greatest(t1.name, t2.name) AS topic2,
                    zip_with(t1.vector, t2.vector, (a, b) -> (a + b) / 2) AS mean,
                    zip_with(t1.vector, t2.vector,
                             (a, b) -> if(a IS NULL OR b IS NULL, NULL, least(a, b))) AS min,
                    zip_with(t1.vector, t2.vector,
                             (a, b) -> if(a IS NULL OR b IS NULL, NULL, greatest(a, b))) AS max
-            FROM topic_copies t1 JOIN topic_copies t2
-              ON t1.own = t2.other AND t1.other = t2.own AND t1.name < t2.name),
+            FROM low_copies t1 JOIN high_copies t2
+              ON t1.own = t2.other AND t1.other = t2.own
+                 AND (t1.own < t2.own OR t1.name < t2.name)),
         pair_copies AS (
             SELECT *, CAST(pmod(xxhash64(topic1, topic2), {blocks}) AS INT) AS pair_block,
                    explode(sequence(0, {blocks} - 1)) AS series_block
@@ -249,12 +257,14 @@ def cosine_vectors(
         series_copies AS (
             SELECT name, vector, CAST(pmod(xxhash64(name), {blocks}) AS INT) AS series_block,
                    explode(sequence(0, {blocks} - 1)) AS pair_block
-            FROM tidepair_series)
+            FROM {{series}})
         SELECT s.name AS series, p.topic1, p.topic2,
                cosine_similarity(s.vector, p.mean) AS cos_mean,
                cosine_similarity(s.vector, p.min) AS cos_min,
                cosine_similarity(s.vector, p.max) AS cos_max
         FROM series_copies s JOIN pair_copies p USING (series_block, pair_block)
         WHERE exists(zip_with(s.vector, p.mean, (a, b) -> a IS NOT NULL AND b IS NOT NULL), t -> t)
-        """
+        """,
+        series=series_vectors(one_value(series), calendar),
+        topics=series_vectors(days, calendar, "topic", "visit"),
     )

@@ -14,13 +14,14 @@ from tidepair.session import materialize
 # besides the name.
 BROADCAST_BYTES = 32 << 20
 ROW_BYTES = 40
-# Copies of a dictionary row, and parts of a hot name's rows, in a salted join.
-SALTS = 16
+# A name is hot with more than this share of all rows: at most 1,000 names are.
+HOT_SHARE = 0.001
 
 
 @dataclass(frozen=True)
 class Dictionary:
-    """(name, id) with ids 0 .. size-1 in name order."""
+    """(name, id, hot) with ids 0 .. size-1 in name order.  A hot name has more than
+    ``HOT_SHARE`` of the rows that the dictionary was built from."""
 
     table: DataFrame
     size: int
@@ -32,35 +33,41 @@ def build_dictionary(df: DataFrame, column: str) -> Dictionary:
     names = (
         df.select(F.col(column).cast("string").alias("name"))
         .where("name IS NOT NULL")
-        .distinct()
+        .groupBy("name")
+        .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("_one", F.lit(1).cast("bigint"))
     )
-    numbered = with_running_total(names, "name", "_one", "id")
-    table = materialize(numbered.select("name", (F.col("id") - 1).alias("id")), "dictionary")
-    size, total = table.agg(F.count(F.lit(1)), F.sum(F.octet_length("name") + ROW_BYTES)).first()
-    return Dictionary(table, size, total or 0)
+    numbered = materialize(with_running_total(names, "name", "_one", "id"), "dictionary")
+    size, total, rows = numbered.agg(
+        F.count(F.lit(1)), F.sum(F.octet_length("name") + ROW_BYTES), F.sum("rows")
+    ).first()
+    hot = F.col("rows") > HOT_SHARE * (rows or 0)
+    return Dictionary(
+        numbered.select("name", (F.col("id") - 1).alias("id"), hot.alias("hot")), size, total or 0
+    )
 
 
 def _look_up(df: DataFrame, lookup: DataFrame, key: str, size: int) -> DataFrame:
-    """Inner join to a table that is unique on ``key``.
+    """Inner join to a table (key, value, hot) that is unique on ``key``.
 
-    A small dictionary is broadcast.  A large one is joined on (key, salt):
-    the rows of a hot key are spread over the salts by their own content.
+    A small dictionary is broadcast.  Of a large one only the hot names are, at
+    most 1 / ``HOT_SHARE``, so their rows stay where they are, however many and
+    alike; all other rows are shuffled by key.
     """
     if size <= BROADCAST_BYTES:
-        return df.join(F.broadcast(lookup), key)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [key, "_salt"]).drop("_salt")
+        return df.join(F.broadcast(lookup.drop("hot")), key)
+    hot = F.broadcast(lookup.where("hot").drop("hot"))
+    rest = df.join(hot.select(key), key, "left_anti")
+    return df.join(hot, key).unionByName(rest.join(lookup.where("NOT hot").drop("hot").hint("merge"), key))
 
 
 def encode(df: DataFrame, dictionary: Dictionary, column: str, id_column: str) -> DataFrame:
     """Replace a name column by its id."""
-    lookup = dictionary.table.select(F.col("name").alias(column), F.col("id").alias(id_column))
+    lookup = dictionary.table.select(F.col("name").alias(column), F.col("id").alias(id_column), "hot")
     return _look_up(df, lookup, column, dictionary.bytes).drop(column)
 
 
 def decode(df: DataFrame, dictionary: Dictionary, id_column: str, column: str) -> DataFrame:
     """Replace an id column by its name."""
-    lookup = dictionary.table.select(F.col("id").alias(id_column), F.col("name").alias(column))
+    lookup = dictionary.table.select(F.col("id").alias(id_column), F.col("name").alias(column), "hot")
     return _look_up(df, lookup, id_column, dictionary.bytes).drop(id_column)

@@ -23,8 +23,8 @@ from tidepair.functions.hashing import DEFAULT_THRESHOLD, HashFamily, hashed_cel
 from tidepair.operators.tiles import SketchKernel, run_tiles
 from tidepair.session import BROADCAST_ROWS, materialize, shuffle_partitions
 
-# Memory of one block of dense sketches (32-bit counts) in a task, and the
-# most streams of a block.
+# Memory of one block of dense sketches (doubles) in a task, and the most streams
+# of a block.
 BLOCK_BYTES = 256 << 20
 MAX_BLOCK = 4096
 # A block is not cut below this many streams for the sake of parallelism.
@@ -39,7 +39,8 @@ def _count_cells(feed: DataFrame, keys: list[str], family: HashFamily) -> DataFr
     """
     return (
         feed.where("sid IS NOT NULL AND item IS NOT NULL")
-        .select(*keys, F.inline(hashed_cells(F.col("item"), family)))
+        .withColumn("sid", F.col("sid").cast("bigint"))
+        .select(*keys, F.inline(hashed_cells(F.col("item").cast("bigint"), family)))
         .groupBy(*keys, "f", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -147,7 +148,7 @@ def _blocks(
     )
     if not counts:
         return F.lit(0), F.lit(0), 1, 0
-    capacity = BLOCK_BYTES // (family.depth * family.buckets * 4)
+    capacity = BLOCK_BYTES // (family.depth * family.buckets * 8)
     size = streams_per_block or max(1, min(MAX_BLOCK, capacity))
     if streams_per_block is None:
         streams = sum(r["streams"] for r in counts)
@@ -226,15 +227,16 @@ def _compare(
         .withColumn("low", F.explode(F.sequence("partner", "own")))
     )
     depth, buckets = family.depth, family.buckets
-    schema = "window_end bigint, sid1 bigint, sid2 bigint, similarity bigint"
+    schema = "window_end bigint, sid1 bigint, sid2 bigint, similarity decimal(38,0)"
     if per_function:
-        schema = "window_end bigint, sid1 bigint, sid2 bigint, f int, similarity bigint"
+        schema = "window_end bigint, sid1 bigint, sid2 bigint, f int, similarity decimal(38,0)"
     return run_tiles(
         rows.unionByName(columns).drop("own", "partner"),
         ["window_end", "low", "high"],
         "sid",
         lambda: SketchKernel(depth, buckets, threshold, per_function),
         schema,
+        max(1, windows) * blocks * (blocks + 1) // 2,
     )
 
 

@@ -6,13 +6,11 @@ task sees the tiles one after another, and in each tile the small fixed sides
 before the long one.  The kernel holds only the fixed sides of one tile; the
 last side flows past in Arrow batches and is never gathered.  Both kernels are
 dense matrix products on blocks, of bounded size.
-
-If all of the fixed side is small, it is broadcast instead and the long side is
-not moved at all.
 """
 
 from __future__ import annotations
 
+import decimal
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -22,6 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 import tidepair
+from tidepair.session import shuffle_partitions
 
 # Rows of the streamed side that are expanded to a dense block at a time.
 CHUNK = 512
@@ -35,9 +34,13 @@ def run_tiles(
     order: str,
     kernel: Callable[[], Any],
     schema: str,
+    tiles: int,
 ) -> DataFrame:
     """Feed ``rows`` to kernels.
 
+    A number of partitions is stated, from the number of ``tiles``: tiles are few
+    bytes and much work, so they are not to be coalesced by their size.
+
     ``kernel()`` is made once per task; it gets ``open(tile)`` at the start of
     each tile and ``feed(side, batch)`` for each run of rows with one side, and
     yields result batches.
@@ -60,33 +63,11 @@ def run_tiles(
                     state.open(tile)
                 yield from state.feed(int(marks[-1, begin]), batch.slice(begin, end - begin))
 
-    tiled = rows.repartition(*key).sortWithinPartitions(*key, "side", order)
+    partitions = max(1, min(tiles, 4 * shuffle_partitions(rows.sparkSession)))
+    tiled = rows.repartition(partitions, *key).sortWithinPartitions(*key, "side", order)
     return tiled.mapInArrow(drive, schema)
 
 
-def run_with_fixed(
-    rows: DataFrame, fixed: pa.Table, kernel: Callable[[], Any], schema: str
-) -> DataFrame:
-    """One tile whose fixed side 1 is broadcast, so ``rows`` (side 2) stay where
-    they are.  The caller has checked the size of ``fixed``."""
-    cloudpickle.register_pickle_by_value(tidepair)
-    buffer = pa.BufferOutputStream()
-    with pa.ipc.new_stream(buffer, fixed.schema) as writer:
-        writer.write_table(fixed)
-    shared = rows.sparkSession.sparkContext.broadcast(buffer.getvalue().to_pybytes())
-
-    def drive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = kernel()
-        state.open((0, 0))
-        for batch in pa.ipc.open_stream(shared.value):
-            list(state.feed(1, batch))
-        for batch in batches:
-            if batch.num_rows:
-                yield from state.feed(2, batch)
-
-    return rows.mapInArrow(drive, schema)
-
-
 def list_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     """A list column as (row number of each entry, entries)."""
     column = batch.column(name)
@@ -134,6 +115,11 @@ class CosineKernel:
         self.left_names, self.left, self.left_present = left
         self.right_names, self.right, self.right_present = right
         self.names = pa.array(self.left_names + self.right_names, pa.string())
+        # names as numbers in their order, so that partners need no comparison of texts
+        order = sorted(set(self.left_names) | set(self.right_names))
+        rank = {name: k for k, name in enumerate(order)}
+        self.left_rank = np.array([rank[n] for n in self.left_names], np.int64)
+        self.right_rank = np.array([rank[n] for n in self.right_names], np.int64)
         present = (self.left_present, self.right_present)
         self.complete = all(m.all() for m in present)
         self.non_negative = all((m >= 0).all() for m in (self.left, self.right))
@@ -171,15 +157,14 @@ class CosineKernel:
         else:
             score = self._score_shared
             known = x * x, x_present
-        for i, name in enumerate(self.left_names):
-            partners = np.arange(len(self.right_names))
+        for i, own in enumerate(self.left_rank):
+            partners = np.arange(len(self.right_rank))
             if self.same_block:
-                after = [j for j in partners if name < self.right_names[j]]
-                partners = np.array(after, dtype=np.int64)
+                partners = np.flatnonzero(own < self.right_rank)
             if not len(partners):
                 continue
             scores, met = score(i, partners, x, *known)
-            first = np.array([name < self.right_names[j] for j in partners])
+            first = own < self.right_rank[partners]
             other = len(self.left_names) + partners
             topic1, topic2 = np.where(first, i, other), np.where(first, other, i)
             yield from self._take(scores, met, topic1, topic2)
@@ -294,9 +279,9 @@ class SketchKernel:
     """Inner products of stream sketches: side 0 is held, side 1 streams past.
 
     The tile key starts with the window and ends in (row block, column block).
-    Products are sums of non-negative integers; below 2^53 a float product is
-    exact, above it the same product is taken in 64-bit integers, and past 2^63
-    it is an error.
+    Products are sums of non-negative integers, taken in doubles: exact while they
+    are below 2^53.  What reaches 2^53 is summed again in integers of any size, pair
+    by pair, and only for pairs that are emitted; a hot stream with itself is none.
     """
 
     # When fewer than one pair in this many passes the first function, the
@@ -320,8 +305,8 @@ class SketchKernel:
         if not self.held:
             return
         if not self.ready:
-            table = pa.Table.from_batches(self.held).combine_chunks()
-            self.row_ids, self.rows = self._dense(table.to_batches()[0])
+            self.row_batch = pa.Table.from_batches(self.held).combine_chunks().to_batches()[0]
+            self.row_ids, self.rows = self._dense(self.row_batch)
             self.ready = True
         for at in range(0, batch.num_rows, CHUNK):
             yield from self._compare(batch.slice(at, CHUNK))
@@ -329,52 +314,62 @@ class SketchKernel:
     def _dense(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         row, cells = list_column(batch, "cells")
         counts = list_column(batch, "counts")[1]
-        small = not len(counts) or counts.max() < 2**31
-        shape = (batch.num_rows, self.depth * self.buckets)
-        dense = np.zeros(shape, dtype=np.int32 if small else np.int64)
+        dense = np.zeros((batch.num_rows, self.depth * self.buckets))
         dense[row, cells] = counts
         blocks = dense.reshape(batch.num_rows, self.depth, self.buckets).transpose(1, 0, 2)
         return batch.column("sid").to_numpy(), blocks
 
-    def _exact(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Both blocks in a number type whose products and sums are exact."""
-        bound = a.sum(axis=1, dtype=np.float64).max() * float(b.max())
-        if bound < 2.0**53:
-            return a.astype(np.float64), b.astype(np.float64)
-        if bound >= 2.0**63:
-            raise OverflowError("inner product does not fit 64 bits")
-        return a.astype(np.int64), b.astype(np.int64)
+    def _exactly(self, row: int, batch: pa.RecordBatch, column: int, f: int) -> int:
+        """One inner product in integers of any size."""
+        cells = []
+        for rows, k in ((self.row_batch, row), (batch, column)):
+            at = rows.column("cells")[k].as_py(), rows.column("counts")[k].as_py()
+            cells.append({c: n for c, n in zip(*at) if c // self.buckets == f})
+        return sum(n * cells[1].get(c, 0) for c, n in cells[0].items())
+
+    def _products(self, row, column, product, batch, f):
+        """The products of pairs, exact: as doubles, or as integers if some are large."""
+        large = np.flatnonzero(product >= 2.0**53)
+        if len(large):
+            product = product.astype(object)
+            for k in large:
+                product[k] = self._exactly(int(row[k]), batch, int(column[k]), f)
+        return product
 
     def _compare(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids, columns = self._dense(batch)
-        a, b = self._exact(self.rows[0], columns[0])
-        first = a @ b.T
-        hit = first > (0 if self.per_function else self.threshold)
+        first = self.rows[0] @ columns[0].T
+        # a rounded product may lie at the threshold; the exact one decides below
+        floor = 0.0 if self.per_function else float(self.threshold)
+        hit = (first > floor) | ((first >= floor) & (first >= 2.0**53))
         if self.same_block:
             ordered = self.row_ids[:, None] > ids[None, :]
             hit &= ordered
         if self.per_function:
-            yield from self._emit(*np.nonzero(hit), first[hit], ids, 0)
+            row, column = np.nonzero(hit)
+            yield from self._emit(row, column, self._products(row, column, first[hit], batch, 0), ids, 0)
             for f in range(1, self.depth):
-                a, b = self._exact(self.rows[f], columns[f])
-                product = a @ b.T
+                product = self.rows[f] @ columns[f].T
                 hit = product > 0
                 if self.same_block:
                     hit &= ordered
-                yield from self._emit(*np.nonzero(hit), product[hit], ids, f)
+                row, column = np.nonzero(hit)
+                yield from self._emit(row, column, self._products(row, column, product[hit], batch, f), ids, f)
             return
         row, column = np.nonzero(hit)
-        least = first[row, column]
+        least = self._products(row, column, first[row, column], batch, 0)
+        kept = least > self.threshold
+        row, column, least = row[kept], column[kept], least[kept]
         for f in range(1, self.depth):
             if not len(row):
                 return
-            a, b = self._exact(self.rows[f], columns[f])
+            a, b = self.rows[f], columns[f]
             if len(row) * self.SPARSE > hit.size:
                 product = (a @ b.T)[row, column]
             else:
                 product = np.einsum("ij,ij->i", a[row], b[column])
-            least = np.minimum(least, product)
-            kept = least > self.threshold
+            least = np.minimum(least, self._products(row, column, product, batch, f))
+            kept = (least > self.threshold).astype(bool)
             row, column, least = row[kept], column[kept], least[kept]
         yield from self._emit(row, column, least, ids, None)
 
@@ -384,10 +379,15 @@ class SketchKernel:
             one, two = self.row_ids[row[part]], ids[column[part]]
             arrays = {
                 "window_end": pa.array(np.full(len(one), self.window)),
-                "sid1": pa.array(np.maximum(one, two)),
-                "sid2": pa.array(np.minimum(one, two)),
+                "sid1": pa.array(np.maximum(one, two), pa.int64()),
+                "sid2": pa.array(np.minimum(one, two), pa.int64()),
             }
             if f is not None:
                 arrays["f"] = pa.array(np.full(len(one), f, dtype=np.int32))
-            arrays["similarity"] = pa.array(product[part].astype(np.int64))
+            whole = product[part]
+            if whole.dtype == object:
+                values = pa.array([decimal.Decimal(int(v)) for v in whole], pa.decimal128(38, 0))
+            else:
+                values = pa.array(whole.astype(np.int64)).cast(pa.decimal128(38, 0))
+            arrays["similarity"] = values
             yield pa.RecordBatch.from_pydict(arrays)

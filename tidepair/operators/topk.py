@@ -10,7 +10,7 @@ def top_k(scores: DataFrame, measure: str, k: int = 20, digits: int | None = Non
     """(series, topic1, topic2, similarity): the k best by one measure.
 
     Takes either all scores (a column ``cos_<measure>``) or the rows of
-    ``top_matches`` (a column ``measure``).  Null scores are left out; ties are
+    ``top_matches`` (a column ``measure``).  Null and NaN scores are left out; ties are
     broken by series and topics.  ``digits`` rounds before ranking.
     """
     if "measure" in scores.columns:
@@ -23,7 +23,7 @@ def top_k(scores: DataFrame, measure: str, k: int = 20, digits: int | None = Non
         score = F.round(score, digits)
     return (
         rows.select("series", "topic1", "topic2", score.alias("similarity"))
-        .where("similarity IS NOT NULL")
+        .where("similarity IS NOT NULL AND NOT isnan(similarity)")
         .orderBy(F.col("similarity").desc(), "series", "topic1", "topic2")
         .limit(k)
     )
@@ -44,6 +44,7 @@ def best_per_measure(matches: DataFrame, k: int = 20, digits: int | None = None)
     )
     return (
         matches.select("measure", "series", "topic1", "topic2", score.alias("similarity"))
+        .where("similarity IS NOT NULL AND NOT isnan(similarity)")
         .withColumn("position", F.row_number().over(order))
         .where(F.col("position") <= k)
     )

@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 from tidepair.functions.calendar import WeekdayCalendar
 from tidepair.sources.feed import utc_timestamp
 
-# The days that the events table covers.
-EVENT_CALENDAR = WeekdayCalendar(date(2024, 1, 1), date(2024, 1, 30))
+# A calendar without days, for a table without rows.
+NO_DAYS = WeekdayCalendar(date(1970, 1, 2), date(1970, 1, 1))
+
+
+def event_calendar(spark: SparkSession, sf_dir: str) -> WeekdayCalendar:
+    """The weekdays between the first and the last event, from one small aggregate."""
+    ends = table(spark, sf_dir, "events").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    first, last = ends.select(F.col("a").cast("date"), F.col("b").cast("date")).first()
+    return WeekdayCalendar(first, last) if first else NO_DAYS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

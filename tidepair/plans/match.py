@@ -16,11 +16,11 @@ from tidepair.session import materialize
 def prepare_series(
     prices: DataFrame,
     calendar: WeekdayCalendar = DEFAULT_CALENDAR,
-    max_series: int | None = 1000,
+    max_series: int | None = None,
     max_gap: int = 1,
     tie: str | None = None,
 ) -> DataFrame:
-    """Cleaned series, and of those the first ``max_series`` by name number.
+    """Cleaned series, all of them or the first ``max_series`` by name number.
 
     With a limit the cleaned panel is written once, since choosing the names
     and taking their rows would otherwise both clean from the start.
@@ -35,7 +35,7 @@ def match_series(
     prices: DataFrame,
     visits: DataFrame,
     calendar: WeekdayCalendar = DEFAULT_CALENDAR,
-    max_series: int | None = 1000,
+    max_series: int | None = None,
     k: int = 20,
     max_gap: int = 1,
     tie: str | None = None,

@@ -25,7 +25,8 @@ prices AS (
     FROM events),
 calendar AS (
     SELECT CAST(t.d AS DATE) AS date
-    FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 DAY) AS t(d)
+    FROM (SELECT unnest(generate_series(date_trunc('day', min(ts)), max(ts), INTERVAL 1 DAY)) AS d
+          FROM events) AS t
     WHERE isodow(t.d) <= 5),
 in_range AS (SELECT p.* FROM prices p JOIN calendar c ON c.date = p.date),
 one_row AS (
@@ -123,7 +124,7 @@ _COSINE = ", ".join([_CLEAN, _VISITS, _WEEKDAY_VISITS, _PAIRS, _scores()])
 _FIRST = f"""
 first_names AS (
     SELECT series FROM (SELECT DISTINCT series FROM clean) AS names
-    ORDER BY TRY_CAST(split_part(series, '.', 1) AS INTEGER) NULLS FIRST, series
+    ORDER BY TRY_CAST(split_part(series, '.', 1) AS HUGEINT) NULLS FIRST, series
     LIMIT {LIMIT}),
 chosen AS (SELECT * FROM clean WHERE series IN (SELECT series FROM first_names))
 """
@@ -251,7 +252,7 @@ def _top(measure: str) -> str:
 
 
 def _report() -> str:
-    parts = [_CLEAN, _FIRST, _VISITS, _WEEKDAY_VISITS, _PAIRS, _scores("chosen")]
+    parts = [_CLEAN, _VISITS, _WEEKDAY_VISITS, _PAIRS, _scores()]
     best = " UNION ALL ".join(
         f"""
     SELECT '{m}' AS measure,
@@ -294,7 +295,7 @@ ORACLES: dict[str, str] = {
         _VISITS,
         _WEEKDAY_VISITS,
         select=f"""
-    SELECT topic, {_DATE}, CAST(date_diff('day', DATE '2024-01-01', date) AS INTEGER) AS day_index,
+    SELECT topic, {_DATE}, CAST(date_diff('day', (SELECT CAST(min(ts) AS DATE) FROM events), date) AS INTEGER) AS day_index,
            visit
     FROM weekday_visits""",
     ),
@@ -345,6 +346,14 @@ ORACLES: dict[str, str] = {
         SELECT series, row_number() OVER (ORDER BY series) - 1 AS series_id
         FROM (SELECT DISTINCT series FROM prices) AS names) d ON d.series = p.series""",
     ),
+    "dictionary_encode_large": _with(
+        _PRICES,
+        select="""
+    SELECT p.event_id, d.series_id, p.series
+    FROM prices p JOIN (
+        SELECT series, row_number() OVER (ORDER BY series) - 1 AS series_id
+        FROM (SELECT DISTINCT series FROM prices) AS names) d ON d.series = p.series""",
+    ),
     "dictionary_decode": _with(_PRICES, select=" SELECT event_id, series FROM prices"),
     "topic_pairs": """
     SELECT a.topic AS topic1, b.topic AS topic2
@@ -430,7 +439,7 @@ pane_cells AS (
         f"""
 landed AS (
     SELECT ts, CAST(date_trunc('day', ts) AS TIMESTAMP) + to_days(1) AS pane_end,
-           (date_diff('day', DATE '2024-01-01', CAST(ts AS DATE))
+           (date_diff('day', (SELECT CAST(min(ts) AS DATE) FROM events), CAST(ts AS DATE))
             + CASE WHEN item >= {LATE_ITEM} THEN {LATE_DAYS} ELSE 0 END) // {PART_DAYS} AS part
     FROM feed),
 part_ends AS (SELECT part, max(ts) AS last_ts FROM landed GROUP BY 1),
@@ -448,3 +457,5 @@ judged AS (
     GROUP BY judged.pane_end HAVING count(*) FILTER (WHERE NOT late) > 0""",
     ),
 }
+ORACLES["stream_text_cells"] = ORACLES["stream_cells"]
+ORACLES["stream_similarity_parts"] = ORACLES["stream_similarity"]

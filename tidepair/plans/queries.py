@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from tidepair.functions.calendar import WeekdayCalendar
 from tidepair.functions.hashing import LinearHashes, Murmur3XorHashes
 from tidepair.operators.align import align_to_calendar, series_vectors, sum_visits
 from tidepair.operators.clean import (
@@ -27,7 +30,7 @@ from tidepair.operators.cosine import (
     cosine_vectors,
     top_matches,
 )
-from tidepair.operators.dictionary import build_dictionary, decode, encode
+from tidepair.operators.dictionary import BROADCAST_BYTES, build_dictionary, decode, encode
 from tidepair.operators.pairs import pair_series, topic_pairs
 from tidepair.operators.select import describe_series
 from tidepair.operators.sketch import (
@@ -40,7 +43,7 @@ from tidepair.operators.sketch import (
 )
 from tidepair.operators.topk import top_k
 from tidepair.plans.fixtures import (
-    EVENT_CALENDAR,
+    event_calendar,
     event_feed,
     event_prices,
     event_stream,
@@ -50,7 +53,7 @@ from tidepair.plans.fixtures import (
 )
 from tidepair.plans.match import match_series, prepare_series
 from tidepair.session import shared_folder
-from tidepair.sources.feed import naive_utc, parse_feed
+from tidepair.sources.feed import naive_utc, open_feed, parse_feed
 from tidepair.sources.series import (
     read_prices,
     read_visits,
@@ -58,7 +61,7 @@ from tidepair.sources.series import (
     write_prices,
     write_visits,
 )
-from tidepair.streaming.replay import count_late
+from tidepair.streaming.replay import count_late, replay
 from tidepair.streaming.similarity import (
     read_cells,
     read_pairs,
@@ -101,6 +104,11 @@ def _instant(column: str) -> Column:
     return naive_utc(F.col(column)).cast("string").alias(column)
 
 
+def _whole(column: str) -> Column:
+    """Products of the given tables fit 64 bits."""
+    return F.col(column).cast("bigint").alias(column)
+
+
 def _rounded(scores: DataFrame) -> DataFrame:
     return scores.select(
         "series",
@@ -110,17 +118,22 @@ def _rounded(scores: DataFrame) -> DataFrame:
     )
 
 
-def _deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return on_calendar(event_prices(spark, sf_dir, EVENT_CALENDAR), EVENT_CALENDAR, TIE)
+def _deduplicated(spark: SparkSession, sf_dir: str, calendar: WeekdayCalendar) -> DataFrame:
+    return on_calendar(event_prices(spark, sf_dir, calendar), calendar, TIE)
+
+
+def _clean(spark: SparkSession, sf_dir: str, calendar: WeekdayCalendar) -> DataFrame:
+    return clean_series(event_prices(spark, sf_dir, calendar), calendar, tie=TIE)
 
 
-def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = event_prices(spark, sf_dir, EVENT_CALENDAR)
-    return clean_series(prices, EVENT_CALENDAR, tie=TIE)
+def _visits(spark: SparkSession, sf_dir: str, calendar: WeekdayCalendar) -> DataFrame:
+    return align_to_calendar(event_visits(spark, sf_dir, calendar), calendar)
 
 
-def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return align_to_calendar(event_visits(spark, sf_dir, EVENT_CALENDAR), EVENT_CALENDAR)
+def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Cleaned series and aligned visits."""
+    calendar = event_calendar(spark, sf_dir)
+    return _clean(spark, sf_dir, calendar), _visits(spark, sf_dir, calendar)
 
 
 # -- sources ------------------------------------------------------------------
@@ -172,36 +185,41 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("calendar")
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weekdays of the calendar and the number of events on each."""
-    days = EVENT_CALENDAR.dates(spark)
-    seen = event_prices(spark, sf_dir, EVENT_CALENDAR).groupBy("date").agg(
+    days = event_calendar(spark, sf_dir)
+    weekdays = days.dates(spark)
+    seen = event_prices(spark, sf_dir, days).groupBy("date").agg(
         F.count(F.lit(1)).alias("events")
     )
-    return days.join(seen, "date", "left").select(
+    return weekdays.join(seen, "date", "left").select(
         _day(), F.coalesce("events", F.lit(0)).alias("events")
     )
 
 
 @register("calendar_grid")
 def calendar_grid_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = calendar_grid(_deduplicated(spark, sf_dir), EVENT_CALENDAR)
+    days = event_calendar(spark, sf_dir)
+    grid = calendar_grid(_deduplicated(spark, sf_dir, days), days)
     return grid.select("series", _day())
 
 
 @register("missing_slots")
 def missing_slots_of_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    missing = missing_slots(_deduplicated(spark, sf_dir), EVENT_CALENDAR)
+    days = event_calendar(spark, sf_dir)
+    missing = missing_slots(_deduplicated(spark, sf_dir, days), days)
     return missing.select("series", _day())
 
 
 @register("align_to_calendar")
 def align_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = align_to_calendar(sum_visits(event_visits(spark, sf_dir)), EVENT_CALENDAR)
+    days = event_calendar(spark, sf_dir)
+    aligned = align_to_calendar(sum_visits(event_visits(spark, sf_dir)), days)
     return aligned.select("topic", _day(), "day_index", "visit")
 
 
 @register("weekday_range_filter")
 def weekday_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = weekday_range(event_prices(spark, sf_dir, EVENT_CALENDAR), EVENT_CALENDAR)
+    days = event_calendar(spark, sf_dir)
+    rows = weekday_range(event_prices(spark, sf_dir, days), days)
     return rows.select("event_id", "series", _day(), "value")
 
 
@@ -212,7 +230,8 @@ def dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _grid(spark: SparkSession, sf_dir: str, max_gap: int) -> DataFrame:
-    return fill_gaps(_deduplicated(spark, sf_dir), EVENT_CALENDAR, max_gap)
+    days = event_calendar(spark, sf_dir)
+    return fill_gaps(_deduplicated(spark, sf_dir, days), days, max_gap)
 
 
 @register("fill_prev_weekday")
@@ -237,20 +256,23 @@ def complete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("clean_series")
 def clean_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clean(spark, sf_dir).select("series", _day(), "value")
+    days = event_calendar(spark, sf_dir)
+    return _clean(spark, sf_dir, days).select("series", _day(), "value")
 
 
 @register("clean_series_relational")
 def clean_panel_relational(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = event_prices(spark, sf_dir, EVENT_CALENDAR)
-    cleaned = clean_series_relational(prices, EVENT_CALENDAR, tie=TIE)
+    days = event_calendar(spark, sf_dir)
+    prices = event_prices(spark, sf_dir, days)
+    cleaned = clean_series_relational(prices, days, tie=TIE)
     return cleaned.select("series", _day(), "value")
 
 
 @register("limit_series")
 def limit_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = event_prices(spark, sf_dir, EVENT_CALENDAR)
-    chosen = prepare_series(prices, EVENT_CALENDAR, LIMIT, tie=TIE)
+    days = event_calendar(spark, sf_dir)
+    prices = event_prices(spark, sf_dir, days)
+    chosen = prepare_series(prices, days, LIMIT, tie=TIE)
     return chosen.select("series", _day(), "value")
 
 
@@ -282,6 +304,17 @@ def dictionary_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(prices, names, "series", "series_id").select("event_id", "series_id")
 
 
+@register("dictionary_encode_large")
+def dictionary_encode_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``dictionary_encode`` with the join for dictionaries that are not broadcast."""
+    prices = event_prices(spark, sf_dir)
+    names = replace(build_dictionary(prices, "series"), bytes=BROADCAST_BYTES + 1)
+    coded = encode(prices, names, "series", "series_id")
+    return decode(coded, names, "series_id", "series").join(
+        coded.select("event_id", "series_id"), "event_id"
+    ).select("event_id", "series_id", "series")
+
+
 @register("dictionary_decode")
 def dictionary_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = event_prices(spark, sf_dir)
@@ -297,13 +330,15 @@ def topic_pair_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("topic_pair_series")
 def topic_pair_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = pair_series(_visits(spark, sf_dir))
+    days = event_calendar(spark, sf_dir)
+    pairs = pair_series(_visits(spark, sf_dir, days))
     return pairs.select("topic1", "topic2", _day(), "mean", "min", "max")
 
 
 @register("series_vectors")
 def vectors_of_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = series_vectors(_deduplicated(spark, sf_dir), EVENT_CALENDAR)
+    days = event_calendar(spark, sf_dir)
+    vectors = series_vectors(_deduplicated(spark, sf_dir, days), days)
     return vectors.select(
         F.col("name").alias("series"), F.posexplode("vector").alias("slot", "value")
     )
@@ -314,18 +349,19 @@ def vectors_of_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("cosine_aligned")
 def cosine_by_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(cosine_aligned(_clean(spark, sf_dir), _visits(spark, sf_dir)))
+    return _rounded(cosine_aligned(*_inputs(spark, sf_dir)))
 
 
 @register("cosine_aligned_broadcast")
 def cosine_by_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(cosine_aligned_broadcast(_clean(spark, sf_dir), _visits(spark, sf_dir)))
+    return _rounded(cosine_aligned_broadcast(*_inputs(spark, sf_dir)))
 
 
 @register("cosine_vectors")
 def cosine_by_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    visits = event_visits(spark, sf_dir, EVENT_CALENDAR)
-    return _rounded(cosine_vectors(_clean(spark, sf_dir), visits, EVENT_CALENDAR))
+    days = event_calendar(spark, sf_dir)
+    visits = event_visits(spark, sf_dir, days)
+    return _rounded(cosine_vectors(_clean(spark, sf_dir, days), visits, days))
 
 
 @register("cosine_shared_days")
@@ -342,9 +378,7 @@ def cosine_shared_days_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _top(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:
-    matches = top_matches(
-        _clean(spark, sf_dir), _visits(spark, sf_dir), 20, (measure,), DIGITS
-    )
+    matches = top_matches(*_inputs(spark, sf_dir), 20, (measure,), DIGITS)
     return top_k(matches, measure, 20, DIGITS)
 
 
@@ -365,12 +399,12 @@ def top20_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("match_report")
 def match_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From raw rows to the best 20 of each measure, among the first series."""
+    """From raw rows to the best 20 of each measure, among all series."""
+    days = event_calendar(spark, sf_dir)
     return match_series(
-        event_prices(spark, sf_dir, EVENT_CALENDAR),
-        event_visits(spark, sf_dir, EVENT_CALENDAR),
-        EVENT_CALENDAR,
-        max_series=LIMIT,
+        event_prices(spark, sf_dir, days),
+        event_visits(spark, sf_dir, days),
+        days,
         tie=TIE,
         digits=DIGITS,
     )
@@ -386,31 +420,33 @@ def sketch_feed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("sketch_inner_products")
 def sketch_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inner_products(sketch_cells(event_feed(spark, sf_dir), HASHES), HASHES)
+    products = inner_products(sketch_cells(event_feed(spark, sf_dir), HASHES), HASHES)
+    return products.withColumn("product", _whole("product"))
 
 
 @register("sketch_similarity")
 def sketch_similar_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sketch_similarity(sketch_cells(event_feed(spark, sf_dir), HASHES), HASHES)
+    alike = sketch_similarity(sketch_cells(event_feed(spark, sf_dir), HASHES), HASHES)
+    return alike.withColumn("similarity", _whole("similarity"))
 
 
 @register("sketch_similarity_threshold")
 def sketch_similarity_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = sketch_cells(event_feed(spark, sf_dir), HASHES)
-    return sketch_similarity(cells, HASHES, FEED_THRESHOLD)
+    return sketch_similarity(cells, HASHES, FEED_THRESHOLD).withColumn("similarity", _whole("similarity"))
 
 
 @register("sketch_similarity_murmur3")
 def sketch_similarity_murmur3(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = sketch_cells(event_feed(spark, sf_dir), MURMUR)
-    return sketch_similarity(cells, MURMUR, FEED_THRESHOLD)
+    return sketch_similarity(cells, MURMUR, FEED_THRESHOLD).withColumn("similarity", _whole("similarity"))
 
 
 @register("sketch_similarity_windows")
 def sketch_similarity_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = window_cells(pane_cells(event_feed(spark, sf_dir), HASHES, SLIDE), SIZE, SLIDE)
     pairs = window_similarity(cells, HASHES, WINDOW_THRESHOLD)
-    return pairs.select(_instant("window_end"), "sid1", "sid2", "similarity")
+    return pairs.select(_instant("window_end"), "sid1", "sid2", _whole("similarity"))
 
 
 # -- streaming ----------------------------------------------------------------
@@ -437,7 +473,7 @@ def _run_similarity(spark: SparkSession, sf_dir: str) -> str:
 @register("stream_similarity")
 def stream_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = read_pairs(spark, _run_similarity(spark, sf_dir))
-    return pairs.select(_instant("window_end"), "sid1", "sid2", "similarity")
+    return pairs.select(_instant("window_end"), "sid1", "sid2", _whole("similarity"))
 
 
 @register("stream_progress")
@@ -446,18 +482,53 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.select(_instant("window_end"), "events", "pairs", "rows_so_far")
 
 
+def _days(spark: SparkSession, sf_dir: str) -> Column:
+    start = event_calendar(spark, sf_dir).start
+    return F.date_diff(naive_utc(F.col("ts")).cast("date"), F.lit(start))
+
+
+@register("stream_similarity_parts")
+def stream_similarity_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_similarity``, from a feed that lands in parts: state is carried
+    over micro-batches and restarts."""
+
+    def start(stream: DataFrame, out: str) -> StreamingQuery:
+        return start_similarity(stream, HASHES, out, SIZE, SLIDE, DELAY, WINDOW_THRESHOLD, once=True)
+
+    feed = event_feed(spark, sf_dir)
+    part = F.floor(_days(spark, sf_dir) / PART_DAYS)
+    _, out = replay(feed, part, start)
+    pairs = read_pairs(spark, out)
+    return pairs.select(_instant("window_end"), "sid1", "sid2", _whole("similarity"))
+
+
+@register("stream_text_cells")
+def stream_text_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_cells``, from a text feed with a broken line for every good one."""
+    lines, out = shared_folder(spark, "lines"), shared_folder(spark, "stream")
+    good = F.concat_ws(",", "sid", "item", F.unix_micros("ts"))
+    broken = F.concat_ws(",", "sid", F.lit("x"), F.unix_micros("ts"))
+    feed = event_feed(spark, sf_dir).where("sid IS NOT NULL AND item IS NOT NULL")
+    feed.select(F.explode(F.array(good, broken)).alias("value")).write.text(lines)
+    micros = F.get(F.split("value", ","), F.lit(2)).try_cast("bigint")
+    stream = parse_feed(open_feed(spark, "text", path=lines), F.timestamp_micros(micros))
+    run_for(start_cells(stream, HASHES, out, SLIDE, DELAY, once=True))
+    return read_cells(spark, out).select(_instant("pane_end"), "sid", "f", "v", "n")
+
+
 # Events with a high item arrive three days late, all others at once; the feed
 # lands in parts of ten days.
-LATE_ITEM, LATE_DAYS, PART_DAYS, PARTS = 90, 3, 10, 4
+LATE_ITEM, LATE_DAYS, PART_DAYS = 90, 3, 10
 
 
 @register("stream_late_data")
 def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = event_calendar(spark, sf_dir)
     feed = event_feed(spark, sf_dir)
     days = F.date_diff(
-        naive_utc(F.col("ts")).cast("date"), F.lit(EVENT_CALENDAR.start)
+        naive_utc(F.col("ts")).cast("date"), F.lit(days.start)
     ) + F.when(F.col("item") >= LATE_ITEM, LATE_DAYS).otherwise(0)
     part = F.floor(days / PART_DAYS).cast("int")
-    return count_late(feed, part, range(PARTS), SLIDE, DELAY).select(
+    return count_late(feed, part, SLIDE, DELAY).select(
         _instant("pane_end"), "events", "late"
     )

@@ -17,15 +17,15 @@ def build_session(
     app_name: str = "tidepair",
     master: str | None = None,
     shuffle_partitions: int | None = None,
-    state_on_disk: bool = False,
+    state_on_disk: bool = True,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """A session in UTC with adaptive execution.
 
     On a cluster leave ``master`` and ``shuffle_partitions`` to the deployment;
     adaptive execution coalesces small shuffle partitions and splits skewed
-    join partitions.  ``state_on_disk`` keeps streaming state in RocksDB instead
-    of on the heap: slower for small state, needed for large.
+    join partitions.  ``state_on_disk`` keeps streaming state in RocksDB, whose
+    size the heap does not bound.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -56,8 +56,8 @@ def tile_side(spark: SparkSession) -> int:
     return math.ceil(math.sqrt(4 * shuffle_partitions(spark)))
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder path below the folder the cluster names for checkpoints.
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the one the cluster names for checkpoints.
 
     The setting ``spark.checkpoint.dir`` (or a checkpoint folder set on the
     context) is used as it is.  Only a local session without either gets a
@@ -70,16 +70,41 @@ def shared_folder(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         root = tempfile.mkdtemp(prefix="tidepair-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/tidepair/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/tidepair/{spark.sparkContext.applicationId}"
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder path in the application's folder."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where one result feeds several jobs.  The table outlives a lost
-    executor, cuts the lineage, and its row count comes from file footers.
+    executor, cuts the lineage, and its row count comes from file footers.  It
+    stays until :func:`discard` is called with it, or :func:`discard_all`.
     """
     spark = df.sparkSession
     path = shared_folder(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._tidepair_path = path
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialized tables that nothing will read any more."""
+    for table in tables:
+        if path := getattr(table, "_tidepair_path", None):
+            _delete(table.sparkSession, path)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete every folder that this application has written below the shared one."""
+    _delete(spark, scratch_root(spark))
