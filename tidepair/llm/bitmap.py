@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BITS_FOR_KEY = 16
+BITS_FOR_KEY = 64
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
 
 

@@ -3,9 +3,12 @@
 Two documents link when their sets of ``SHINGLE``-word shingles have a Jaccard
 similarity of ``PERCENT`` or more; the result is the connected component of each.
 
-1. Frequent shingles.  Each task counts shingles in buckets and reports those far
-   above its mean.  The table has a fixed size and only orders shingles: any
-   order gives the same links, rare ones first gives few candidates.
+1. Order of shingles.  Each task counts shingles in buckets and reports those far
+   above its mean; of the shingles whose hash is in the lowest ``REGION`` it is also
+   found which occur more than once.  Shingles that occur once come first, then
+   others of the region, then the rest, frequent ones last.  Both tables have a
+   bounded size and only order shingles: any order gives the same links, rare
+   ones first gives few candidates.
 2. Classes.  Equal sets are one class, by a 128-bit digest.  A class has a prefix:
    the shingles of which any linked set must share one.
 3. Stars.  Of the classes that share one of a few prefix shingles, a random one
@@ -29,6 +32,7 @@ that repeat an id are separate rows; extra columns are ignored or kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, shuffle_partitions
+from ..session import discard, materialize, shuffle_partitions
 from .bitmap import key_bits, may_hold
 from .common import whole_text
 from .components import components
@@ -48,11 +52,12 @@ PERCENT = 80
 
 BUCKET_BITS = 22
 FAR_ABOVE = 4  # standard deviations above the mean of a task from which a bucket is reported
-PARITY = 256
+REGION = 0.35
+PARITY = 1024
 PARITIES = [f"b{i}" for i in range(PARITY // 64)]
 STAR_SHINGLES = 4
-STAR_ROUNDS = 6
-STAR_YIELD = 0.005  # share of classes a round must link for another one to follow
+STAR_ROUNDS = 12
+STAR_YIELD = 0.0005  # share of classes a round must link for another one to follow
 PIVOT_PART = 512
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -102,10 +107,79 @@ def frequent_levels(docs: DataFrame) -> np.ndarray:
     return levels
 
 
-def prefix(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """The first shingles in the common order: one more than a linked set may lack."""
-    keep = len(shingles) - -(-PERCENT * len(shingles) // 100) + 1 if len(shingles) else 0
-    return shingles[np.argsort(levels[_buckets(shingles)], kind="stable")[:keep]]
+def _in_region(shingles: np.ndarray) -> np.ndarray:
+    return shingles < np.uint64(int(REGION * 2**64))
+
+
+def repeated_shingles(docs: DataFrame) -> DataFrame:
+    """(token): the shingles of the region that occur in more than one text, at least.
+
+    Tasks pass on their sorted distinct shingles in buckets, a list for each batch.
+    """
+    spark = docs.sparkSession
+    buckets = 8 * shuffle_partitions(spark)
+
+    def deal(batches):
+        for batch in batches:
+            sets = [s[_in_region(s)] for chunk in chunks(batch.column("text")) for s in shingle_sets(chunk)]
+            flat = np.sort(np.concatenate([np.zeros(0, np.uint64), *sets]))
+            # what a batch repeats is passed on twice
+            first = np.flatnonzero(np.diff(flat, prepend=~flat[:1]))
+            once = flat[first]
+            again = once[np.diff(np.append(first, len(flat))) > 1]
+            flat = np.concatenate([once, again])
+            place = (mixed(flat) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(place, kind="stable")
+            ends = np.searchsorted(place[order], np.arange(buckets + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[order].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), lists], names=["bucket", "tokens"])
+
+    def repeats(batches):
+        held, now = [], None
+
+        def close():
+            flat = np.sort(np.concatenate(held)) if held else np.zeros(0, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(np.unique(flat[1:][flat[1:] == flat[:-1]]))], names=["token"])
+
+        for batch in batches:
+            for bucket, tokens in zip(batch.column("bucket").to_pylist(), batch.column("tokens"), strict=True):
+                if bucket != now:
+                    yield close()
+                    held, now = [], bucket
+                held.append(tokens.values.to_numpy())
+        yield close()
+
+    dealt = docs.select("text").mapInArrow(deal, "bucket long, tokens array<long>").where("size(tokens) > 0")
+    return (
+        dealt.repartition(shuffle_partitions(spark), "bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(repeats, "token long")
+    )
+
+
+class Order(NamedTuple):
+    """What is known of frequencies: levels of buckets, bits of repeated shingles."""
+
+    levels: np.ndarray
+    repeated: np.ndarray
+
+    def star(self, shingles: np.ndarray) -> np.ndarray:
+        """The first few shingles by level and hash: near copies mostly share some."""
+        return shingles[np.argsort(self.levels[_buckets(shingles)], kind="stable")[:STAR_SHINGLES]]
+
+    def prefix(self, shingles: np.ndarray) -> np.ndarray:
+        """The first shingles in the common order: one more than a linked set may lack."""
+        keep = len(shingles) - -(-PERCENT * len(shingles) // 100) + 1 if len(shingles) else 0
+        known = np.where(_in_region(shingles), may_hold(self.repeated, shingles), 2)
+        rank = self.levels[_buckets(shingles)] * np.uint8(4) + known.astype(np.uint8)
+        return shingles[np.argsort(rank, kind="stable")[:keep]]
+
+
+def shingle_order(docs: DataFrame) -> Order:
+    repeated = materialize(repeated_shingles(docs), "repeated")
+    order = Order(frequent_levels(docs), key_bits(repeated, "token"))
+    discard(repeated)
+    return order
 
 
 def parity(shingles: np.ndarray) -> bytes:
@@ -115,29 +189,35 @@ def parity(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    flat = np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with a 128-bit key of the text."""
     text = whole_text()
     return docs.withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit(1), text)})
 
 
-def signatures(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(doc_id, k1, k2, n, d1, d2, prefix) for each row: size, digest and prefix of its set."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
+def signatures(docs: DataFrame, order: Order) -> DataFrame:
+    """(doc_id, k1, k2, n, d1, d2, b*, star, prefix) for each row: size, digest, parity
+    bitmap, first shingles and prefix of its set."""
+    shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def sign(batches):
         for batch in batches:
-            n, digests, bitmaps, prefixes = [], [], [], []
+            n, digests, bitmaps, stars, prefixes = [], [], [], [], []
             for chunk in chunks(batch.column("text")):
                 for s in shingle_sets(chunk):
                     n.append(len(s))
                     digests.append(xxhash.xxh3_128_digest(s.tobytes()))
                     bitmaps.append(parity(s))
-                    prefixes.append(prefix(s, shared.value).view(np.int64))
+                    stars.append(shared.value.star(s).view(np.int64))
+                    prefixes.append(shared.value.prefix(s).view(np.int64))
             bits = np.frombuffer(b"".join(bitmaps), np.int64).reshape(-1, len(PARITIES))
             both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-            flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in ("doc_id", "k1", "k2")),
@@ -145,21 +225,21 @@ def signatures(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                     pa.array(both[:, 0]),
                     pa.array(both[:, 1]),
                     *(pa.array(bits[:, i]) for i in range(len(PARITIES))),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                    _lists(stars),
+                    _lists(prefixes),
                 ],
-                names=["doc_id", "k1", "k2", "n", "d1", "d2", *PARITIES, "prefix"],
+                names=["doc_id", "k1", "k2", "n", "d1", "d2", *PARITIES, "star", "prefix"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
     bitmap = "".join(f"{b} long, " for b in PARITIES)
     return keyed(docs.select("doc_id", "text")).mapInArrow(
-        sign, f"doc_id {kind}, k1 long, k2 long, n long, d1 long, d2 long, {bitmap}prefix array<long>"
+        sign, f"doc_id {kind}, k1 long, k2 long, n long, d1 long, d2 long, {bitmap}star array<long>, prefix array<long>"
     )
 
 
-def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, text) of the wanted classes."""
-    keys = materialize(classes.join(wanted, "cls", "left_semi").select("cls", "k1", "k2"), "keys")
+def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(cls, text) of the classes in ``keys`` (cls, k1, k2)."""
     shared = docs.sparkSession.sparkContext.broadcast(key_bits(keys, "k1"))
 
     def hold(batches):
@@ -171,7 +251,7 @@ def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link.  The text of ``a`` goes once to each part
+    """The pairs (a, b) of classes that link, as a table.  The text of ``a`` goes once to each part
     of its partners, the texts of the partners follow it."""
     spark = docs.sparkSession
     pairs = materialize(pairs, "pairs")
@@ -180,7 +260,8 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
         "a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part")
     )
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    texts = materialize(_texts(docs, classes, wanted), "texts")
+    keys = materialize(classes.join(wanted, "cls", "left_semi").select("cls", "k1", "k2"), "keys")
+    texts = materialize(_texts(docs, keys), "texts")
     pivots = many.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     rows = (
         pivots.join(texts, pivots["a"] == texts["cls"])
@@ -209,7 +290,9 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
                 [pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"]
             )
 
-    return rows.select("a", "b", "text").mapInArrow(compare, "a long, b long")
+    links = materialize(rows.select("a", "b", "text").mapInArrow(compare, "a long, b long"), "links")
+    discard(pairs, keys, texts)
+    return links
 
 
 def _alike_in_size(n: Column, m: Column) -> Column:
@@ -218,9 +301,9 @@ def _alike_in_size(n: Column, m: Column) -> Column:
 
 def star_pairs(placed: DataFrame, turn: int) -> DataFrame:
     """Pairs of a pivot and another class, of different components, that share one
-    of the first prefix shingles."""
+    of the first shingles."""
     few = placed.select(
-        "cls", "comp", "n", F.explode(F.slice("prefix", 1, STAR_SHINGLES)).alias("token")
+        "cls", "comp", "n", F.explode("star").alias("token")
     )
     draw = F.xxhash64("cls", "token", F.lit(turn))
     lists = (
@@ -291,6 +374,7 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
         shown.select(*head, "prefix").mapInArrow(hold, "".join(f"{c} long, " for c in head) + "token long"),
         "postings",
     )
+    discard(shown, shared)
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     n, m = x("n"), y("n")
     need = F.ceil(PERCENT * (n + m) / (100 + PERCENT))
@@ -339,39 +423,40 @@ def _found(spark: SparkSession, edges: list[DataFrame]) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, k1, k2), one row for each row of ``docs``."""
-    signed = materialize(signatures(docs, frequent_levels(docs)), "signatures")
+    signed = materialize(signatures(docs, shingle_order(docs)), "signatures")
     classes = materialize(
         signed.filter("n > 0")
         .groupBy("d1", "d2")
         .agg(
             F.min("doc_id").alias("doc"),
             F.min(F.struct("k1", "k2")).alias("key"),
-            *(F.first(c).alias(c) for c in ("n", *PARITIES, "prefix")),
+            *(F.first(c).alias(c) for c in ("n", *PARITIES, "star", "prefix")),
         )
-        .select(F.monotonically_increasing_id().alias("cls"), "d1", "d2", "doc", "key.*", "n", *PARITIES, "prefix"),
+        .select(F.monotonically_increasing_id().alias("cls"), "d1", "d2", "doc", "key.*", "n", *PARITIES, "star", "prefix"),
         "classes",
     )
+    ids = materialize(signed.select("doc_id", "k1", "k2", "n", "d1", "d2"), "ids")
+    discard(signed)
     total = classes.count()
     edges: list[DataFrame] = []
     found = None
     for turn in range(STAR_ROUNDS):
         pairs = star_pairs(_placed(classes, found), turn)
-        linked = materialize(verified(docs, classes, pairs), "links")
+        linked = verified(docs, classes, pairs)
         new = linked.count()
         if new:
             edges.append(linked)
             found = _found(docs.sparkSession, edges)
         if new <= STAR_YIELD * total:
             break
-    placed = materialize(_placed(classes, found), "placed")
-    linked = materialize(verified(docs, classes, prefix_pairs(placed)), "links")
+    linked = verified(docs, classes, prefix_pairs(_placed(classes, found)))
     if linked.count():
         found = _found(docs.sparkSession, [*edges, linked])
     last = _placed(classes.select("cls", "d1", "d2", "doc"), found)
     names = last.groupBy("comp").agg(F.min("doc").alias("component_id"))
     named = last.join(names, "comp").select("d1", "d2", "component_id")
-    some = signed.filter("n > 0").drop("prefix").join(named, ["d1", "d2"])
-    none = signed.filter("n = 0").withColumn("component_id", F.col("doc_id"))
+    some = ids.filter("n > 0").join(named, ["d1", "d2"])
+    none = ids.filter("n = 0").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "k1", "k2"]
     return some.select(*columns).union(none.select(*columns))
 
