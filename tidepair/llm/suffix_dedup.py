@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, shuffle_partitions
+from ..session import discard, materialize, shuffle_partitions
 from .bitmap import key_bits, may_hold
 from .common import whole_text
 from .textbytes import _DOWN, _UP, CHUNK_BYTES, chunks, mixed
@@ -47,7 +47,7 @@ from .textbytes import _DOWN, _UP, CHUNK_BYTES, chunks, mixed
 LENGTH = 200  # fixed value of the contract
 GRAM = 32
 SHALLOW = 64
-HOT = 4096
+HOT = 1024
 
 _PLACES = LENGTH - GRAM + 1  # places of an anchor within a string
 _LOW = np.uint64((1 << 20) - 1)
@@ -380,6 +380,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     every = materialize(runs(docs), "runs")
     again = materialize(every.groupBy("h").count().filter("count > 1").select("h"), "anchors")
     some = materialize(filtered(every, "h", key_bits(again, "h")), "repeated-runs")
+    discard(every, again)
     draw = F.xxhash64("k1", "k2", "at")
     known = materialize(
         some.groupBy("h", "c1", "c2").agg(
@@ -401,6 +402,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     for more in parted:
         found = found.union(more)
     found = materialize(found, "found")
+    discard(cut)
     place = F.transform(
         "spans",
         lambda s: F.struct(
