@@ -9,15 +9,16 @@
    among many siblings becomes a wildcard.
 4. Siblings whose share of blocked labels does not differ from that of all
    siblings together (two-proportion test) are one branch; others stay alone.
-5. The purity of a branch is smoothed by its host's, that one by all labels'.
-   Pages without a rule are blocked where it is above ``BLOCK_ABOVE``.
+5. The purity of a branch is smoothed by its host's, that one by ``PRIOR``.  Pages
+   without a rule are blocked where it is above ``BLOCK_ABOVE``, so a host of which
+   nothing is known is allowed.
 
 A hot host is counted with map-side partial sums; the joins back are plain
 equi-joins, which adaptive execution can split.
 
 Defined cases: a url that is null or has no ``://`` has empty host and path, fits
 no rule, and is judged as the template of the empty host; repeated rows count
-each; without any label all purities are ``PRIOR``, which allows.
+each; a host without any label has purity ``PRIOR``, which allows.
 """
 
 from __future__ import annotations
@@ -147,18 +148,15 @@ def branch_purity(templates: DataFrame) -> DataFrame:
     )
     sums = branches.groupBy("host", "branch").agg(*(F.sum(c).alias(f"_{c}") for c in total))
     hosts = each.groupBy("host").agg(*(F.sum(c).alias(f"_host_{c}") for c in total))
-    everything = each.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(f"_every_{c}") for c in total))
 
     def smoothed(name: str, prior: Column) -> Column:
         return (F.col(f"{name}_blocked") + WEIGHT * prior) / (F.col(f"{name}_labelled") + WEIGHT)
 
-    overall = everything.select(smoothed("_every", F.lit(PRIOR)).alias("_overall"))
     return (
         branches.select("host", "template", "branch")
         .join(sums, ["host", "branch"])
         .join(hosts, "host")
-        .join(F.broadcast(overall))  # one row
-        .select("host", "template", "branch", smoothed("", smoothed("_host", F.col("_overall"))).alias("purity"))
+        .select("host", "template", "branch", smoothed("", smoothed("_host", F.lit(PRIOR))).alias("purity"))
     )
 
 
