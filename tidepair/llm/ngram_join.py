@@ -11,8 +11,8 @@ similarity of ``PERCENT`` or more; the result is the connected component of each
    ones first gives few candidates.
 2. Classes.  Equal sets are one class, by a 128-bit digest.  A class has a prefix:
    the shingles of which any linked set must share one.
-3. Stars.  Of the classes that share one of a few prefix shingles, a random one
-   is the pivot and the others are verified against it.  A few rounds unite large
+3. Stars.  Of the classes that share one of their few smallest shingle hashes, a
+   random one is the pivot and the others are verified against it.  A few rounds unite large
    groups of copies with work in proportion to their members; no pairs of a group
    are listed.  This step only saves work.
 4. Grouped prefix join.  Classes with equal size and prefix are one group.  Groups
@@ -55,7 +55,8 @@ FAR_ABOVE = 4  # standard deviations above the mean of a task from which a bucke
 REGION = 0.35
 PARITY = 1024
 PARITIES = [f"b{i}" for i in range(PARITY // 64)]
-STAR_SHINGLES = 4
+STAR_SHINGLES = 3
+STAR_PARITIES = PARITIES[:4]
 STAR_ROUNDS = 12
 STAR_YIELD = 0.0005  # share of classes a round must link for another one to follow
 PIVOT_PART = 512
@@ -164,8 +165,9 @@ class Order(NamedTuple):
     repeated: np.ndarray
 
     def star(self, shingles: np.ndarray) -> np.ndarray:
-        """The first few shingles by level and hash: near copies mostly share some."""
-        return shingles[np.argsort(self.levels[_buckets(shingles)], kind="stable")[:STAR_SHINGLES]]
+        """The smallest hashes, frequent or not: near copies mostly share them, while
+        the rare shingles that come first in a prefix are those of their differences."""
+        return shingles[:STAR_SHINGLES]
 
     def prefix(self, shingles: np.ndarray) -> np.ndarray:
         """The first shingles in the common order: one more than a linked set may lack."""
@@ -299,11 +301,20 @@ def _alike_in_size(n: Column, m: Column) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
 
 
+def _least_common(n: Column, m: Column) -> Column:
+    """The least number of common shingles of linked sets of these sizes."""
+    return F.ceil(PERCENT * (n + m) / (100 + PERCENT))
+
+
+def _different_bits(pairs: list[tuple[Column, Column]]) -> Column:
+    return sum((F.bit_count(a.bitwiseXOR(b)) for a, b in pairs), F.lit(0))
+
+
 def star_pairs(placed: DataFrame, turn: int) -> DataFrame:
     """Pairs of a pivot and another class, of different components, that share one
     of the first shingles."""
     few = placed.select(
-        "cls", "comp", "n", F.explode("star").alias("token")
+        "cls", "comp", "n", *STAR_PARITIES, F.explode("star").alias("token")
     )
     draw = F.xxhash64("cls", "token", F.lit(turn))
     lists = (
@@ -311,13 +322,15 @@ def star_pairs(placed: DataFrame, turn: int) -> DataFrame:
         .agg(
             F.min("comp").alias("_low"),
             F.max("comp").alias("_high"),
-            *(F.min_by(c, draw).alias(f"_{c}") for c in ("cls", "comp", "n")),
+            *(F.min_by(c, draw).alias(f"_{c}") for c in ("cls", "comp", "n", *STAR_PARITIES)),
         )
         .filter("_low < _high")
     )
+    differ = _different_bits([(F.col(b), F.col(f"_{b}")) for b in STAR_PARITIES])
+    n, m = F.col("n"), F.col("_n")
     return (
         few.join(lists, "token")
-        .filter((F.col("comp") != F.col("_comp")) & _alike_in_size(F.col("n"), F.col("_n")))
+        .filter((F.col("comp") != F.col("_comp")) & _alike_in_size(n, m) & (differ <= n + m - 2 * _least_common(n, m)))
         .select(F.col("_cls").alias("a"), F.col("cls").alias("b"))
         .distinct()
     )
@@ -377,8 +390,8 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
     discard(shown, shared)
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     n, m = x("n"), y("n")
-    need = F.ceil(PERCENT * (n + m) / (100 + PERCENT))
-    differ = sum((F.bit_count(x(b).bitwiseXOR(y(b))) for b in PARITIES), F.lit(0))
+    need = _least_common(n, m)
+    differ = _different_bits([(x(b), y(b)) for b in PARITIES])
     pairs = (
         postings.alias("x")
         .join(
