@@ -53,10 +53,10 @@ PERCENT = 80
 BUCKET_BITS = 22
 FAR_ABOVE = 4  # standard deviations above the mean of a task from which a bucket is reported
 REGION = 0.35
-PARITY = 1024
+PARITY = 2048
 PARITIES = [f"b{i}" for i in range(PARITY // 64)]
 STAR_SHINGLES = 3
-STAR_PARITIES = PARITIES[:4]
+STAR_PARITIES = PARITIES[:8]
 STAR_ROUNDS = 12
 STAR_YIELD = 0.0005  # share of classes a round must link for another one to follow
 PIVOT_PART = 512
