@@ -142,3 +142,19 @@ def test_templates_learn_from_labels(spark):
     rules = (("block", "h.org/bad/a"), ("block", "h.org/bad/b"), ("allow", "h.org/good/"))
     last = judge_urls(pages, rules).filter("rule IS NULL").collect()
     assert [r["verdict"] for r in last] == ["block"]
+
+
+def test_branches_without_labels_are_allowed(spark):
+    rows = [f"http://h.net/es/{i}" for i in range(50)]
+    rows += [f"http://h.net/{w}/{i}" for w in ("en", "de") for i in range(20)] + ["http://h.net", "http://h.net/en"]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in judge_urls(pages).collect()}
+    assert got == {i: "block" if "/es/" in u else "allow" for i, u in enumerate(rows)}
+
+
+def test_few_labels_of_a_branch_count_against_its_host(spark):
+    rows = [f"http://h.org/bad/{i}" for i in range(60)] + ["http://h.org/mixed/a1", "http://h.org/mixed/b1", "http://h.org/mixed/a2"]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    rules = (("block", "h.org/bad/"), ("allow", "h.org/mixed/a1"), ("block", "h.org/mixed/b"))
+    last = judge_urls(pages, rules).filter("rule IS NULL").collect()
+    assert [r["verdict"] for r in last] == ["allow"]

@@ -9,16 +9,18 @@
    among many siblings becomes a wildcard.
 4. Siblings whose share of blocked labels does not differ from that of all
    siblings together (two-proportion test) are one branch; others stay alone.
-5. The purity of a branch is smoothed by its host's, that one by ``PRIOR``.  Pages
-   without a rule are blocked where it is above ``BLOCK_ABOVE``, so a host of which
-   nothing is known is allowed.
+5. The purity of a branch is its share of blocked labels, smoothed by that of its
+   host or by ``PRIOR``, whichever is lower: rules may label one verdict only, so
+   the host's share can speak for a branch but not against it.  Pages without a
+   rule are blocked where the purity is above ``BLOCK_ABOVE``, which takes labels
+   of the branch itself.
 
 A hot host is counted with map-side partial sums; the joins back are plain
 equi-joins, which adaptive execution can split.
 
 Defined cases: a url that is null or has no ``://`` has empty host and path, fits
 no rule, and is judged as the template of the empty host; repeated rows count
-each; a host without any label has purity ``PRIOR``, which allows.
+each; a branch without any label has at most purity ``PRIOR``, which allows.
 """
 
 from __future__ import annotations
@@ -152,11 +154,12 @@ def branch_purity(templates: DataFrame) -> DataFrame:
     def smoothed(name: str, prior: Column) -> Column:
         return (F.col(f"{name}_blocked") + WEIGHT * prior) / (F.col(f"{name}_labelled") + WEIGHT)
 
+    prior = F.least(smoothed("_host", F.lit(PRIOR)), F.lit(PRIOR))
     return (
         branches.select("host", "template", "branch")
         .join(sums, ["host", "branch"])
         .join(hosts, "host")
-        .select("host", "template", "branch", smoothed("", smoothed("_host", F.lit(PRIOR))).alias("purity"))
+        .select("host", "template", "branch", smoothed("", prior).alias("purity"))
     )
 
 
