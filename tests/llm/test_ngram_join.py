@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from itertools import combinations
 
-from tidepair.llm import queries
+from tidepair.llm import ngram_join, queries
 from tidepair.llm.components import components
 from tidepair.llm.ngram_join import drop_near_duplicates, near_duplicates
 
@@ -95,3 +95,22 @@ def test_components(spark, rng):
         for a, b in edges:
             least[a] = least[b] = min(least[a], least[b])
     assert {n: c for n, c in least.items() if n != c} == found
+
+
+def alike_in_prefix_only():
+    """Per kind two texts of equal size and prefix but other shingles, and for each a
+    text that links with it only.  What is common sorts last: it is in many texts."""
+    rows = []
+    for kind in range(4):
+        rare = " ".join(f"r{kind}x{i}" for i in range(44))
+        for side, cut in ((0, 5), (1, 3)):
+            often = [f"s{kind}x{i}" for i in range(4)] + [f"f{kind}x{side}x{i}" for i in range(70)]
+            rows += [(len(rows), f"{rare} {' '.join(often)}"), (len(rows) + 1, f"{rare} {' '.join(often[:-cut])}")]
+            rows += [(len(rows) + i, " ".join(often)) for i in range(60)]
+    return rows
+
+
+def test_members_that_are_not_shown_link(documents, monkeypatch):
+    rows = alike_in_prefix_only()
+    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 0)
+    assert rows_of(near_duplicates(documents(rows))) == expected(rows)

@@ -18,7 +18,9 @@ similarity of ``PERCENT`` or more; the result is the connected component of each
 4. Grouped prefix join.  Classes with equal size and prefix are one group.  Groups
    that share a prefix shingle, are not yet in one component, differ little
    enough in size and share enough of their prefixes are expanded to their
-   members, and pairs of members in different components are verified.
+   members, and pairs of members in different components are verified.  A group
+   is compared by the bitmap of one member, so the bits in which its members
+   vary are allowed on top.
    Pairs within one component need no proof, all others are looked at: no link
    between components is lost.
 
@@ -340,23 +342,31 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
     """Pairs of classes of different components whose groups pass the filters."""
     spark = placed.sparkSession
     members = materialize(
-        placed.select("cls", "comp", "n", F.xxhash64("n", "prefix").alias("g1"), F.xxhash64(F.lit(1), "n", "prefix").alias("g2")),
+        placed.select(
+            "cls", "comp", "n", *PARITIES,
+            F.xxhash64("n", "prefix").alias("g1"), F.xxhash64(F.lit(1), "n", "prefix").alias("g2"),
+        ),
         "members",
     )
+    # no member has more bits than these that differ from those of the member shown
+    varied = sum((F.bit_count(F.bit_or(b).bitwiseXOR(F.bit_and(b))) for b in PARITIES), F.lit(0))
     groups = members.groupBy("g1", "g2").agg(
-        F.min("cls").alias("grp"), F.min("comp").alias("_low"), F.max("comp").alias("_high")
+        F.min("cls").alias("grp"),
+        F.min("comp").alias("_low"),
+        F.max("comp").alias("_high"),
+        varied.cast("long").alias("slack"),
     )
     # a group with members of several components differs from every component
     groups = materialize(
         groups.select(
-            "g1", "g2", "grp",
+            "g1", "g2", "grp", "slack",
             F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(-1 - F.col("grp")).alias("gcomp"),
         ),
         "groups",
     )
     shown = materialize(
-        placed.join(groups.select(F.col("grp").alias("cls"), "gcomp"), "cls").select(
-            F.col("cls").alias("grp"), "gcomp", "n", *PARITIES, "prefix"
+        placed.join(groups.select(F.col("grp").alias("cls"), "gcomp", "slack"), "cls").select(
+            F.col("cls").alias("grp"), "gcomp", "n", "slack", *PARITIES, "prefix"
         ),
         "group-prefixes",
     )
@@ -370,7 +380,7 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
     )
     bits = spark.sparkContext.broadcast(key_bits(shared, "token"))
 
-    head = ["grp", "gcomp", "n", *PARITIES]
+    head = ["grp", "gcomp", "n", "slack", *PARITIES]
 
     def hold(batches):
         for batch in batches:
@@ -400,7 +410,7 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
             & (x("grp") < y("grp"))
             & (x("gcomp") != y("gcomp"))
             & _alike_in_size(n, m)
-            & (differ <= n + m - 2 * need),
+            & (differ <= n + m - 2 * need + x("slack") + y("slack")),
         )
         .groupBy(x("grp").alias("grp"), y("grp").alias("_grp"))
         .agg(F.count("*").alias("common"), F.first(need - F.ceil(F.greatest(n, m) * PERCENT / 100) + 1).alias("least"))
