@@ -114,3 +114,21 @@ def test_members_that_are_not_shown_link(documents, monkeypatch):
     rows = alike_in_prefix_only()
     monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 0)
     assert rows_of(near_duplicates(documents(rows))) == expected(rows)
+
+
+def test_only_members_with_alike_bitmaps_are_read(documents, monkeypatch):
+    pairs = []
+    found = ngram_join.verified
+    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(ngram_join, "verified", lambda docs, classes, p: pairs.append(p.count()) or found(docs, classes, p))
+    near_duplicates(documents(alike_in_prefix_only()))
+    assert pairs == [8]  # the links: two per kind
+
+
+def test_copies_go_before_texts_meet_their_keys(documents):
+    docs = documents([(i, t) for i, t in enumerate(["a b c", "a b c", "d", "e"])])
+    keys = ngram_join.keyed(docs).filter("doc_id IN (1, 2)").selectExpr("doc_id AS cls", "k1", "k2")
+    texts = ngram_join._texts(docs, keys)
+    assert sorted(map(tuple, texts.collect())) == [(1, "a b c"), (2, "d")]
+    plan = texts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")

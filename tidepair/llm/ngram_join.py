@@ -18,9 +18,9 @@ similarity of ``PERCENT`` or more; the result is the connected component of each
 4. Grouped prefix join.  Classes with equal size and prefix are one group.  Groups
    that share a prefix shingle, are not yet in one component, differ little
    enough in size and share enough of their prefixes are expanded to their
-   members, and pairs of members in different components are verified.  A group
-   is compared by the bitmap of one member, so the bits in which its members
-   vary are allowed on top.
+   members, and pairs of members in different components whose own bitmaps
+   differ little enough are verified.  A group is compared by the bitmap of one
+   member, so the bits in which its members vary are allowed on top.
    Pairs within one component need no proof, all others are looked at: no link
    between components is lost.
 
@@ -251,7 +251,8 @@ def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(may_hold(shared.value, batch.column("k1").to_numpy())))
 
     found = keyed(docs.select("text")).mapInArrow(hold, "text string, k1 long, k2 long")
-    return found.join(keys, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("cls", "text")
+    # copies go in the map tasks, not all to the one key that they share
+    return found.dropDuplicates(["k1", "k2"]).join(keys, ["k1", "k2"]).select("cls", "text")
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -418,14 +419,20 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
         .select("grp", "_grp")
         .union(groups.filter("gcomp < 0").select("grp", F.col("grp").alias("_grp")))
     )
-    of = members.join(groups.select("g1", "g2", "grp"), ["g1", "g2"]).select("grp", "cls", "comp")
-    left = of.select("grp", F.col("cls").alias("a"), F.col("comp").alias("_left"))
-    right = of.select(F.col("grp").alias("_grp"), F.col("cls").alias("b"), F.col("comp").alias("_right"))
+    of = members.join(groups.select("g1", "g2", "grp"), ["g1", "g2"])
+    left = of.select("grp", *(F.col(c).alias(f"_{c}") for c in ("cls", "comp", "n", *PARITIES)))
+    right = of.select(F.col("grp").alias("_grp"), "cls", "comp", "n", *PARITIES)
+    differ = _different_bits([(F.col(b), F.col(f"_{b}")) for b in PARITIES])
+    n, m = F.col("n"), F.col("_n")
     return (
         pairs.join(left, "grp")
         .join(right, "_grp")
-        .filter((F.col("_left") != F.col("_right")) & ((F.col("grp") != F.col("_grp")) | (F.col("a") < F.col("b"))))
-        .select("a", "b")
+        .filter(
+            (F.col("_comp") != F.col("comp"))
+            & ((F.col("grp") != F.col("_grp")) | (F.col("_cls") < F.col("cls")))
+            & (differ <= n + m - 2 * _least_common(n, m))
+        )
+        .select(F.col("_cls").alias("a"), F.col("cls").alias("b"))
     )
 
 
