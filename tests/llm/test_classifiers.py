@@ -56,3 +56,14 @@ def test_toxicity_of_odd_rows(spark, documents):
     for some in (labels, labels.filter("toxic = 0"), labels.limit(0)):
         out = toxicity.score_toxicity(docs, toxicity.train(docs, some), ["doc_id"]).collect()
         assert len(out) == len(ODD_TEXTS) and all(0 <= r["score"] <= 1 for r in out)
+
+
+def test_toxicity_sample_is_a_top_k_of_each_class(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 7)
+    usable = spark.range(300).select(F.col("id").alias("doc_id"), (F.col("id") % 10 == 0).cast("int").alias("toxic"))
+    chosen = toxicity._chosen(usable)
+    rows = [tuple(r) for r in usable.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    want = [r for y in (0, 1) for r in [r for r in rows if r[1] == y][:7]]
+    assert sorted(map(tuple, chosen.collect())) == sorted(want)
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "TakeOrderedAndProject" in plan

@@ -29,7 +29,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out
@@ -168,6 +168,19 @@ class Model(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(features(counts, self.times) @ self.weights, -30, 30)))
 
 
+def _chosen(usable: DataFrame) -> DataFrame:
+    """(doc_id, toxic): the ``SAMPLE_ROWS`` labels of each class with the least hashes.
+    Every task passes on its least ones only."""
+    clean, toxic = (
+        usable.filter(F.col("toxic") == y)
+        .select("doc_id", "toxic")
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(SAMPLE_ROWS)
+        for y in (0, 1)
+    )
+    return clean.union(toxic)
+
+
 def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     """(text, toxic) of the sample, and the numbers of all labels that may be learned from."""
     usable = (
@@ -176,13 +189,9 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, in
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
     sizes = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= SAMPLE_ROWS)
+    chosen = _chosen(usable)
     # at most 2 * SAMPLE_ROWS ids
-    ids = docs.sparkSession.createDataFrame(
-        [(r["doc_id"], r["toxic"]) for r in chosen.select("doc_id", "toxic").collect()],
-        chosen.select("doc_id", "toxic").schema,
-    )
+    ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in chosen.collect()], chosen.schema)
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic"), sizes
 
 
