@@ -13,6 +13,7 @@ from .language_id import identify_language, train
 from .mixing import taken_words
 from .ngram_join import near_duplicates
 from .pii import scan_personal_data
+from .resampling import resample
 from .secrets import scan_secrets
 from .suffix_dedup import without_repeats
 from .url_filter import judge_urls
@@ -95,6 +96,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return resample(docs, benchmark, ["doc_id"]).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -147,6 +153,7 @@ REGISTRY = {
     "op8_language_id": op8_language_id,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_ngram_join": op10_ngram_join,
+    "op12_resampling": op12_resampling,
 }
 
 ORACLES = {
