@@ -17,6 +17,7 @@ from .resampling import resample
 from .secrets import scan_secrets
 from .suffix_dedup import without_repeats
 from .url_filter import judge_urls
+from .vector_codes import compress
 
 
 def _spelt(spans: Column, kinds: tuple[str, ...]) -> Column:
@@ -96,6 +97,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return resample(docs, benchmark, ["doc_id"]).select("doc_id", "n_features", "weight", "score", "rank")
@@ -142,6 +147,51 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+
+def _vector_codes_sql(rounds: int = 6) -> str:
+    """Rounds as a chain of tables: the nearest entries, then the entries of their means."""
+
+    def assign(turn: int) -> str:
+        return f"""far{turn} AS (
+  SELECT vec_id, p, j, sum((x.c - e.c) * (x.c - e.c)) AS d
+  FROM x JOIN e{turn} e USING (p, i) GROUP BY vec_id, p, j),
+near{turn} AS MATERIALIZED (
+  SELECT vec_id, p, j, d FROM far{turn}
+  QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY d, j) = 1)"""
+
+    chain = "".join(
+        f"""{assign(t)},
+mean{t} AS (
+  SELECT p, j, i, CAST(floor(sum(c) / count(*)) AS BIGINT) AS c
+  FROM near{t} JOIN x USING (vec_id, p) GROUP BY p, j, i),
+e{t + 1} AS MATERIALIZED (
+  SELECT p, j, i, coalesce(m.c, e.c) AS c FROM e{t} e LEFT JOIN mean{t} m USING (p, j, i)),
+"""
+        for t in range(rounds)
+    )
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, embedding AS v, CAST(len(embedding) // 8 AS BIGINT) AS w FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+x AS MATERIALIZED (
+  SELECT vec_id, k // w AS p, k % w AS i, CAST(floor(4096 * CAST(v[k + 1] AS DOUBLE)) AS BIGINT) AS c
+  FROM (SELECT vec_id, v, w, unnest(range(0, 8 * w)) AS k FROM kept)),
+seeds AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS j FROM kept ORDER BY vec_id LIMIT 16),
+e0 AS MATERIALIZED (SELECT p, j, i, c FROM seeds JOIN x USING (vec_id)),
+{chain}{assign(rounds)},
+codes AS (
+  SELECT vec_id, string_agg(format('{{:02x}}', j), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY vec_id),
+books AS (
+  SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, j, i)) AS codebooks_sha256 FROM e{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  codebooks_sha256
+FROM codes JOIN kept USING (vec_id), books
+"""
+
+
 REGISTRY = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secrets": op2_secrets,
@@ -153,10 +203,12 @@ REGISTRY = {
     "op8_language_id": op8_language_id,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_ngram_join": op10_ngram_join,
+    "op11_vector_codes": op11_vector_codes,
     "op12_resampling": op12_resampling,
 }
 
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
     "op4_decontaminate": OP4_SQL,
+    "op11_vector_codes": _vector_codes_sql(),
 }
