@@ -24,10 +24,10 @@ def whole_text(text: Column | str = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def held_out(key: Column | str = "doc_id") -> Column:
+def held_out(key: Column | str = "doc_id", folds: int = FOLDS, remainder: int = HELD_OUT) -> Column:
     """True for the rows that no model may learn from.  A null key counts as empty text."""
     key = F.col(key) if isinstance(key, str) else key
-    return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % FOLDS == HELD_OUT
+    return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % folds == remainder
 
 
 def lower_ascii(text: Column) -> Column:

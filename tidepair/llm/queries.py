@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, secrets, toxicity
+from . import pii, quality, secrets, toxicity
 from .common import held_out, table
 from .decontaminate import find_passages, hit_words
 from .exact_dedup import duplicate_groups
@@ -106,6 +106,12 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(docs, benchmark, ["doc_id"]).select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held = held_out("doc_id", quality.FOLDS, quality.HELD_OUT)
+    return quality.score_quality(docs, labels, ["doc_id"]).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -205,6 +211,7 @@ REGISTRY = {
     "op10_ngram_join": op10_ngram_join,
     "op11_vector_codes": op11_vector_codes,
     "op12_resampling": op12_resampling,
+    "op13_quality": op13_quality,
 }
 
 ORACLES = {
