@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from itertools import combinations
 
+import numpy as np
+
 from tidepair.llm import ngram_join, queries
 from tidepair.llm.components import components
 from tidepair.llm.ngram_join import drop_near_duplicates, near_duplicates
@@ -120,7 +122,7 @@ def test_only_members_with_alike_bitmaps_are_read(documents, monkeypatch):
     pairs = []
     found = ngram_join.verified
     monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 0)
-    monkeypatch.setattr(ngram_join, "verified", lambda docs, classes, p: pairs.append(p.count()) or found(docs, classes, p))
+    monkeypatch.setattr(ngram_join, "verified", lambda texts, p: pairs.append(p.count()) or found(texts, p))
     near_duplicates(documents(alike_in_prefix_only()))
     assert pairs == [8]  # the links: two per kind
 
@@ -128,7 +130,60 @@ def test_only_members_with_alike_bitmaps_are_read(documents, monkeypatch):
 def test_copies_go_before_texts_meet_their_keys(documents):
     docs = documents([(i, t) for i, t in enumerate(["a b c", "a b c", "d", "e"])])
     keys = ngram_join.keyed(docs).filter("doc_id IN (1, 2)").selectExpr("doc_id AS cls", "k1", "k2")
-    texts = ngram_join._texts(docs, keys)
-    assert sorted(map(tuple, texts.collect())) == [(1, "a b c"), (2, "d")]
-    plan = texts._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, ngram_join.texts_of(docs, keys).collect())) == [(1, "a b c"), (2, "d")]
+    plan = ngram_join._matched(ngram_join.keyed(docs), keys)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("Aggregate")
+
+
+def swapped(text, size):
+    """``text`` followed by itself with a and b swapped, and so on: for two beginnings such
+    words agree in every polynomial hash modulo a power of two."""
+    while len(text) < size:
+        text += text.translate({97: 98, 98: 97})
+    return text
+
+
+def test_words_made_to_clash_do_not_link(documents):
+    one, two = swapped("a", 2048), swapped("b", 2048)
+    rows = [(1, one), (2, two), (3, f"q w e r {one}"), (4, f"q w e r {two}"), (5, f"{one} " * 6), (6, f"{two} " * 6)]
+    assert rows_of(near_duplicates(documents(rows))) == expected(rows)
+
+
+def equal_hashes(chunk):
+    """Sets whose hashes all clash."""
+    for found in ngram_join.shingle_sets(chunk):
+        yield np.arange(len(found), dtype=np.uint64)
+
+
+def test_links_are_compared_by_words(documents):
+    texts = documents([(1, "a b c d e f"), (2, "u v w x y z"), (3, "a b c d e  F")]).selectExpr("doc_id AS cls", "text")
+    pairs = texts.sparkSession.createDataFrame([(1, 2), (1, 3)], "a long, b long")
+    assert sorted(map(tuple, ngram_join.verified(texts, pairs, equal_hashes).collect())) == [(1, 3)]
+
+
+def test_a_round_of_stars_costs_the_same_each_time(spark, documents, monkeypatch, rng):
+    """Jobs of a round do not grow with the rounds before."""
+    vocabulary = [f"w{i}" for i in range(300)]
+    base = [rng.choice(vocabulary) for _ in range(60)]
+    rows = []
+    for i in range(120):  # members that are mostly just below and above the bound
+        words = list(base)
+        for _ in range(rng.choice((1, 2))):
+            words[rng.randrange(60)] = rng.choice(vocabulary)
+        rows.append((i, " ".join(words)))
+    docs = documents(rows)
+    monkeypatch.setattr(ngram_join, "STAR_YIELD", -1)
+    jobs = []
+    found = ngram_join.star_pairs
+
+    def watched(*args):
+        jobs.append(0)
+        spark.sparkContext.setJobGroup(f"round {len(jobs)}", "")
+        return found(*args)
+
+    monkeypatch.setattr(ngram_join, "star_pairs", watched)
+    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 6)
+    assert rows_of(near_duplicates(docs)) == expected(rows)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    counts = [len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"round {k}")) for k in range(2, 6)]
+    assert 0 < max(counts) <= min(counts) + 12 and max(counts) <= 40

@@ -7,6 +7,7 @@ Its size is bounded by ``MOST_BITS`` whatever the number of keys.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +34,23 @@ def key_bits(keys: DataFrame, column: str) -> np.ndarray:
 def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     slot = keys.astype(np.uint64, copy=False) >> np.uint64(64 - (len(bits) * 64).bit_length() + 1)
     return (bits.view(np.uint64)[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+class Held:
+    """A filter that tasks read, until it is let go of."""
+
+    def __init__(self, keys: DataFrame, column: str):
+        self.shared = keys.sparkSession.sparkContext.broadcast(key_bits(keys, column))
+
+    def filter(self, rows: DataFrame, column: str) -> DataFrame:
+        """The rows whose key may be in the set."""
+        shared = self.shared
+
+        def hold(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(may_hold(shared.value, batch.column(column).to_numpy())))
+
+        return rows.mapInArrow(hold, rows.schema)
+
+    def close(self) -> None:
+        self.shared.destroy()

@@ -14,17 +14,19 @@ similarity of ``PERCENT`` or more; the result is the connected component of each
 3. Stars.  Of the classes that share one of their few smallest shingle hashes, a
    random one is the pivot and the others are verified against it.  A few rounds unite large
    groups of copies with work in proportion to their members; no pairs of a group
-   are listed.  This step only saves work.
+   are listed.  The texts of these classes are fetched once for all rounds, and new
+   links are added to the stars of the rounds before.  This step only saves work.
 4. Grouped prefix join.  Classes with equal size and prefix are one group.  Groups
    that share a prefix shingle, are not yet in one component, differ little
    enough in size and share enough of their prefixes are expanded to their
    members, and pairs of members in different components whose own bitmaps
-   differ little enough are verified.  A group is compared by the bitmap of one
-   member, so the bits in which its members vary are allowed on top.
+   differ little enough are verified.  Groups of one member are compared by its
+   bitmap before that.
    Pairs within one component need no proof, all others are looked at: no link
    between components is lost.
 
-Verification reads whole texts again.  Hot pivots are dealt out in parts.
+Verification reads whole texts again, and what agrees by hashes of words is compared
+word by word before it is a link.  Hot pivots are dealt out in parts.
 
 Defined cases: null and wordless texts have no shingles and are alone; a text of
 fewer words is one shingle; the component of rows without any id is null; rows
@@ -43,10 +45,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import discard, materialize, shuffle_partitions
-from .bitmap import key_bits, may_hold
+from .bitmap import Held, key_bits, may_hold
 from .common import whole_text
-from .components import components
-from .textbytes import VISIBLE, Chunk, chunks, mixed, words
+from .components import contracted, labels, united
+from .textbytes import LOWER, VISIBLE, Chunk, chunks, mixed, words
 
 # Fixed values of the contract.
 SHINGLE = 5
@@ -56,9 +58,7 @@ BUCKET_BITS = 22
 FAR_ABOVE = 4  # standard deviations above the mean of a task from which a bucket is reported
 REGION = 0.35
 PARITY = 2048
-PARITIES = [f"b{i}" for i in range(PARITY // 64)]
 STAR_SHINGLES = 3
-STAR_PARITIES = PARITIES[:8]
 STAR_ROUNDS = 12
 STAR_YIELD = 0.0005  # share of classes a round must link for another one to follow
 PIVOT_PART = 512
@@ -206,8 +206,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def signatures(docs: DataFrame, order: Order) -> DataFrame:
-    """(doc_id, k1, k2, n, d1, d2, b*, star, prefix) for each row: size, digest, parity
-    bitmap, first shingles and prefix of its set."""
+    """(doc_id, k1, k2, n, d1, d2, bits, star, prefix) for each row, as a table: size,
+    digest, parity bitmap, first shingles and prefix of its set."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def sign(batches):
@@ -217,10 +217,9 @@ def signatures(docs: DataFrame, order: Order) -> DataFrame:
                 for s in shingle_sets(chunk):
                     n.append(len(s))
                     digests.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    bitmaps.append(parity(s))
+                    bitmaps.append(np.frombuffer(parity(s), np.int64))
                     stars.append(shared.value.star(s).view(np.int64))
                     prefixes.append(shared.value.prefix(s).view(np.int64))
-            bits = np.frombuffer(b"".join(bitmaps), np.int64).reshape(-1, len(PARITIES))
             both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -228,45 +227,60 @@ def signatures(docs: DataFrame, order: Order) -> DataFrame:
                     pa.array(n, pa.int64()),
                     pa.array(both[:, 0]),
                     pa.array(both[:, 1]),
-                    *(pa.array(bits[:, i]) for i in range(len(PARITIES))),
-                    _lists(stars),
-                    _lists(prefixes),
+                    *(_lists(x) for x in (bitmaps, stars, prefixes)),
                 ],
-                names=["doc_id", "k1", "k2", "n", "d1", "d2", *PARITIES, "star", "prefix"],
+                names=["doc_id", "k1", "k2", "n", "d1", "d2", "bits", "star", "prefix"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    bitmap = "".join(f"{b} long, " for b in PARITIES)
-    return keyed(docs.select("doc_id", "text")).mapInArrow(
-        sign, f"doc_id {kind}, k1 long, k2 long, n long, d1 long, d2 long, {bitmap}star array<long>, prefix array<long>"
+    lists = "bits array<long>, star array<long>, prefix array<long>"
+    signed = keyed(docs.select("doc_id", "text")).mapInArrow(
+        sign, f"doc_id {kind}, k1 long, k2 long, n long, d1 long, d2 long, {lists}"
     )
+    signed = materialize(signed, "signatures")
+    shared.destroy()
+    return signed
 
 
-def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(cls, text) of the classes in ``keys`` (cls, k1, k2)."""
-    shared = docs.sparkSession.sparkContext.broadcast(key_bits(keys, "k1"))
+def texts_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, text) of ``classes`` (cls, k1, k2), as a table."""
+    keys = materialize(classes.select("cls", "k1", "k2"), "keys")
+    held = Held(keys, "k1")
+    texts = materialize(_matched(held.filter(keyed(docs.select("text")), "k1"), keys), "texts")
+    held.close()
+    discard(keys)
+    return texts
 
-    def hold(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(may_hold(shared.value, batch.column("k1").to_numpy())))
 
-    found = keyed(docs.select("text")).mapInArrow(hold, "text string, k1 long, k2 long")
-    # copies go in the map tasks, not all to the one key that they share
-    return found.dropDuplicates(["k1", "k2"]).join(keys, ["k1", "k2"]).select("cls", "text")
+def _matched(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """(cls, text) of the rows (text, k1, k2) that have a key.  Copies go in the map tasks, not
+    all to the one key that they share."""
+    return rows.dropDuplicates(["k1", "k2"]).join(keys, ["k1", "k2"]).select("cls", "text")
 
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link, as a table.  The text of ``a`` goes once to each part
-    of its partners, the texts of the partners follow it."""
-    spark = docs.sparkSession
-    pairs = materialize(pairs, "pairs")
+def word_shingles(text: bytes) -> set[tuple[bytes, ...]]:
+    """The set of a text as words, to compare what agrees by hashes."""
+    w = text.translate(_FOLDED).split(b" ")
+    w = [x for x in w if x]
+    return {tuple(w[i : i + SHINGLE]) for i in range(max(1, len(w) - SHINGLE + 1))} if w else set()
+
+
+_FOLDED = bytes(int(b) if VISIBLE[b] else 0x20 for b in LOWER)
+
+
+def _linked(common: int, n: int, m: int) -> bool:
+    return common > 0 and 100 * common >= PERCENT * (n + m - common)
+
+
+def verified(texts: DataFrame, pairs: DataFrame, sets=shingle_sets) -> DataFrame:
+    """The pairs (a, b) of classes that link, as a table.  ``pairs`` is a table; ``texts`` has
+    (cls, text).  The text of ``a`` goes once to each part of its partners, the texts of
+    the partners follow it.  ``sets`` gives the hashes that are compared first."""
+    spark = pairs.sparkSession
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PIVOT_PART).alias("parts"))
     dealt = pairs.join(many, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part")
     )
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    keys = materialize(classes.join(wanted, "cls", "left_semi").select("cls", "k1", "k2"), "keys")
-    texts = materialize(_texts(docs, keys), "texts")
     pivots = many.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     rows = (
         pivots.join(texts, pivots["a"] == texts["cls"])
@@ -277,27 +291,30 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     )
 
     def compare(batches):
-        pivot = np.zeros(0, np.uint64)
+        pivot, in_words, whole = np.zeros(0, np.uint64), None, b""
         for batch in batches:
             left, right = [], []
             ends = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
             for chunk in chunks(batch.column("text")):
-                for s in shingle_sets(chunk):
+                places = zip(chunk.offsets[:-1].tolist(), chunk.offsets[1:].tolist(), strict=True)
+                for s, (begin, end) in zip(sets(chunk), places, strict=True):
                     a, b = next(ends)
                     if b is None:
-                        pivot = s
+                        pivot, in_words, whole = s, None, chunk.data[begin:end].tobytes()
                         continue
                     common = len(np.intersect1d(pivot, s, assume_unique=True))
-                    if common and 100 * common >= PERCENT * (len(pivot) + len(s) - common):
+                    if not _linked(common, len(pivot), len(s)):
+                        continue
+                    in_words = word_shingles(whole) if in_words is None else in_words
+                    other = word_shingles(chunk.data[begin:end].tobytes())
+                    if _linked(len(in_words & other), len(in_words), len(other)):
                         left.append(a)
                         right.append(b)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"]
             )
 
-    links = materialize(rows.select("a", "b", "text").mapInArrow(compare, "a long, b long"), "links")
-    discard(pairs, keys, texts)
-    return links
+    return materialize(rows.select("a", "b", "text").mapInArrow(compare, "a long, b long"), "links")
 
 
 def _alike_in_size(n: Column, m: Column) -> Column:
@@ -309,65 +326,76 @@ def _least_common(n: Column, m: Column) -> Column:
     return F.ceil(PERCENT * (n + m) / (100 + PERCENT))
 
 
-def _different_bits(pairs: list[tuple[Column, Column]]) -> Column:
-    return sum((F.bit_count(a.bitwiseXOR(b)) for a, b in pairs), F.lit(0))
+def _may_link(n: Column, m: Column, bits: Column, other: Column) -> Column:
+    """Whether bitmaps differ in no more bits than linked sets of these sizes can."""
+    odd = F.zip_with(bits, other, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(odd, F.lit(0), lambda s, x: s + x) <= n + m - 2 * _least_common(n, m)
+
+
+def star_postings(classes: DataFrame) -> DataFrame:
+    """(token, cls, n) for the first shingles that several classes share, as a table."""
+    few = classes.select(F.explode("star").alias("token"), "cls", "n")
+    shared = few.groupBy("token").count().filter("count > 1").select("token")
+    return materialize(few.join(shared, "token", "left_semi"), "stars")
 
 
-def star_pairs(placed: DataFrame, turn: int) -> DataFrame:
+def star_pairs(postings: DataFrame, shown: DataFrame, edges: DataFrame | None, turn: int) -> DataFrame:
     """Pairs of a pivot and another class, of different components, that share one
-    of the first shingles."""
-    few = placed.select(
-        "cls", "comp", "n", *STAR_PARITIES, F.explode("star").alias("token")
-    )
+    of the first shingles and have alike bitmaps; as a table.  ``shown`` has (cls, n, bits)."""
+    placed = _placed(postings, edges)
     draw = F.xxhash64("cls", "token", F.lit(turn))
     lists = (
-        few.groupBy("token")
+        placed.groupBy("token")
         .agg(
             F.min("comp").alias("_low"),
             F.max("comp").alias("_high"),
-            *(F.min_by(c, draw).alias(f"_{c}") for c in ("cls", "comp", "n", *STAR_PARITIES)),
+            *(F.min_by(c, draw).alias(f"_{c}") for c in ("cls", "comp", "n")),
         )
         .filter("_low < _high")
     )
-    differ = _different_bits([(F.col(b), F.col(f"_{b}")) for b in STAR_PARITIES])
-    n, m = F.col("n"), F.col("_n")
-    return (
-        few.join(lists, "token")
-        .filter((F.col("comp") != F.col("_comp")) & _alike_in_size(n, m) & (differ <= n + m - 2 * _least_common(n, m)))
+    pairs = (
+        placed.join(lists, "token")
+        .filter((F.col("comp") != F.col("_comp")) & _alike_in_size(F.col("n"), F.col("_n")))
         .select(F.col("_cls").alias("a"), F.col("cls").alias("b"))
         .distinct()
     )
+    return materialize(_with_alike_bitmaps(pairs, shown), "pairs")
+
+
+def _with_alike_bitmaps(pairs: DataFrame, shown: DataFrame) -> DataFrame:
+    left = shown.select(F.col("cls").alias("a"), F.col("n").alias("_n"), F.col("bits").alias("_bits"))
+    right = shown.select(F.col("cls").alias("b"), "n", "bits")
+    return (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .filter(_may_link(F.col("n"), F.col("_n"), F.col("bits"), F.col("_bits")))
+        .select("a", "b")
+    )
 
 
 def prefix_pairs(placed: DataFrame) -> DataFrame:
-    """Pairs of classes of different components whose groups pass the filters."""
-    spark = placed.sparkSession
-    members = materialize(
-        placed.select(
-            "cls", "comp", "n", *PARITIES,
-            F.xxhash64("n", "prefix").alias("g1"), F.xxhash64(F.lit(1), "n", "prefix").alias("g2"),
-        ),
-        "members",
+    """Pairs of classes of different components whose groups pass the filters, as a table."""
+    members = placed.select(
+        "cls", "comp", "n", "bits", "prefix",
+        F.xxhash64("n", "prefix").alias("g1"), F.xxhash64(F.lit(1), "n", "prefix").alias("g2"),
     )
-    # no member has more bits than these that differ from those of the member shown
-    varied = sum((F.bit_count(F.bit_or(b).bitwiseXOR(F.bit_and(b))) for b in PARITIES), F.lit(0))
     groups = members.groupBy("g1", "g2").agg(
         F.min("cls").alias("grp"),
         F.min("comp").alias("_low"),
         F.max("comp").alias("_high"),
-        varied.cast("long").alias("slack"),
+        (F.count("*") == 1).alias("single"),
     )
     # a group with members of several components differs from every component
     groups = materialize(
         groups.select(
-            "g1", "g2", "grp", "slack",
+            "g1", "g2", "grp", "single",
             F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(-1 - F.col("grp")).alias("gcomp"),
         ),
         "groups",
     )
     shown = materialize(
-        placed.join(groups.select(F.col("grp").alias("cls"), "gcomp", "slack"), "cls").select(
-            F.col("cls").alias("grp"), "gcomp", "n", "slack", *PARITIES, "prefix"
+        placed.join(groups.select(F.col("grp").alias("cls"), "gcomp", "single"), "cls").select(
+            F.col("cls").alias("grp"), "gcomp", "n", "single", "bits", "prefix"
         ),
         "group-prefixes",
     )
@@ -379,9 +407,9 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
         .select("token"),
         "shared",
     )
-    bits = spark.sparkContext.broadcast(key_bits(shared, "token"))
-
-    head = ["grp", "gcomp", "n", "slack", *PARITIES]
+    held = Held(shared, "token")
+    bits = held.shared
+    head = ["grp", "gcomp", "n", "single", "bits"]
 
     def hold(batches):
         for batch in batches:
@@ -394,15 +422,13 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
                 names=[*head, "token"],
             )
 
-    postings = materialize(
-        shown.select(*head, "prefix").mapInArrow(hold, "".join(f"{c} long, " for c in head) + "token long"),
-        "postings",
-    )
+    postings = shown.mapInArrow(hold, "grp long, gcomp long, n long, single boolean, bits array<long>, token long")
+    postings = materialize(postings, "postings")
+    held.close()
     discard(shown, shared)
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     n, m = x("n"), y("n")
     need = _least_common(n, m)
-    differ = _different_bits([(x(b), y(b)) for b in PARITIES])
     pairs = (
         postings.alias("x")
         .join(
@@ -411,7 +437,7 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
             & (x("grp") < y("grp"))
             & (x("gcomp") != y("gcomp"))
             & _alike_in_size(n, m)
-            & (differ <= n + m - 2 * need + x("slack") + y("slack")),
+            & (~x("single") | ~y("single") | _may_link(n, m, x("bits"), y("bits"))),
         )
         .groupBy(x("grp").alias("grp"), y("grp").alias("_grp"))
         .agg(F.count("*").alias("common"), F.first(need - F.ceil(F.greatest(n, m) * PERCENT / 100) + 1).alias("least"))
@@ -420,69 +446,79 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
         .union(groups.filter("gcomp < 0").select("grp", F.col("grp").alias("_grp")))
     )
     of = members.join(groups.select("g1", "g2", "grp"), ["g1", "g2"])
-    left = of.select("grp", *(F.col(c).alias(f"_{c}") for c in ("cls", "comp", "n", *PARITIES)))
-    right = of.select(F.col("grp").alias("_grp"), "cls", "comp", "n", *PARITIES)
-    differ = _different_bits([(F.col(b), F.col(f"_{b}")) for b in PARITIES])
-    n, m = F.col("n"), F.col("_n")
-    return (
+    left = of.select("grp", *(F.col(c).alias(f"_{c}") for c in ("cls", "comp", "n", "bits")))
+    right = of.select(F.col("grp").alias("_grp"), "cls", "comp", "n", "bits")
+    pairs = (
         pairs.join(left, "grp")
         .join(right, "_grp")
         .filter(
             (F.col("_comp") != F.col("comp"))
             & ((F.col("grp") != F.col("_grp")) | (F.col("_cls") < F.col("cls")))
-            & (differ <= n + m - 2 * _least_common(n, m))
+            & _may_link(F.col("n"), F.col("_n"), F.col("bits"), F.col("_bits"))
         )
         .select(F.col("_cls").alias("a"), F.col("cls").alias("b"))
     )
+    pairs = materialize(pairs, "pairs")
+    discard(groups, postings)
+    return pairs
 
 
-def _placed(classes: DataFrame, found: DataFrame | None) -> DataFrame:
-    """``classes`` with the component of each."""
-    if found is None:
+def _placed(classes: DataFrame, edges: DataFrame | None) -> DataFrame:
+    """``classes`` with a class of the component of each."""
+    if edges is None:
         return classes.withColumn("comp", F.col("cls"))
-    at = found.withColumnRenamed("node", "cls")
+    at = labels(edges).withColumnRenamed("node", "cls")
     return classes.join(at, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
 
 
-def _found(spark: SparkSession, edges: list[DataFrame]) -> DataFrame:
-    every = edges[0]
-    for more in edges[1:]:
-        every = every.union(more)
-    return components(every)
+def star_links(docs: DataFrame, classes: DataFrame, total: int) -> DataFrame | None:
+    """Edges towards the components that rounds of stars find, or None.  Each round writes
+    three small tables: pairs, links, and the edges that take the place of the last ones."""
+    postings = star_postings(classes)
+    some = postings.select("cls").distinct()
+    shown = materialize(classes.join(some, "cls", "left_semi").select("cls", "k1", "k2", "n", "bits"), "shown")
+    texts = texts_of(docs, shown) if shown.count() else None
+    edges = None
+    for turn in range(STAR_ROUNDS if texts else 0):
+        pairs = star_pairs(postings, shown, edges, turn)
+        linked = verified(texts, pairs)
+        new = linked.count()
+        if new:
+            edges = contracted(edges, linked)
+        discard(pairs, linked)
+        if new <= STAR_YIELD * total:
+            break
+    discard(postings, shown, *([texts] if texts else []))
+    return edges if edges is None else united(edges)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, k1, k2), one row for each row of ``docs``."""
-    signed = materialize(signatures(docs, shingle_order(docs)), "signatures")
+    signed = signatures(docs, shingle_order(docs))
+    columns = ("n", "bits", "star", "prefix")
     classes = materialize(
         signed.filter("n > 0")
         .groupBy("d1", "d2")
         .agg(
             F.min("doc_id").alias("doc"),
             F.min(F.struct("k1", "k2")).alias("key"),
-            *(F.first(c).alias(c) for c in ("n", *PARITIES, "star", "prefix")),
+            *(F.first(c).alias(c) for c in columns),
         )
-        .select(F.monotonically_increasing_id().alias("cls"), "d1", "d2", "doc", "key.*", "n", *PARITIES, "star", "prefix"),
+        .select(F.monotonically_increasing_id().alias("cls"), "d1", "d2", "doc", "key.*", *columns),
         "classes",
     )
     ids = materialize(signed.select("doc_id", "k1", "k2", "n", "d1", "d2"), "ids")
     discard(signed)
-    total = classes.count()
-    edges: list[DataFrame] = []
-    found = None
-    for turn in range(STAR_ROUNDS):
-        pairs = star_pairs(_placed(classes, found), turn)
-        linked = verified(docs, classes, pairs)
-        new = linked.count()
-        if new:
-            edges.append(linked)
-            found = _found(docs.sparkSession, edges)
-        if new <= STAR_YIELD * total:
-            break
-    linked = verified(docs, classes, prefix_pairs(_placed(classes, found)))
-    if linked.count():
-        found = _found(docs.sparkSession, [*edges, linked])
-    last = _placed(classes.select("cls", "d1", "d2", "doc"), found)
+    edges = star_links(docs, classes, classes.count())
+    pairs = prefix_pairs(_placed(classes, edges))
+    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    if pairs.count():
+        texts = texts_of(docs, classes.join(ends, "cls", "left_semi"))
+        linked = verified(texts, pairs)
+        edges = united(contracted(edges, linked))
+        discard(texts, linked)
+    discard(pairs)
+    last = _placed(classes.select("cls", "d1", "d2", "doc"), edges)
     names = last.groupBy("comp").agg(F.min("doc").alias("component_id"))
     named = last.join(names, "comp").select("d1", "d2", "component_id")
     some = ids.filter("n > 0").join(named, ["d1", "d2"])

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from ..session import discard, materialize, shuffle_partitions
 from .bitmap import key_bits, may_hold
 from .common import whole_text
-from .textbytes import _DOWN, _UP, CHUNK_BYTES, chunks, mixed
+from .textbytes import CHUNK_BYTES, chunks, mixed, powers
 
 LENGTH = 200  # fixed value of the contract
 GRAM = 32
@@ -60,9 +60,10 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ..
     n = len(data)
     if n < LENGTH:
         return tuple(np.zeros(0, np.int64) for _ in range(4))
+    up, down = powers()
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(data * _UP[:n], out=sums[1:])
-    hashes = mixed((sums[GRAM:] - sums[:-GRAM]) * _DOWN[: n - GRAM + 1])
+    np.cumsum(data * up[:n], out=sums[1:])
+    hashes = mixed((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
     least = (hashes & ~_LOW) | (_LOW - np.arange(len(hashes), dtype=np.uint64))
     span = 1
     while 2 * span <= _PLACES:

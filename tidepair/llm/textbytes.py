@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -18,18 +19,22 @@ LOWER = np.where((ANY >= 0x41) & (ANY <= 0x5A), ANY + 32, ANY).astype(np.uint8)
 ALNUM = ((ANY >= 0x30) & (ANY <= 0x39)) | ((ANY >= 0x61) & (ANY <= 0x7A)) | (ANY >= 0x80)
 VISIBLE = ~((ANY == 0x20) | ((ANY >= 0x09) & (ANY <= 0x0D)))
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
+@cache
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """The powers of a base and of its inverse modulo 2**64, made once in each process.
 
-
-_UP = _powers(_BASE, CHUNK_BYTES + 1)
-_DOWN = _powers(_INVERSE, CHUNK_BYTES + 1)
+    They serve rolling hashes of a fixed length only: texts made for the purpose can
+    clash, so what is found by them is compared as bytes.
+    """
+    both = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        out = np.full(CHUNK_BYTES + 1, base, np.uint64)
+        out[0] = 1
+        both.append(np.cumprod(out))
+    return both[0], both[1]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -91,22 +96,27 @@ def words(chunk: Chunk, is_word: np.ndarray) -> Words:
     )
 
 
+LANE = 8
+LONG_WORD = 256
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(LANE)] + [(1 << 64) - 1], np.uint64)
+
+
 def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    out = np.empty(len(start), np.uint64)
-    i = 0
-    while i < len(start):
-        j = int(np.searchsorted(end, start[i] + CHUNK_BYTES, "right"))
-        if j <= i:  # one word longer than a chunk
-            out[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]].tobytes())
-            i += 1
-            continue
-        base = int(start[i])
-        part = data[base : int(end[j - 1])]
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(part * _UP[: len(part)], out=sums[1:])
-        s, e = start[i:j] - base, end[i:j] - base
-        out[i:j] = mixed((sums[e] - sums[s]) * _DOWN[s] + (e - s).astype(np.uint64))
-        i = j
+    """Words hashed by eights of bytes, mixed after each, all words at once; those of
+    ``LONG_WORD`` bytes and more one by one.  Equally long words of up to eight bytes never clash."""
+    size = end - start
+    out = size.astype(np.uint64) * np.uint64(_BASE)
+    padded = np.concatenate([data, np.zeros(LANE, np.uint8)])
+    lanes = np.ndarray((len(data) + 1,), np.dtype("<u8"), padded, strides=(1,))
+    left = np.flatnonzero(size < LONG_WORD)
+    at = start[left]
+    while len(left):
+        rest = end[left] - at
+        out[left] = mixed(out[left] ^ (lanes[at] & _KEEP[np.minimum(rest, LANE)]))
+        more = rest > LANE
+        left, at = left[more], at[more] + LANE
+    for i in np.flatnonzero(size >= LONG_WORD).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]].tobytes())
     return out
 
 
