@@ -17,7 +17,8 @@ similarity of ``PERCENT`` or more; the result is the connected component of each
    are listed.  The texts of these classes are fetched once for all rounds, and new
    links are added to the stars of the rounds before.  This step only saves work.
 4. Grouped prefix join.  Classes with equal size and prefix are one group.  Groups
-   that share a prefix shingle, are not yet in one component, differ little
+   that share a prefix shingle (of the smaller one a shorter prefix will do, as its
+   partner is no smaller), are not yet in one component, differ little
    enough in size and share enough of their prefixes are expanded to their
    members, and pairs of members in different components whose own bitmaps
    differ little enough are verified.  Groups of one member are compared by its
@@ -58,7 +59,7 @@ BUCKET_BITS = 22
 FAR_ABOVE = 4  # standard deviations above the mean of a task from which a bucket is reported
 REGION = 0.35
 PARITY = 2048
-STAR_SHINGLES = 3
+STAR_SHINGLES = 8
 STAR_ROUNDS = 12
 STAR_YIELD = 0.0005  # share of classes a round must link for another one to follow
 PIVOT_PART = 512
@@ -326,6 +327,11 @@ def _least_common(n: Column, m: Column) -> Column:
     return F.ceil(PERCENT * (n + m) / (100 + PERCENT))
 
 
+def _least_of_smaller(n: Column) -> Column:
+    """The least number of its shingles that a set shares with a linked one of its size or larger."""
+    return F.ceil(2 * PERCENT * n / (100 + PERCENT))
+
+
 def _may_link(n: Column, m: Column, bits: Column, other: Column) -> Column:
     """Whether bitmaps differ in no more bits than linked sets of these sizes can."""
     odd = F.zip_with(bits, other, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
@@ -415,32 +421,40 @@ def prefix_pairs(placed: DataFrame) -> DataFrame:
         for batch in batches:
             lists = batch.column("prefix")
             flat = lists.flatten()
+            size = np.diff(lists.offsets.to_numpy())
             keep = may_hold(bits.value, flat.to_numpy())
-            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))[keep]
+            row = np.repeat(np.arange(len(lists)), size)[keep]
+            place = (np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size))[keep]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(pa.array(row)) for c in head] + [flat.filter(pa.array(keep))],
-                names=[*head, "token"],
+                [batch.column(c).take(pa.array(row)) for c in head] + [flat.filter(pa.array(keep)), pa.array(place)],
+                names=[*head, "token", "place"],
             )
 
-    postings = shown.mapInArrow(hold, "grp long, gcomp long, n long, single boolean, bits array<long>, token long")
+    postings = shown.mapInArrow(
+        hold, "grp long, gcomp long, n long, single boolean, bits array<long>, token long, place long"
+    )
     postings = materialize(postings, "postings")
     held.close()
     discard(shown, shared)
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     n, m = x("n"), y("n")
     need = _least_common(n, m)
+    # of linked sets the first common shingle is among the first of both: of the
+    # smaller one among as many as it may lack of a partner that is no smaller
+    first = postings.filter(F.col("place") <= F.col("n") - _least_of_smaller(F.col("n")))
+    most = F.greatest(_least_of_smaller(n), F.ceil(m * PERCENT / 100))
     pairs = (
-        postings.alias("x")
+        first.alias("x")
         .join(
             postings.alias("y").hint("merge"),
             (x("token") == y("token"))
-            & (x("grp") < y("grp"))
+            & ((n < m) | ((n == m) & (x("grp") < y("grp"))))
             & (x("gcomp") != y("gcomp"))
             & _alike_in_size(n, m)
             & (~x("single") | ~y("single") | _may_link(n, m, x("bits"), y("bits"))),
         )
         .groupBy(x("grp").alias("grp"), y("grp").alias("_grp"))
-        .agg(F.count("*").alias("common"), F.first(need - F.ceil(F.greatest(n, m) * PERCENT / 100) + 1).alias("least"))
+        .agg(F.count("*").alias("common"), F.first(need - most + 1).alias("least"))
         .filter("common >= least")
         .select("grp", "_grp")
         .union(groups.filter("gcomp < 0").select("grp", F.col("grp").alias("_grp")))
