@@ -30,12 +30,9 @@ from pyspark.sql import functions as F
 from tidepair.functions.calendar import WeekdayCalendar
 from tidepair.functions.vectors import register_cosine
 from tidepair.operators.align import align_to_calendar, series_vectors, sparse_vectors, sum_visits
+from tidepair.operators.bounds import BoundedTopKernel
 from tidepair.operators.pairs import pair_series
-from tidepair.operators.tiles import (
-    CosineKernel,
-    TopCosineKernel,
-    run_tiles,
-)
+from tidepair.operators.tiles import CosineKernel, run_tiles
 from tidepair.session import materialize, shuffle_partitions, tile_side
 
 # Memory of one block of topics in a task, laid out over all days: values, presence
@@ -151,7 +148,8 @@ def top_matches(
     topics_per_block: int | None = None,
 ) -> DataFrame:
     """(measure, series, topic1, topic2, similarity): a superset of the best k
-    per measure, from one pass over the triples, without emitting them all.
+    per measure, from one pass over the series; complete data are scored only where
+    a bound allows it.
 
     ``digits`` says how far scores may be rounded before they are ranked.
     Give the result to :func:`tidepair.operators.topk.top_k`.
@@ -161,7 +159,7 @@ def top_matches(
     return _run(
         series,
         visits,
-        lambda: TopCosineKernel(k, wanted, slack),
+        lambda: BoundedTopKernel(k, wanted, slack),
         TOP_SCHEMA,
         topics_per_block,
     )

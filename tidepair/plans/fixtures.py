@@ -66,6 +66,27 @@ def event_visits(
     )
 
 
+def item_visits(spark: SparkSession, sf_dir: str, calendar: WeekdayCalendar) -> DataFrame:
+    """Visits per item and weekday of the calendar, 0 on days without any: a topic for each item."""
+    seen = (
+        _events(spark, sf_dir, calendar)
+        .select(
+            F.get_json_object("props", "$.k").alias("topic"), F.col("ts").cast("date").alias("date")
+        )
+        .where("topic IS NOT NULL")
+        .groupBy("topic", "date")
+        .agg(F.count(F.lit(1)).alias("visit"))
+    )
+    # every topic meets every day: the days are a short list, so this is a map of the topics
+    days = F.filter(
+        F.sequence(F.lit(calendar.start), F.lit(calendar.end)), lambda d: calendar.contains(d)
+    ) if calendar.size else F.array().cast("array<date>")
+    slots = seen.select("topic").distinct().select("topic", F.explode(days).alias("date"))
+    return slots.join(seen, ["topic", "date"], "left").select(
+        "topic", "date", F.coalesce("visit", F.lit(0)).alias("visit")
+    )
+
+
 def sale_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A panel with holes: sales per supplier and shipping day."""
     return (
@@ -100,6 +121,16 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_columns(table(spark, sf_dir, "events"))
 
 
+def purchase_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed of many items, few of them in each stream: the parts that a customer bought."""
+    orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_orderdate").cast("timestamp").alias("ts"),
+        F.col("o_custkey").alias("sid"),
+        F.col("l_partkey").alias("item"),
+    )
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream, as a file or as a folder of files."""
     schema = table(spark, sf_dir, "events").schema

@@ -16,6 +16,8 @@ from tidepair.plans.queries import (
     LIMIT,
     MURMUR,
     PART_DAYS,
+    WIDE,
+    WIDE_THRESHOLD,
     WINDOW_THRESHOLD,
 )
 
@@ -139,17 +141,34 @@ feed AS (
     FROM events)
 """
 
-_BUCKET = (
-    f"CAST((((h.a * (e.item % {MERSENNE_PRIME_31}) + h.b) % {MERSENNE_PRIME_31})"
-    f" % {HASHES.buckets}) AS INTEGER)"
-)
 
-_CELLS = f"""
+
+def _bucket(buckets: int) -> str:
+    return (
+        f"CAST((((h.a * (e.item % {MERSENNE_PRIME_31}) + h.b) % {MERSENNE_PRIME_31})"
+        f" % {buckets}) AS INTEGER)"
+    )
+
+
+_BUCKET = _bucket(HASHES.buckets)
+
+
+def _cells(bucket: str) -> str:
+    return f"""
 cells AS (
-    SELECT e.sid, CAST(h.f AS INTEGER) AS f, {_BUCKET} AS v, count(*) AS n
+    SELECT e.sid, CAST(h.f AS INTEGER) AS f, {bucket} AS v, count(*) AS n
     FROM feed e CROSS JOIN hashes h GROUP BY 1, 2, 3)
 """
 
+
+_CELLS = _cells(_BUCKET)
+
+_PURCHASES = """
+feed AS (
+    SELECT o_custkey AS sid, l_partkey AS item
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+"""
+
 _SKETCH = ", ".join([_HASHES, _FEED, _CELLS])
 
 # Murmur3 (32 bit, seed 42) of a 64-bit integer, in arithmetic on numbers below
@@ -251,6 +270,28 @@ def _top(measure: str) -> str:
     )
 
 
+def _top_items(measure: str) -> str:
+    visits = """
+item_days AS (
+    SELECT json_extract_string(props, '$.k') AS topic, CAST(ts AS DATE) AS date, count(*) AS n
+    FROM events GROUP BY 1, 2),
+weekday_visits AS (
+    SELECT t.topic, c.date, CAST(coalesce(d.n, 0) AS DOUBLE) AS visit
+    FROM (SELECT DISTINCT topic FROM item_days JOIN calendar USING (date) WHERE topic IS NOT NULL) t
+    CROSS JOIN calendar c LEFT JOIN item_days d ON d.topic = t.topic AND d.date = c.date)
+"""
+    return _with(
+        _CLEAN,
+        visits,
+        _PAIRS,
+        _scores(),
+        select=f"""
+    SELECT series, topic1, topic2, cos_{measure} AS similarity FROM scores
+    WHERE cos_{measure} IS NOT NULL
+    ORDER BY similarity DESC, series, topic1, topic2 LIMIT 20""",
+    )
+
+
 def _report() -> str:
     parts = [_CLEAN, _VISITS, _WEEKDAY_VISITS, _PAIRS, _scores()]
     best = " UNION ALL ".join(
@@ -382,6 +423,9 @@ ORACLES: dict[str, str] = {
     "top20_mean": _top("mean"),
     "top20_min": _top("min"),
     "top20_max": _top("max"),
+    "top20_items_mean": _top_items("mean"),
+    "top20_items_min": _top_items("min"),
+    "top20_items_max": _top_items("max"),
     "match_report": _report(),
     "sketch_cells": _with(_SKETCH, select=" SELECT sid, f, v, n FROM cells"),
     "sketch_inner_products": _with(
@@ -395,6 +439,13 @@ ORACLES: dict[str, str] = {
         _PRODUCTS,
         select=f" SELECT sid1, sid2, similarity FROM alike WHERE similarity > {FEED_THRESHOLD}",
     ),
+    "sketch_similarity_sparse": _with(
+        _HASHES,
+        _PURCHASES,
+        _cells(_bucket(WIDE.buckets)),
+        _PRODUCTS,
+        select=f" SELECT sid1, sid2, similarity FROM alike WHERE similarity > {WIDE_THRESHOLD}",
+    ),
     "sketch_similarity_murmur3": _with(
         _FEED,
         _murmur3_cells(),

@@ -41,6 +41,7 @@ from tidepair.operators.sketch import (
     window_cells,
     window_similarity,
 )
+from tidepair.operators.sparse import sparse_similarity
 from tidepair.operators.topk import top_k
 from tidepair.plans.fixtures import (
     event_calendar,
@@ -48,6 +49,8 @@ from tidepair.plans.fixtures import (
     event_prices,
     event_stream,
     event_visits,
+    item_visits,
+    purchase_feed,
     sale_prices,
     sale_visits,
 )
@@ -81,9 +84,13 @@ HASHES = LinearHashes(buckets=64)
 # Not a power of two: there, xor with a seed only renames the buckets.
 MURMUR = Murmur3XorHashes(buckets=61)
 FEED_THRESHOLD = 75
+# Some forty purchases of each customer, so a wide sketch has few cells in use.
+WIDE = LinearHashes(buckets=50021)
+WIDE_THRESHOLD = 3
 WINDOW_THRESHOLD = 5
 SIZE, SLIDE, DELAY = "5 days", "1 day", "1 hour"
 LIMIT = 50
+TOPICS_PER_BLOCK = 32
 
 REGISTRY: dict[str, Query] = {}
 
@@ -397,6 +404,29 @@ def top20_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(spark, sf_dir, "max")
 
 
+def _many_topics(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:
+    """Of all pairs of items, in several blocks of topics."""
+    days = event_calendar(spark, sf_dir)
+    visits = item_visits(spark, sf_dir, days)
+    matches = top_matches(_clean(spark, sf_dir, days), visits, 20, (measure,), DIGITS, TOPICS_PER_BLOCK)
+    return top_k(matches, measure, 20, DIGITS)
+
+
+@register("top20_items_mean")
+def top20_items_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _many_topics(spark, sf_dir, "mean")
+
+
+@register("top20_items_min")
+def top20_items_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _many_topics(spark, sf_dir, "min")
+
+
+@register("top20_items_max")
+def top20_items_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _many_topics(spark, sf_dir, "max")
+
+
 @register("match_report")
 def match_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From raw rows to the best 20 of each measure, among all series."""
@@ -436,6 +466,13 @@ def sketch_similarity_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch_similarity(cells, HASHES, FEED_THRESHOLD).withColumn("similarity", _whole("similarity"))
 
 
+@register("sketch_similarity_sparse")
+def sketch_similarity_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers that buy the same parts, from the cells that they share."""
+    cells = sketch_cells(purchase_feed(spark, sf_dir), WIDE)
+    return sparse_similarity(cells, WIDE, WIDE_THRESHOLD).withColumn("similarity", _whole("similarity"))
+
+
 @register("sketch_similarity_murmur3")
 def sketch_similarity_murmur3(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = sketch_cells(event_feed(spark, sf_dir), MURMUR)
