@@ -58,13 +58,36 @@ def passages(rng):
     return rows
 
 
-@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 4])
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 4, 1])
 def test_planted_and_odd_rows(documents, rng, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     rows = passages(rng)
     assert rows_of(without_repeats(documents(rows, ", n_bytes int, spans int", (1, 2)), ["doc_id"])) == expected(rows)
 
 
+def test_hot_passage_is_halved_and_sorted(documents, rng, monkeypatch):
+    """One passage in many texts: two rows for each context and cut, no row for each string."""
+    def fresh(n):
+        return "".join(rng.choice("abcdefgh") for _ in range(n))
+
+    p = fresh(330)
+    rows = [(i, fresh(rng.randrange(40, 90)) + p[: 330 - i % 3] + fresh(60)) for i in range(80)]
+    rows += [(200 + i, fresh(250)) for i in range(20)]
+    sizes = {}
+    found = suffix_dedup.materialize
+
+    def noted(df, label):
+        table = found(df, label)
+        sizes.setdefault(label, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(suffix_dedup, "materialize", noted)
+    monkeypatch.setattr(suffix_dedup, "HOT", 8)
+    assert rows_of(without_repeats(documents(rows), ["doc_id"])) == expected(rows)
+    assert 2 <= len(sizes["halves"]) <= 9 and "strings" not in sizes
+    assert max(sizes["halves"]) <= 2 * sizes["context-bytes"][0]
+
+
 def test_long_texts_in_pieces(documents, rng):
     long = "".join(rng.choice("abcdefgh ") for _ in range((1 << 20) + 5000))
     rows = [(1, long), (2, "x" + long[(1 << 20) - 300 : (1 << 20) + 300]), (3, long[100:400])]

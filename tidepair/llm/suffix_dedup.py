@@ -16,8 +16,11 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts anywhere
    sorted bucket by the bytes to its left, longest agreement first kept, gives the
    strings that occur in another context.  All other suffixes of a run follow from
    the one at the anchor, so one suffix is sorted for each context.
-4. A bucket of more than ``HOT`` different contexts is not gathered: its strings are
-   counted one by one by their 128-bit digest, which spreads them over all tasks.
+4. A bucket of more than ``HOT`` different contexts is not gathered.  Its strings are
+   halved by how many bytes before the anchor they begin: those of a half have more
+   bytes in common than the anchor, and go to buckets by these.  What contexts have
+   alike after the cut is one context.  Halves are halved again until a bucket is
+   small, at the latest when it is one string, and are sorted as all others.
 5. Repeated strings become spans of each text, and the rest of the text is kept.
 
 Texts are known by a 128-bit key and contexts by a 128-bit digest, so copies are
@@ -309,71 +312,157 @@ def contexts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return held.mapInArrow(cut, _CONTEXTS)
 
 
-def sorted_buckets(contexts: DataFrame) -> DataFrame:
-    """(c1, c2, spans): repeated strings of contexts, each bucket sorted in one task."""
-    rows = contexts.repartition(shuffle_partitions(contexts.sparkSession), "h").sortWithinPartitions("h")
+_SPANS = "array<struct<first:int,last:int>>"
+
+
+def sorted_buckets(contexts: DataFrame, bucket: list[str], names: list[str]) -> DataFrame:
+    """(``names``, spans): repeated strings of contexts, each bucket sorted in one task.
+    Contexts with several copies are repeated whole and named elsewhere."""
+    spark = contexts.sparkSession
+    rows = contexts.repartition(shuffle_partitions(spark), *bucket).sortWithinPartitions(*bucket)
 
     def sort(batches):
         open_rows: list[tuple] = []
+        out: list[tuple] = []
+
+        def close():
+            found = repeated_strings(*([r[k] for r in open_rows] for k in (-1, -3, -2)))
+            for row, some in zip(open_rows, found, strict=True):
+                if some and row[-4] == 1:
+                    out.append((*row[len(bucket) : -4], [{"first": a, "last": b} for a, b in some]))
+
+        def batch_of():
+            columns = list(zip(*out, strict=True)) or [[]] * (len(names) + 1)
+            kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+            arrays = [pa.array(list(c), pa.int64()) for c in columns[:-1]] + [pa.array(list(columns[-1]), kind)]
+            return pa.RecordBatch.from_arrays(arrays, names=[*names, "spans"])
+
+        wanted = [*bucket, *names, "copies", "anchor", "strings", "bytes"]
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("h", "c1", "c2", "copies", "anchor", "strings", "bytes")]
-            c1, c2, spans = [], [], []
-            for row in zip(*columns, strict=True):
-                if open_rows and open_rows[0][0] != row[0]:
-                    _close(open_rows, c1, c2, spans)
+            for row in zip(*(batch.column(c).to_pylist() for c in wanted), strict=True):
+                if open_rows and open_rows[0][: len(bucket)] != row[: len(bucket)]:
+                    close()
                     open_rows = []
                 open_rows.append(row)
-            yield _batch(c1, c2, spans)
-        c1, c2, spans = [], [], []
+            yield batch_of()
+            out = []
         if open_rows:
-            _close(open_rows, c1, c2, spans)
-        yield _batch(c1, c2, spans)
-
-    return rows.mapInArrow(sort, "c1 long, c2 long, spans array<struct<first:int,last:int>>")
+            close()
+        yield batch_of()
 
+    return rows.mapInArrow(sort, "".join(f"{c} long, " for c in names) + f"spans {_SPANS}")
 
-def _close(rows: list[tuple], c1: list, c2: list, spans: list) -> None:
-    found = repeated_strings([r[6] for r in rows], [r[4] for r in rows], [r[5] for r in rows])
-    for row, some in zip(rows, found, strict=True):
-        if some and row[3] == 1:
-            c1.append(row[1])
-            c2.append(row[2])
-            spans.append([{"first": a, "last": b} for a, b in some])
 
+_PART = (
+    "b1 long, b2 long, d1 long, d2 long, low int, high int, c1 long, c2 long, copies long, shift int, "
+    "anchor int, strings int, bytes binary"
+)
 
-def _batch(c1: list, c2: list, spans: list) -> pa.RecordBatch:
-    kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(spans, kind)], names=["c1", "c2", "spans"]
-    )
 
+def halved(parts: DataFrame) -> DataFrame:
+    """The two halves of ``parts``, by how many bytes before the anchor a string begins.
 
-def counted_strings(contexts: DataFrame) -> DataFrame:
-    """As ``sorted_buckets`` for buckets that are too large for one task: every string
-    is counted by its digest."""
+    All strings that begin ``low`` to ``high`` bytes before it contain the bytes from
+    ``low`` before it on that are common to them; equal strings agree in these too.  So
+    a half goes to a bucket (b1, b2) by their digest, with the digest (d1, d2) of what
+    is left of the context, which many contexts may share.
+    """
 
-    def explode(batches):
+    def halve(batches):
+        digest = xxhash.xxh3_128_digest
         for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in batch.schema.names), strict=True)
+            names = batch.schema.names
             out: list[tuple] = []
-            columns = [batch.column(c).to_pylist() for c in ("c1", "c2", "copies", "strings", "bytes")]
-            for c1, c2, copies, strings, data in zip(*columns, strict=True):
-                for i in range(strings):
-                    digest = np.frombuffer(xxhash.xxh3_128_digest(data[i : i + LENGTH]), np.int64)
-                    out.append((c1, c2, copies, i, int(digest[0]), int(digest[1])))
-            names = ["c1", "c2", "copies", "i", "w1", "w2"]
+            for row in rows:
+                r = dict(zip(names, row, strict=True))
+                middle = (r["low"] + r["high"]) // 2
+                for low, high in ((r["low"], middle), (middle + 1, r["high"])):
+                    # strings i .. j begin anchor - i bytes before the anchor
+                    first = max(0, r["anchor"] - high)
+                    last = min(r["strings"] - 1, r["anchor"] - low)
+                    if low > high or first > last:
+                        continue
+                    data = r["bytes"]
+                    core = data[r["anchor"] - low : r["anchor"] - high + LENGTH]
+                    mine = data[first : last + LENGTH]
+                    bucket = digest(core + bytes((low, high)) + r["b1"].to_bytes(8, "big", signed=True))
+                    ends = np.frombuffer(bucket + digest(mine), np.int64).tolist()
+                    out.append(
+                        (*ends, low, high, r["c1"], r["c2"], r["copies"], r["shift"] + first,
+                         r["anchor"] - first, last - first + 1, mine)
+                    )
+            columns = list(zip(*out, strict=True)) or [[]] * len(_PART_KINDS)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(x), pa.int64()) for x in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * 6,
-                names=names,
+                [pa.array(list(c), k) for c, k in zip(columns, _PART_KINDS.values(), strict=True)],
+                names=list(_PART_KINDS),
             )
 
-    strings = materialize(
-        contexts.mapInArrow(explode, "c1 long, c2 long, copies long, i long, w1 long, w2 long"), "strings"
-    )
-    often = strings.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    span = F.struct(F.col("i").cast("int").alias("first"), F.col("i").cast("int").alias("last"))
-    return (
-        strings.filter("copies = 1").join(often, ["w1", "w2"]).groupBy("c1", "c2").agg(F.collect_list(span).alias("spans"))
+    return parts.mapInArrow(halve, _PART)
+
+
+_PART_KINDS = {
+    name: {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[kind]
+    for name, kind in (column.split() for column in _PART.split(", "))
+}
+
+
+def hot_spans(hot: DataFrame) -> list[DataFrame]:
+    """Tables (c1, c2, spans) of the repeated strings of buckets that are too large for
+    one task: halved until they are not, then sorted as all others.
+
+    What contexts of a bucket have alike after a cut is one context of it with their
+    copies; strings that all of them share are then one context alone.  In the end a
+    bucket is one string and has one context, so this ends.
+    """
+    parts = hot.select(
+        F.col("h").alias("b1"), F.lit(0).cast("long").alias("b2"), F.col("c1").alias("d1"), F.col("c2").alias("d2"),
+        F.lit(0).alias("low"), F.lit(LENGTH - GRAM).alias("high"), "c1", "c2", "copies", F.lit(0).alias("shift"),
+        "anchor", "strings", "bytes",
     )
+    out = []
+    before = None
+    while parts is not None:
+        parts = materialize(halved(parts), "halves")
+        if before is not None:
+            discard(before)
+        before = parts
+        kept = ("low", "high", "anchor", "strings")
+        contexts = materialize(
+            parts.groupBy("b1", "b2", "d1", "d2").agg(
+                F.sum("copies").alias("copies"), *(F.first(c).alias(c) for c in kept), F.first("bytes").alias("bytes")
+            ),
+            "half-contexts",
+        )
+        sizes = contexts.groupBy("b1", "b2").agg(F.count("*").alias("contexts"))
+        sized = contexts.join(sizes, ["b1", "b2"])
+        # a copy of a whole context is repeated as it is; d1 and d2 name it within its bucket
+        whole = F.array(F.struct(F.lit(0).alias("first"), (F.col("strings") - 1).alias("last")))
+        copied = sized.filter((F.col("copies") > 1) & (F.col("contexts") <= HOT)).select(
+            "b1", "b2", "d1", "d2", whole.alias("spans")
+        )
+        few = sized.filter((F.col("contexts") > 1) & (F.col("contexts") <= HOT))
+        found = copied.union(_sorted_halves(few))
+        moved = F.transform(
+            "spans",
+            lambda s: F.struct((s["first"] + F.col("shift")).alias("first"), (s["last"] + F.col("shift")).alias("last")),
+        )
+        mine = parts.select("b1", "b2", "d1", "d2", "c1", "c2", "shift")
+        out.append(
+            materialize(mine.join(found, ["b1", "b2", "d1", "d2"]).select("c1", "c2", moved.alias("spans")), "half-spans")
+        )
+        large = materialize(sizes.filter(F.col("contexts") > HOT).select("b1", "b2"), "large")
+        again = large.count() > 0
+        parts = parts.join(large, ["b1", "b2"], "left_semi") if again else None
+        discard(contexts)
+    discard(before)
+    return out
+
+
+def _sorted_halves(few: DataFrame) -> DataFrame:
+    """(b1, b2, d1, d2, spans) of the buckets of halves."""
+    rows = few.select("b1", "b2", "d1", "d2", "copies", "anchor", "strings", "bytes")
+    return sorted_buckets(rows, ["b1", "b2"], ["b1", "b2", "d1", "d2"])
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -394,14 +483,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     buckets = known.groupBy("h").agg(F.count("*").alias("contexts")).filter("contexts > 1")
     cut = materialize(contexts_of(docs, known.join(buckets, "h")), "context-bytes")
-    parted = [sorted_buckets(cut.filter(F.col("contexts") <= HOT))]
-    hot = cut.filter(F.col("contexts") > HOT)
-    if not hot.isEmpty():
-        parted.append(counted_strings(hot))
     whole = F.array(F.struct(F.lit(0).alias("first"), (F.col("strings") - 1).alias("last")))
     found = known.filter("copies > 1").select("c1", "c2", whole.alias("spans"))
-    for more in parted:
-        found = found.union(more)
+    found = found.union(sorted_buckets(cut.filter(F.col("contexts") <= HOT), ["h"], ["c1", "c2"]))
+    hot = cut.filter(F.col("contexts") > HOT)
+    if not hot.isEmpty():
+        for more in hot_spans(hot):
+            found = found.union(more)
     found = materialize(found, "found")
     discard(cut)
     place = F.transform(
