@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 from datetime import date, timedelta
 
 import numpy as np
@@ -15,7 +16,7 @@ from tidepair.operators.cosine import (
     cosine_vectors,
     top_matches,
 )
-from tidepair.operators.pairs import pair_series, topic_pairs
+from tidepair.operators.pairs import pair_series, supported_pair_series, supported_pairs, topic_pairs
 from tidepair.operators.topk import best_per_measure, top_k
 from tidepair.plans.match import match_series
 
@@ -275,3 +276,31 @@ def test_nan_scores_are_not_ranked(spark):
     assert [r.series for r in top_k(every, "mean").collect()] == ["b"]
     marked = every.selectExpr("'mean' AS measure", "series", "topic1", "topic2", "cos_mean AS similarity")
     assert [r.series for r in best_per_measure(marked).collect()] == ["b"]
+
+
+def test_pairs_by_support(spark):
+    rng = random.Random(8)
+    rows = [(f"t{t}", date(2024, 1, 1) + timedelta(rng.randrange(30)), 1.0) for t in range(40) for _ in range(rng.randrange(1, 12))]
+    rows += [("t0", None, 1.0), (None, date(2024, 1, 1), 1.0), *(("every", date(2024, 1, 1) + timedelta(d), 2.0) for d in range(30))]
+    visits = spark.createDataFrame(rows, "topic string, date date, visit double")
+    every = {}
+    for r in pair_series(visits).collect():
+        every.setdefault((r["topic1"], r["topic2"]), []).append(tuple(r))
+    for least in (1, 3, 6):
+        want = {k: len(v) for k, v in every.items() if len(v) >= least}
+        assert {(r["topic1"], r["topic2"]): r["days"] for r in supported_pairs(visits, least).collect()} == want
+        found = supported_pair_series(visits, least).collect()
+        assert sorted(map(tuple, found)) == sorted(x for k, v in every.items() if k in want for x in v)
+    with pytest.raises(ValueError):
+        supported_pairs(visits, 0)
+
+
+def test_pairs_by_support_list_no_other_pairs(spark):
+    """All topics share two days and groups of three share more: only those are looked at."""
+    first = date(2024, 1, 1)
+    rows = [(f"t{t}", first + timedelta(d), 1.0) for t in range(300) for d in (0, 1)]
+    rows += [(f"t{t}", first + timedelta(10 + 4 * (t // 3) + d), 1.0) for t in range(300) for d in range(4)]
+    found = supported_pairs(spark.createDataFrame(rows, "topic string, date date, visit double"), 3)
+    assert found.count() == 300
+    joined = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cartesian" not in joined and "Cross" not in joined

@@ -8,6 +8,7 @@ import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidepair.functions.calendar import WeekdayCalendar
 from tidepair.functions.hashing import LinearHashes
@@ -105,7 +106,22 @@ def test_window_cells_and_sketches_share_one_partitioning(spark):
     feed = event_feed(spark, SF_DIR)
     cells = window_cells(pane_cells(feed, FAMILY, "1 day"), "5 days", "1 day")
     assert nodes(plan(cells), "Exchange") == 2
-    assert nodes(plan(cells.groupBy("window", "sid").count()), "Exchange") == 2
+    assert nodes(plan(cells.groupBy("chunk", "window", "sid").count()), "Exchange") == 2
+
+
+def test_what_is_shuffled_does_not_grow_with_the_overlap_of_windows(spark):
+    """The panes are dealt, not their copies in the windows."""
+    panes = pane_cells(event_feed(spark, SF_DIR), FAMILY, "1 hour")
+    rows = panes.count()
+    for hours in (1, 5, 30):
+        text = plan(window_cells(panes, f"{hours} hours", "1 hour"))
+        tree = text[: text.index("\n\n")]
+        # copies in windows above the exchange, chunks below it, cells at the scan
+        assert [part.count("Generate") for part in tree.split("Exchange")] == [1, 1, 1]
+        span = F.lit(hours * 3_600_000_000 * 8)
+        start = F.unix_micros("pane.start")
+        chunks = F.floor(start / span) - F.floor((start - (hours - 1) * 3_600_000_000) / span) + 1
+        assert panes.agg(F.sum(chunks)).first()[0] <= 1.2 * rows
 
 
 def test_cells_are_counted_before_the_shuffle(spark):

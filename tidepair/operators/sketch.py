@@ -59,23 +59,45 @@ def pane_cells(feed: DataFrame, family: HashFamily, slide: str) -> DataFrame:
     return _count_cells(feed.withColumn("pane", F.window("ts", slide)), ["pane", "sid"], family)
 
 
+# A chunk of time spans so many windows' sizes: a pane goes to one chunk, or to two
+# where its windows cross from one to the next.
+CHUNK_SIZES = 8
+
+
+def _micros(interval: str) -> Column:
+    return F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {interval}"))
+
+
 def window_cells(panes: DataFrame, size: str, slide: str) -> DataFrame:
-    """(window, sid, f, v, n, fresh): cells per sliding window, from its panes.
+    """(chunk, window, sid, f, v, n, fresh): cells per sliding window, from its panes.
 
-    Events are counted once per pane and only the counts are copied to the
-    windows that overlap it.  ``fresh`` is the part of ``n`` from the window's
-    last pane.
+    Events are counted once per pane.  Panes are dealt to tasks by stream and chunk of
+    time, and only there copied to the windows that overlap them: what is shuffled is
+    the panes, at most ``1 + 1 / CHUNK_SIZES`` times, however many windows overlap.
+    Sketches are gathered in the same place.  ``fresh`` is the part of ``n`` from the
+    window's last pane.
     """
+    span, step = _micros(size), _micros(slide)
+    chunk, last = span * CHUNK_SIZES, F.unix_micros("pane.start")
+    first = last - F.floor((span - step) / step) * step
+    dealt = panes.select(
+        "pane", "sid", "f", "v", "n",
+        F.explode(F.sequence(F.floor(first / chunk), F.floor(last / chunk))).alias("chunk"),
+    ).repartition("chunk", "sid")
+    # copies are made where the panes are, and keep their partitioning
+    spread = (
+        dealt.select("*", F.explode(F.sequence(first, last, step)).alias("start"))
+        .where(F.floor(F.col("start") / chunk) == F.col("chunk"))
+        .withColumn(
+            "window",
+            F.struct(
+                F.timestamp_micros("start").alias("start"), F.timestamp_micros(F.col("start") + span).alias("end")
+            ),
+        )
+    )
     last_pane = F.col("pane.end") == F.col("window.end")
-    spread = panes.withColumn("window", F.window(F.window_time("pane"), size, slide))
-    if not panes.isStreaming:
-        # The panes of a cell lie in different tasks, so a map-side combine
-        # finds nothing to do.  Partitioning by stream serves this sum and the
-        # gathering of sketches after it; a stream's share is bounded by its
-        # panes and cells.
-        spread = spread.repartition("window", "sid")
     return (
-        spread.groupBy("window", "sid", "f", "v")
+        spread.groupBy("chunk", "window", "sid", "f", "v")
         .agg(
             F.sum("n").alias("n"),
             F.sum(F.when(last_pane, F.col("n")).otherwise(0)).alias("fresh"),
@@ -90,7 +112,7 @@ def build_sketches(cells: DataFrame, family: HashFamily) -> DataFrame:
     squared norm under each function, and its number of events; the events of
     the window's last pane too, if the cells know them.
     """
-    keys = [c for c in ("window", "sid") if c in cells.columns]
+    keys = [c for c in ("chunk", "window", "sid") if c in cells.columns]
     window_end = F.unix_micros("window.end") if "window" in keys else F.lit(0).cast("bigint")
     cell = F.col("f") * F.lit(family.buckets) + F.col("v")
     entries = F.collect_list(
@@ -118,7 +140,7 @@ def build_sketches(cells: DataFrame, family: HashFamily) -> DataFrame:
                 "counts": F.col("entries.n"),
             }
         )
-        .drop("entries", "window")
+        .drop("entries", "window", "chunk")
     )
     return materialize(sketches, "sketches")
 

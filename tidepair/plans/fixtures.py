@@ -108,6 +108,15 @@ def sale_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments per part and day: many topics with few days each."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("topic"),
+        F.col("l_shipdate").cast("date").alias("date"),
+        F.lit(1).alias("visit"),
+    )
+
+
 def feed_columns(events: DataFrame) -> DataFrame:
     """(ts, sid, item) of an events table, batch or streaming."""
     return events.select(

@@ -8,14 +8,17 @@ from __future__ import annotations
 
 from tidepair.functions.hashing import MERSENNE_PRIME_31
 from tidepair.plans.queries import (
+    DEFAULT_HASHES,
     DIGITS,
     FEED_THRESHOLD,
     HASHES,
     LATE_DAYS,
     LATE_ITEM,
     LIMIT,
+    LONG_THRESHOLD,
     MURMUR,
     PART_DAYS,
+    SHARED_DAYS,
     WIDE,
     WIDE_THRESHOLD,
     WINDOW_THRESHOLD,
@@ -106,6 +109,14 @@ weekday_visits AS (
 """
 
 
+_PART_DAYS = """
+part_days AS (
+    SELECT CAST(l_partkey AS VARCHAR) AS topic, CAST(l_shipdate AS DATE) AS date,
+           CAST(count(*) AS DOUBLE) AS visit
+    FROM lineitem GROUP BY 1, 2)
+"""
+
+
 def _scores(series: str = "clean") -> str:
     def cosine(m: str) -> str:
         return (
@@ -407,6 +418,21 @@ ORACLES: dict[str, str] = {
         _PAIRS,
         select=f" SELECT topic1, topic2, {_DATE}, mean, min, max FROM pairs",
     ),
+    "topic_pairs_supported": _with(
+        _PART_DAYS,
+        select=f"""
+    SELECT a.topic AS topic1, b.topic AS topic2, CAST(count(*) AS INTEGER) AS days
+    FROM part_days a JOIN part_days b ON a.date = b.date AND a.topic < b.topic
+    GROUP BY 1, 2 HAVING count(*) >= {SHARED_DAYS}""",
+    ),
+    "topic_pair_series_supported": _with(
+        _PART_DAYS,
+        select=f"""
+    SELECT topic1, topic2, {_DATE}, (x + y) / 2 AS mean, least(x, y) AS min, greatest(x, y) AS max
+    FROM (SELECT a.topic AS topic1, b.topic AS topic2, a.date, a.visit AS x, b.visit AS y
+          FROM part_days a JOIN part_days b ON a.date = b.date AND a.topic < b.topic) AS met
+    QUALIFY count(*) OVER (PARTITION BY topic1, topic2) >= {SHARED_DAYS}""",
+    ),
     "series_vectors": _with(
         _PRICES,
         select="""
@@ -453,6 +479,26 @@ ORACLES: dict[str, str] = {
         select=f" SELECT sid1, sid2, similarity FROM alike WHERE similarity > {FEED_THRESHOLD}",
     ),
     "sketch_similarity_windows": _with(_HASHES, _FEED, _WINDOWS, select=_CLOSED_PAIRS),
+    "sketch_similarity_long_windows": _with(
+        _HASHES,
+        _FEED,
+        f"""
+window_cells AS (
+    SELECT make_timestamp((CAST(floor(epoch(e.ts) / 28800) AS BIGINT) + w.ahead) * 28800000000) AS window_end,
+           e.sid, h.f, {_bucket(DEFAULT_HASHES.buckets)} AS v, count(*) AS n
+    FROM feed e CROSS JOIN hashes h CROSS JOIN generate_series(1, 30) AS w(ahead)
+    GROUP BY 1, 2, 3, 4),
+products AS (
+    SELECT x.window_end, x.sid AS sid1, y.sid AS sid2, x.f AS f,
+           CAST(sum(x.n * y.n) AS BIGINT) AS product
+    FROM window_cells x JOIN window_cells y
+      ON x.window_end = y.window_end AND x.f = y.f AND x.v = y.v AND x.sid > y.sid
+    GROUP BY 1, 2, 3, 4),
+window_similar AS (
+    SELECT window_end, sid1, sid2, min(product) AS similarity FROM products
+    GROUP BY 1, 2, 3 HAVING count(*) = 5 AND min(product) > {LONG_THRESHOLD})""",
+        select=_CLOSED_PAIRS,
+    ),
     "stream_cells": _with(
         _HASHES,
         _FEED,
@@ -509,4 +555,5 @@ judged AS (
     ),
 }
 ORACLES["stream_text_cells"] = ORACLES["stream_cells"]
+ORACLES["stream_cells_timed"] = ORACLES["stream_cells"]
 ORACLES["stream_similarity_parts"] = ORACLES["stream_similarity"]

@@ -31,7 +31,7 @@ from tidepair.operators.cosine import (
     top_matches,
 )
 from tidepair.operators.dictionary import BROADCAST_BYTES, build_dictionary, decode, encode
-from tidepair.operators.pairs import pair_series, topic_pairs
+from tidepair.operators.pairs import pair_series, supported_pair_series, supported_pairs, topic_pairs
 from tidepair.operators.select import describe_series
 from tidepair.operators.sketch import (
     inner_products,
@@ -50,6 +50,7 @@ from tidepair.plans.fixtures import (
     event_stream,
     event_visits,
     item_visits,
+    part_visits,
     purchase_feed,
     sale_prices,
     sale_visits,
@@ -64,6 +65,7 @@ from tidepair.sources.series import (
     write_prices,
     write_visits,
 )
+from tidepair.streaming.bounded import run_until_caught_up
 from tidepair.streaming.replay import count_late, replay
 from tidepair.streaming.similarity import (
     read_cells,
@@ -342,6 +344,22 @@ def topic_pair_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("topic1", "topic2", _day(), "mean", "min", "max")
 
 
+# Parts that are shipped on so many days alike.
+SHARED_DAYS = 3
+
+
+@register("topic_pairs_supported")
+def topic_pairs_supported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Among all parts, those that are shipped on the same days."""
+    return supported_pairs(part_visits(spark, sf_dir), SHARED_DAYS)
+
+
+@register("topic_pair_series_supported")
+def topic_pair_series_supported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = supported_pair_series(part_visits(spark, sf_dir), SHARED_DAYS)
+    return pairs.select("topic1", "topic2", _day(), "mean", "min", "max")
+
+
 @register("series_vectors")
 def vectors_of_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = event_calendar(spark, sf_dir)
@@ -486,6 +504,19 @@ def sketch_similarity_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(_instant("window_end"), "sid1", "sid2", _whole("similarity"))
 
 
+# The widths of the defaults: 3,000 buckets and windows of thirty panes.
+LONG_SIZE, LONG_SLIDE, LONG_THRESHOLD = "10 days", "8 hours", 12
+DEFAULT_HASHES = LinearHashes()
+
+
+@register("sketch_similarity_long_windows")
+def sketch_similarity_long_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panes = pane_cells(event_feed(spark, sf_dir), DEFAULT_HASHES, LONG_SLIDE)
+    cells = window_cells(panes, LONG_SIZE, LONG_SLIDE)
+    pairs = window_similarity(cells, DEFAULT_HASHES, LONG_THRESHOLD)
+    return pairs.select(_instant("window_end"), "sid1", "sid2", _whole("similarity"))
+
+
 # -- streaming ----------------------------------------------------------------
 
 
@@ -496,6 +527,24 @@ def stream_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_cells(spark, out).select(_instant("pane_end"), "sid", "f", "v", "n")
 
 
+# A live run is ended after so many seconds whether it has caught up or not.
+DEADLINE = 300.0
+
+
+@register("stream_cells_timed")
+def stream_cells_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_cells``, from a run on the timed trigger that ends when what has
+    landed is committed."""
+    out = shared_folder(spark, "stream")
+    stream = event_stream(spark, sf_dir)
+    _, caught = run_until_caught_up(
+        spark, lambda: start_cells(stream, HASHES, out, SLIDE, DELAY, every="1 second"), DEADLINE
+    )
+    if not caught:
+        raise TimeoutError(f"the feed was not read within {DEADLINE} seconds")
+    return read_cells(spark, out).select(_instant("pane_end"), "sid", "f", "v", "n")
+
+
 def _run_similarity(spark: SparkSession, sf_dir: str) -> str:
     out = shared_folder(spark, "stream")
     stream = event_stream(spark, sf_dir)
