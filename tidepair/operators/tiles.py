@@ -16,11 +16,9 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
-import tidepair
-from tidepair.session import shuffle_partitions
+from tidepair.session import ship_package, shuffle_partitions
 
 # Rows of the streamed side that are expanded to a dense block at a time.
 CHUNK = 512
@@ -45,8 +43,7 @@ def run_tiles(
     each tile and ``feed(side, batch)`` for each run of rows with one side, and
     yields result batches.
     """
-    # Executors need no copy of this package: its functions travel by value.
-    cloudpickle.register_pickle_by_value(tidepair)
+    ship_package(rows.sparkSession)
 
     def drive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, tile = kernel(), None

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +49,24 @@ def build_session(
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application.
+
+    Functions of the package are then pickled by name, so a closure stays small, and
+    queries run from any folder.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tidepair_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tidepair-package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._tidepair_shipped = True
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
