@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 
+import zstandard as zstd
 from pyspark.sql import functions as F
 
 from tidepair.llm import language_id, queries, toxicity
@@ -39,6 +40,45 @@ def test_language_of_odd_rows(documents):
     assert kept.columns == docs.columns and kept.count() == sum(any(c.isalpha() for c in t or "") for t in [*ODD_TEXTS, "the cat", "the cat"])
 
 
+def test_sizes_are_those_of_plain_calls(spark):
+    """The winner, score and rejection of each text against the library called by hand."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language_id.train(docs)
+    assert all(0 < len(d) <= language_id.DICTIONARY for d in model.dictionaries.values())
+    parameters = language_id._parameters()
+    coders = {
+        lang: zstd.ZstdCompressor(
+            compression_params=parameters, dict_data=zstd.ZstdCompressionDict(d, dict_type=zstd.DICT_TYPE_RAWCONTENT)
+        )
+        for lang, d in model.dictionaries.items()
+    }
+    found = language_id.identify_language(docs, model, ["doc_id"]).join(docs.select("doc_id", "text"), "doc_id")
+    for r in found.collect():
+        reduced = " ".join("".join(c if c.isascii() and c.islower() or not c.isascii() else " " for c in (r["text"] or "").lower()).split())
+        data = reduced.encode()
+        if not any(map(str.isalpha, r["text"] or "")):
+            assert r["lang_pred"] == "und" and r["rejected"]
+            continue
+        sizes = sorted((sum(len(c.compress(data[i : i + 2048])) for i in range(0, len(data), 2048)), lang) for lang, c in coders.items())
+        (first, lang), (second, _) = sizes[:2]
+        assert (r["lang_pred"], r["score"]) == (lang, 1 - first / second)
+        assert r["rejected"] == (second - first + 1 < 0.002 * second)
+
+
+def test_fragments_are_from_all_of_different_texts(spark, documents, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(2000))
+    docs = documents([(i, text if i % 2 else f"{text} {i}") for i in range(200)])
+    rows = language_id.fragments(docs).collect()
+    held = [zlib.crc32(str(i).encode()) % 4 == 2 for i in range(200)]
+    assert len(rows) == len({text if i % 2 else i for i in range(200) if not held[i]})
+    places = [text.find(r["text"][:100]) for r in rows]
+    assert max(places) > len(text) / 2 and len(set(places)) > 50
+    # copies hold most rows, but one place of the sample
+    monkeypatch.setattr(language_id, "SAMPLE_TEXTS", 5)
+    assert language_id.fragments(docs).count() == 5
+    assert language_id.train(docs.limit(0)).dictionaries == {}
+
+
 def test_toxicity_accuracy(spark):
     found = queries.op3_toxicity(spark, SF).filter("held_out")
     labels = spark.read.parquet(f"{SF}/labels.parquet").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))

@@ -5,12 +5,13 @@ sample of training rows.  A text is reduced to lower-case letters and spaces,
 cut into blocks of ``CHUNK`` bytes so that its own history does not drown the
 dictionary, and every block is encoded with every dictionary.  The smallest sum
 wins; the margin to the second smallest is the score, and a text whose margin
-is below ``NARROW`` is rejected.  In texts shorter than ``SHORT`` a match with a
-dictionary costs as much as the letters, so their margins say nothing and they
-are rejected only without letters.
+is below ``NARROW`` is rejected.  Sums are whole bytes, so a margin is known up to
+``DOUBT`` of them, which speak for the text: one rule for texts of all lengths.
 
-Sample (documented bound): ``SAMPLE_ROWS`` rows of each language in the order of
-a hash of the id, ``SAMPLE_CHARS`` characters of each, ``DICTIONARY`` bytes in all.
+Sample (documented bound): of each language the ``SAMPLE_TEXTS`` different texts with
+the least hashes, and of each of these one fragment of ``FRAGMENT`` characters from a
+place that its hash tells, anywhere in the text.  Fragments fill a dictionary of at
+most ``DICTIONARY`` bytes.  Copies of a text count as one.
 Predictions read whole texts and nothing but the text.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, and
@@ -30,11 +31,11 @@ from .common import held_out
 
 UNKNOWN = "und"
 DICTIONARY = 16_384
-SAMPLE_ROWS = 64
-SAMPLE_CHARS = 512
+SAMPLE_TEXTS = 1_000
+FRAGMENT = 512
 CHUNK = 2_048
 NARROW = 0.002
-SHORT = 64
+DOUBT = 1
 
 # Lower-case ASCII letters and all bytes of other characters stay, the rest is blank.
 _LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -82,26 +83,40 @@ class Classifier:
         if not self.dictionaries or not has_letter(text or "", reduced):
             return UNKNOWN, 0.0, True
         ranked = sorted(zip(self.sizes(reduced), self.dictionaries, strict=True))
-        margin = 1.0 - ranked[0][0] / ranked[1][0] if len(ranked) > 1 else 1.0
-        return ranked[0][1], margin, len(reduced) >= SHORT and margin < NARROW
+        if len(ranked) == 1:
+            return ranked[0][1], 1.0, False
+        (first, lang), (second, _) = ranked[:2]
+        return lang, 1.0 - first / second, second - first + DOUBT < NARROW * second
+
+
+def fragments(docs: DataFrame) -> DataFrame:
+    """(lang, key, text): a fragment of each text of the sample; a text's copies have one key."""
+    known = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+    key = F.xxhash64("text")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
+    # copies go in the map tasks; at most SAMPLE_TEXTS short rows of each language
+    chosen = (
+        known.select("lang", key.alias("key"))
+        .distinct()
+        .withColumn("_n", F.row_number().over(order))
+        .filter(F.col("_n") <= SAMPLE_TEXTS)
+    )
+    place = F.pmod(F.xxhash64(F.lit(1), "key"), F.greatest(F.length("text") - FRAGMENT, F.lit(0)) + 1)
+    return (
+        known.withColumn("key", key)
+        .join(F.broadcast(chosen), ["lang", "key"])
+        .select("lang", "_n", F.substring("text", place.cast("int") + 1, F.lit(FRAGMENT)).alias("text"))
+        .dropDuplicates(["lang", "_n"])
+    )
 
 
 def train(docs: DataFrame) -> Classifier:
     """Dictionaries from the rows that may be learned from."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    rows = (
-        docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-        .select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-        .withColumn("_n", F.row_number().over(order))
-        .filter(F.col("_n") <= SAMPLE_ROWS)
-        .collect()
-    )
     samples: dict[str, dict[bytes, None]] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["_n"])):
-        samples.setdefault(row["lang"], {})[letters(row["text"])] = None
-    return Classifier(
-        {lang: b" ".join(texts)[:DICTIONARY] for lang, texts in samples.items() if any(texts)}
-    )
+    for row in sorted(fragments(docs).collect(), key=lambda r: (r["lang"], r["_n"])):
+        if part := letters(row["text"]):
+            samples.setdefault(row["lang"], {})[part] = None
+    return Classifier({lang: b" ".join(texts)[:DICTIONARY] for lang, texts in samples.items()})
 
 
 def identify_language(
