@@ -158,3 +158,11 @@ def test_few_labels_of_a_branch_count_against_its_host(spark):
     rules = (("block", "h.org/bad/"), ("allow", "h.org/mixed/a1"), ("block", "h.org/mixed/b"))
     last = judge_urls(pages, rules).filter("rule IS NULL").collect()
     assert [r["verdict"] for r in last] == ["allow"]
+
+
+def test_columns_named_like_results_are_replaced(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/es/x", "r", 2, "h")], "page_id long, url string, rule string, branch int, host string")
+    out = judge_urls(pages)
+    assert out.columns == ["page_id", "url", "host", "path", "rule", "template", "branch", "purity", "verdict"]
+    assert [(r["host"], r["rule"], r["verdict"]) for r in out.collect()] == [("a.net", "net/es/", "block")]
+    assert judge_urls(pages.limit(0)).count() == 0

@@ -20,7 +20,8 @@ equi-joins, which adaptive execution can split.
 
 Defined cases: a url that is null or has no ``://`` has empty host and path, fits
 no rule, and is judged as the template of the empty host; repeated rows count
-each; a branch without any label has at most purity ``PRIOR``, which allows.
+each; a branch without any label has at most purity ``PRIOR``, which allows;
+columns of the pages that are named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -164,8 +165,12 @@ def branch_purity(templates: DataFrame) -> DataFrame:
 
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
-    """The columns of ``pages`` with host, path, rule, template, purity and verdict."""
-    urls = with_rule(parsed(pages), rules)
+    """The columns of ``pages`` with host, path, rule, template, branch, purity and verdict."""
+    results = ("host", "path", "rule", "template", "branch", "purity", "verdict")
+    # under names of our own, as the table may use any
+    kept = {c: f"_c{i}" for i, c in enumerate(pages.columns) if c not in results}
+    named = pages.select(*(F.col(c).alias(n) for c, n in kept.items()), F.col("url").alias("url"))
+    urls = with_rule(parsed(named), rules)
     shapes = materialize(
         path_templates(counted_paths(urls)).select(
             "host", "shape", "template", "blocked", "labelled"
@@ -180,5 +185,5 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
         urls.withColumn("shape", _shape(F.col("path")))
         .join(judged, ["host", "shape"])
         .withColumn("verdict", F.coalesce("label", by_method))
-        .select(*pages.columns, "host", "path", "rule", "template", "branch", "purity", "verdict")
+        .select(*(F.col(n).alias(c) for c, n in kept.items()), *results)
     )
