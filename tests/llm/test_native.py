@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tests.compare import connect, same
-from tidepair.llm import queries
+from tidepair.llm import mixing, queries
 from tidepair.llm.exact_dedup import drop_duplicates, duplicate_groups
-from tidepair.llm.mixing import BLOCK, mix_plan, permuted, shard_counts, targets, taken_words
+from tidepair.llm.mixing import BLOCK, mix_plan, permuted, targets, taken_words
 from tidepair.llm.url_filter import judge_urls, parsed, with_rule
 
 from .conftest import ODD_TEXTS
@@ -97,10 +99,92 @@ def test_mix_of_odd_rows(documents):
     assert all(r["target"] == 0 for r in taken_words(documents([(1, ""), (2, None)])).collect())
 
 
+def spark_hash(*values):
+    """xxhash64 as Spark has it: each value is hashed with the hash before it as seed."""
+    h = 42
+    for value, width in values:
+        if value is not None:
+            raw = value.encode() if width is None else value.to_bytes(width, "little", signed=True)
+            h = xxhash.xxh64_intdigest(raw, h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def place_of(x, size, *key):
+    for r in range(1, mixing.ROUNDS + 1):
+        partner = (spark_hash(*key, (r, 4)) - x) % size
+        if spark_hash(*key, (r, 4), (max(x, partner), 8)) & 1:
+            x = partner
+    return x
+
+
+def mixed_by_hand(docs):
+    """{(doc_id, size): taken} by plain loops: pack, deal tickets to shards, number slots, count."""
+    size, rows = defaultdict(int), defaultdict(list)
+    for doc_id, source, text in docs:
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+        size[source] += n
+        rows[source].append((doc_id, n))
+    names = sorted(size, key=lambda s: (s is None, s or ""))
+    goal = shared_out(size, dict(zip(names, (5, 2, 1) * len(names), strict=False)))
+    blocks, wanted = {}, {}
+    for s in names:
+        parts = math.ceil(size[s] / mixing.PART_WORDS)
+        by_part = defaultdict(list)
+        for doc_id, n in sorted(rows[s]):
+            part = spark_hash((doc_id, 8)) % parts if parts else 0
+            by_part[part] += [(doc_id, n)] * n
+        blocks[s] = [
+            by_part[p][i : i + BLOCK] for p in sorted(by_part) for i in range(0, len(by_part[p]), BLOCK)
+        ]
+        wanted[s] = math.floor(goal[s] * len(blocks[s]) / size[s] + 0.5) if size[s] else 0
+    tickets = [s for s in names for _ in range(wanted[s])]
+    shards = defaultdict(lambda: defaultdict(int))
+    for i, s in enumerate(tickets):
+        shards[place_of(i, len(tickets), (0, 4), ("shards", None)) // mixing.SHARD_SLOTS][s] += 1
+    taken, next_slot = defaultdict(int), defaultdict(int)
+    for shard in sorted(shards):
+        for s, count in shards[shard].items():
+            for slot in range(next_slot[s], next_slot[s] + count):
+                n = len(blocks[s])
+                at = place_of(slot % n, n, (0, 4), (s, None), (slot // n, 8))
+                for doc in blocks[s][at]:
+                    taken[doc] += 1
+            next_slot[s] += count
+    counts = {(shard, s): n for shard, of in shards.items() for s, n in of.items()}
+    return {(d, n): taken[d, n] for s in names for d, n in rows[s]}, counts
+
+
+@pytest.mark.parametrize(("part_words", "shard_slots", "shard_run"), [(1 << 20, 4096, 4096), (3000, 64, 3)])
+def test_mix_by_hand(spark, monkeypatch, part_words, shard_slots, shard_run):
+    monkeypatch.setattr(mixing, "PART_WORDS", part_words)
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", shard_slots)
+    monkeypatch.setattr(mixing, "SHARD_RUN", shard_run)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 7 != 3, F.col("source")))
+    want, counts = mixed_by_hand([(r["doc_id"], r["source"], r["text"]) for r in docs.collect()])
+    got = {(r["doc_id"], r["size"]): r["taken"] for r in taken_words(docs).collect()}
+    assert got == want
+    _, mix = mix_plan(docs)
+    drawn = {(r["shard"], r["source"]): r["count"] for r in mix.groupBy("shard", "source").count().collect()}
+    assert drawn == counts
+
+
+def test_taken_words_come_from_the_shards(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = taken_words(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[source#\d+, source_blocks#\d+L?, shard#\d+L?\]", plan), plan
+
+
 def test_slots_fill_shards_once_and_permutations_permute(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     _, mix = mix_plan(docs)
-    assert mix.count() == mix.select("shard", "place").distinct().count() == shard_counts(mix).agg(F.sum("slots")).first()[0]
+    rows = mix.collect()
+    shards = defaultdict(list)
+    for r in rows:
+        shards[r["shard"]].append(r["place"])
+    assert all(sorted(places) == list(range(len(places))) for places in shards.values())
+    assert sum(len(places) == mixing.SHARD_SLOTS for places in shards.values()) >= len(shards) - 1
+    assert len({(r["source"], r["slot"]) for r in rows}) == len(rows)
     for n in (1, 2, 7, 100):
         got = spark.range(n).select(permuted(F.col("id"), F.lit(n), F.lit(3)).alias("p")).collect()
         assert sorted(r["p"] for r in got) == list(range(n))

@@ -4,13 +4,15 @@
   first dealt into parts of about ``PART_WORDS`` words by a hash of the document
   id, and each part is packed by itself, so a hot source is packed by many
   tasks; the last block of a part is short.
-* A source gets as many slots of the output as its target takes.  All slots
-  are dealt to output shards by a pseudorandom permutation: the counts of a
-  shard are a multinomial draw given the totals, so the totals are met.
-* Slot number r of a source takes the block at place r of a pseudorandom
-  permutation of the source's blocks, a new one for each pass over the source,
-  and blocks are joined by that index.  A target is at most twice its source,
-  so no block is taken more than twice.
+* A source gets as many slots of the output as its target takes.  How many of
+  them each output shard holds is drawn first: tickets of the sources are dealt
+  to shards by a pseudorandom permutation, and counted.  That is a multinomial
+  draw for each shard given the totals, so the totals are met.
+* The slots of a source are numbered from those counts, shard by shard.  Slot
+  number r takes the block at place r of a pseudorandom permutation of the
+  source's blocks, a new one for each pass over the source, and blocks are joined
+  by that index.  A target is at most twice its source, so no block is taken more
+  than twice.
 
 Everything is a function of ids, sizes and the seed: reruns agree.
 
@@ -31,6 +33,7 @@ BLOCK = 64
 PART_WORDS = 1 << 20
 SHARD_SLOTS = 4096
 CHUNK = 8192
+SHARD_RUN = 4096
 ROUNDS = 12
 
 # Fixed values of the contract: weights in turn, share of all words, largest use of a source.
@@ -157,12 +160,13 @@ def parts(packed: DataFrame) -> DataFrame:
     )
 
 
-def slots(sources: DataFrame, seed: int = 0) -> DataFrame:
-    """(source, slot, index, shard, place) for (source, source_blocks, slots):
-    which block a slot takes, and the output shard and place that it fills.
+def shard_counts(sources: DataFrame, seed: int = 0) -> DataFrame:
+    """(source, shard, slots) for (source, source_blocks, slots): the multinomial draw of
+    each output shard, given the slots of all sources.
 
-    Slots are made in chunks that are dealt to all tasks; a number of partitions is
-    stated, as adaptive execution would put the short rows of chunks into one task.
+    Tickets are made in chunks that are dealt to all tasks and counted there first; a
+    number of partitions is stated, as adaptive execution would put the short rows of
+    chunks into one task.
     """
     before = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, -1
@@ -175,27 +179,60 @@ def slots(sources: DataFrame, seed: int = 0) -> DataFrame:
         .repartition(shuffle_partitions(sources.sparkSession), "source", "_chunk")
     )
     begin = F.col("_chunk") * CHUNK
-    each = chunks.withColumn(
-        "slot", F.explode(F.sequence(begin, F.least(begin + CHUNK, F.col("slots")) - 1))
+    tickets = chunks.withColumn(
+        "_ticket", F.explode(F.sequence(begin, F.least(begin + CHUNK, F.col("slots")) - 1))
+    )
+    at = permuted(F.col("_first") + F.col("_ticket"), F.col("_all"), F.lit(seed), F.lit("shards"))
+    return (
+        tickets.select("source", "source_blocks", F.floor(at / SHARD_SLOTS).alias("shard"))
+        .groupBy("source", "source_blocks", "shard")
+        .agg(F.count("*").alias("slots"))
+    )
+
+
+def slots(counts: DataFrame, seed: int = 0) -> DataFrame:
+    """(source, slot, index, shard, place) for the counts of shards: the slots of a source,
+    numbered from its counts shard by shard, the block that each takes, and the place that
+    it fills in its shard.
+
+    Counts are added up over runs of ``SHARD_RUN`` shards and then over the runs, so no
+    task sees all shards of a source.
+    """
+    runs = counts.withColumn("_run", F.expr(f"shard div {SHARD_RUN}"))
+    earlier = Window.partitionBy("source").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    begins = (
+        runs.groupBy("source", "_run")
+        .agg(F.sum("slots").alias("_slots"))
+        .withColumn("_begin", F.coalesce(F.sum("_slots").over(earlier), F.lit(0)))
+        .drop("_slots")
+    )
+    within = Window.partitionBy("source", "_run").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    shard = Window.partitionBy("shard")
+    beside = shard.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = (
+        _by_source(runs, begins, "_run")
+        .withColumn("_begin", F.col("_begin") + F.coalesce(F.sum("slots").over(within), F.lit(0)))
+        .withColumn("_beside", F.coalesce(F.sum("slots").over(beside), F.lit(0)))
+        .withColumn("_shard_slots", F.sum("slots").over(shard))
+    )
+    # a shard has at most SHARD_SLOTS slots, so no row grows beyond that
+    each = numbered.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))).withColumn(
+        "slot", F.col("_begin") + F.col("_at")
     )
     turn = F.expr("slot div source_blocks")
-    at = permuted(F.col("_first") + F.col("slot"), F.col("_all"), F.lit(seed), F.lit("shards"))
     return each.select(
         "source",
         "slot",
         permuted(
             F.col("slot") % F.col("source_blocks"), F.col("source_blocks"), F.lit(seed), F.col("source"), turn
         ).alias("index"),
-        F.floor(at / SHARD_SLOTS).alias("shard"),
-        F.pmod(at, F.lit(SHARD_SLOTS)).alias("place"),
+        "shard",
+        permuted(F.col("_beside") + F.col("_at"), F.col("_shard_slots"), F.lit(seed), F.lit("places"), F.col("shard")).alias(
+            "place"
+        ),
     )
 
 
-def shard_counts(mix: DataFrame) -> DataFrame:
-    """(shard, source, slots): how many blocks of each source a shard holds."""
-    return mix.groupBy("shard", "source").agg(F.count("*").alias("slots"))
-
-
 def pieces(packed: DataFrame, placed: DataFrame) -> DataFrame:
     """The stretch of words that each document has in each block, by block index.
     A document of size 0 has one piece without a block."""
@@ -221,7 +258,7 @@ def mix_plan(docs: DataFrame, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     sources = placed.groupBy("source").agg(
         F.first("source_blocks").alias("source_blocks"), F.first("slots").alias("slots")
     )
-    return pieces(packed, placed), slots(sources, seed)
+    return pieces(packed, placed), slots(shard_counts(sources, seed), seed)
 
 
 def taken_words(docs: DataFrame, seed: int = 0) -> DataFrame:
