@@ -5,13 +5,22 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidepair.llm import language_id
+from tests.compare import connect, same
+from tidepair.llm import language_id, queries
 from tidepair.llm.common import table
-from tidepair.llm.decontaminate import drop_contaminated, find_passages, hit_words
+from tidepair.llm.decontaminate import (
+    PIECE_WORDS,
+    cut_items,
+    drop_contaminated,
+    find_passages,
+    hit_words,
+    search_tables,
+)
 from tidepair.llm.mixing import BLOCK
 
 from .conftest import ODD_TEXTS
@@ -102,3 +111,46 @@ def test_passages_of_items_of_any_length(spark, documents, monkeypatch, block_by
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {i for i, t in enumerate(texts) if not hits(t, known)[0]}
     assert find_passages(docs, benchmark.limit(0)).filter(F.size("spans") > 0).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 9, 10, 11, PIECE_WORDS + 8, PIECE_WORDS + 9, PIECE_WORDS + 10, 2 * PIECE_WORDS + 9, 9000])
+def test_every_window_of_an_item_is_in_one_piece(n):
+    spelt = [f"w{i}" for i in range(n)]
+    batch = pa.RecordBatch.from_pydict({"item_id": ["i", "j"], "text": [", ".join(spelt).upper(), "-"]})
+    (cut,) = cut_items(iter([batch]))
+    pieces = [p.split(" ") for p in cut.column("piece").to_pylist()]
+    assert set(cut.column("item_id").to_pylist()) == {"i"}
+    size = min(10, n)
+    found = [tuple(p[i : i + size]) for p in pieces for i in range(len(p) - size + 1)]
+    assert found == [tuple(spelt[i : i + size]) for i in range(n - size + 1)]
+    assert all(size <= len(p) <= PIECE_WORDS + 9 for p in pieces)
+
+
+def test_long_and_repeated_items_in_blocks_of_their_own(spark, documents, monkeypatch):
+    monkeypatch.setattr("tidepair.llm.decontaminate.BLOCK_BYTES", 20_000)
+    spelt = [f"w{i}" for i in range(9000)]
+    text = " ".join(spelt)
+    items = [("long", text)] * 50 + [("copy", text), (None, text)] + [(f"i{k:03}", "a b c d e f g h i j") for k in range(300)]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    made = search_tables(benchmark)
+    assert made.count() >= 3
+    # the item is three pieces, each once for each of its three ids, and the short ones
+    size = len(text) * 3 + 300 * 20
+    assert made.agg(F.sum(F.octet_length("tables"))).first()[0] < 100 * size + made.count() * 2**20
+    cut = " ".join(spelt[PIECE_WORDS - 5 : PIECE_WORDS + 5])
+    docs = documents([(0, "x " + cut + " y"), (1, " ".join(spelt[5:14])), (2, "A b c d e f g h i j k"), (3, text)])
+    got = {r["doc_id"]: (r["n"], r["items"]) for r in find_passages(docs, benchmark).withColumn("n", hit_words()).collect()}
+    assert got == {
+        0: (10, ["copy", "long"]),
+        1: (0, []),
+        2: (10, [f"i{k:03}" for k in range(300)]),
+        3: (9000, ["copy", "long"]),
+    }
+
+
+def test_whole_tables_with_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr("tidepair.llm.decontaminate.BLOCK_BYTES", 2_000)
+    sf = "/root/testdata/sf0.01"
+    assert search_tables(table(spark, sf, "benchmark")).count() >= 3
+    ok, what = same(queries.op4_decontaminate(spark, sf), connect(sf), queries.ORACLES["op4_decontaminate"])
+    assert ok, what

@@ -10,9 +10,14 @@ whole of a shorter item.  For each length of window:
 * their words are compared, first by hash, then byte by byte.
 
 Documents are cut into stretches of words that are searched in step, so one
-array operation moves all of them.  Items are read in blocks of about
-``BLOCK_BYTES`` of text, which bounds what a task holds; each block of items is
-searched for in all documents.
+array operation moves all of them.
+
+Different items are cut into pieces of ``PIECE_WORDS`` windows and dealt to blocks
+by their running number of bytes, so a block has at most ``BLOCK_BYTES`` and one
+piece.  A task builds the search tables of a block and writes them; the driver hands
+on the tables of one block at a time, as bytes, and never sees items.  Each block is
+searched for in all documents, with a table between blocks, so a task holds
+the tables of one block however large the benchmark is.
 
 Defined cases: null and wordless texts have no words and no hits; an item
 without an id counts for hits but can not be named; repeated items are named
@@ -21,21 +26,24 @@ once; an empty benchmark finds nothing; other columns are handed on.
 
 from __future__ import annotations
 
-import math
+import pickle
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import whole_text
+from ..functions.prefix import with_running_total
+from ..session import discard, materialize
 from .textbytes import ALNUM, Words, chunks, mixed, words
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
+PIECE_WORDS = 4096
 STRETCH = 256
 SHIFT_BITS = 18
 
@@ -47,14 +55,25 @@ class Patterns(NamedTuple):
     """Different windows of one length and the search tables for them."""
 
     length: int
-    hashes: np.ndarray  # (window, word)
-    texts: list[bytes]  # the words of a window with one space between
-    items: list[tuple[str, ...]]
+    hashes: np.ndarray  # of all words of the items, one after the other
+    first: np.ndarray  # number of the first word of a window
+    text: bytes  # all words, with one space after each
+    begin: np.ndarray  # where a window is in ``text``
+    end: np.ndarray
+    names: list[str]
+    item: np.ndarray  # places in ``names``, window after window
+    items_from: np.ndarray  # where the items of a window begin in ``item``; one more at the end
     shift: np.ndarray
     suffixes: np.ndarray  # sorted hashes of the last words
     bucket: np.ndarray  # where the windows of a suffix begin in ``order``; one more at the end
     order: np.ndarray
 
+    def spelt(self, window: int) -> bytes:
+        return self.text[self.begin[window] : self.end[window]]
+
+    def items(self, window: int) -> list[str]:
+        return [self.names[i] for i in self.item[self.items_from[window] : self.items_from[window + 1]].tolist()]
+
 
 def _block(hashes: np.ndarray, last: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` (1 or 2) words that end at ``last``."""
@@ -70,40 +89,55 @@ def _slot(block: np.ndarray) -> np.ndarray:
 
 def build_patterns(items: list[tuple[str | None, str | None]]) -> list[Patterns]:
     """Search tables for (id, text) items, by length of window."""
-    found: dict[int, dict[bytes, tuple[np.ndarray, set]]] = {}
+    hashes: list[np.ndarray] = []
+    spelt: list[bytes] = []
+    # the windows of each length, by their words: number of the first word, names
+    found: dict[int, dict[bytes, tuple[int, set]]] = {}
     texts = pa.array([text for _, text in items], pa.string())
     for chunk in chunks(texts):
         w = words(chunk, ALNUM)
         raw = w.data.tobytes()
-        spelt = [raw[s:e] for s, e in zip(w.start.tolist(), w.end.tolist(), strict=True)]
+        before = len(spelt)
+        hashes.append(w.hash)
+        spelt += [raw[s:e] for s, e in zip(w.start.tolist(), w.end.tolist(), strict=True)]
         for row in range(chunk.last - chunk.first):
-            a, b = int(w.first[row]), int(w.first[row + 1])
+            a, b = before + int(w.first[row]), before + int(w.first[row + 1])
             length = min(WINDOW, b - a)
             name = items[chunk.first + row][0]
             for at in range(a, b - length + 1) if length else ():
                 text = b" ".join(spelt[at : at + length])
-                known = found.setdefault(length, {}).setdefault(text, (w.hash[at : at + length], set()))
+                known = found.setdefault(length, {}).setdefault(text, (at, set()))
                 if name is not None:
                     known[1].add(name)
-    return [_tables(length, windows) for length, windows in sorted(found.items())]
+    text = b"".join(word + b" " for word in spelt)
+    begin = np.cumsum([0, *(len(word) + 1 for word in spelt)])
+    flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    return [_tables(n, flat, text, begin, list(w.values())) for n, w in sorted(found.items())]
 
 
-def _tables(length: int, windows: dict[bytes, tuple[np.ndarray, set]]) -> Patterns:
-    hashes = np.array([h for h, _ in windows.values()], np.uint64).reshape(len(windows), length)
+def _tables(
+    length: int, hashes: np.ndarray, text: bytes, begin: np.ndarray, windows: list[tuple[int, set]]
+) -> Patterns:
+    firsts = np.array([at for at, _ in windows], np.int64)
     size = min(2, length)
     shift = np.full(1 << SHIFT_BITS, length - size + 1, np.uint8)
-    flat = hashes.reshape(-1)
     for at in range(size - 1, length):
-        last = np.arange(len(windows)) * length + at
-        np.minimum.at(shift, _slot(_block(flat, last, size)), np.uint8(length - 1 - at))
-    suffix = _block(flat, np.arange(len(windows)) * length + length - 1, size)
+        np.minimum.at(shift, _slot(_block(hashes, firsts + at, size)), np.uint8(length - 1 - at))
+    suffix = _block(hashes, firsts + length - 1, size)
     order = np.argsort(suffix, kind="stable")
     suffixes, first = np.unique(suffix[order], return_index=True)
+    names = sorted(set().union(*(known for _, known in windows)))
+    number = {name: i for i, name in enumerate(names)}
     return Patterns(
         length,
         hashes,
-        list(windows),
-        [tuple(sorted(names)) for _, names in windows.values()],
+        firsts,
+        text,
+        begin[firsts],
+        begin[firsts + length] - 1,
+        names,
+        np.array([number[name] for _, known in windows for name in sorted(known)], np.int32),
+        np.cumsum([0, *(len(known) for _, known in windows)]),
         shift,
         suffixes,
         np.append(first, len(order)),
@@ -154,7 +188,7 @@ def occurrences(w: Words, p: Patterns) -> Iterator[tuple[int, int]]:
         window = p.order[np.repeat(p.bucket[place[i:j]], n) + within]
         first = np.repeat(last[i:j], n) - (p.length - 1)
         for k in range(p.length):
-            same = w.hash[first + k] == p.hashes[window, k]
+            same = w.hash[first + k] == p.hashes[p.first[window] + k]
             first, window = first[same], window[same]
         for a, b in zip(first.tolist(), window.tolist(), strict=True):
             spelt = b" ".join(
@@ -163,7 +197,7 @@ def occurrences(w: Words, p: Patterns) -> Iterator[tuple[int, int]]:
                     w.start[a : a + p.length].tolist(), w.end[a : a + p.length].tolist(), strict=True
                 )
             )
-            if spelt == p.texts[b]:
+            if spelt == p.spelt(b):
                 yield a, b
 
 
@@ -190,10 +224,58 @@ def search_batch(batch: pa.RecordBatch, patterns: list[Patterns]) -> tuple[list,
                 row = int(np.searchsorted(w.first, first, "right")) - 1
                 at = first - int(w.first[row])
                 spans[chunk.first + row].append((at, at + p.length))
-                names[chunk.first + row].update(p.items[window])
+                names[chunk.first + row].update(p.items(window))
     return counts, spans, names
 
 
+def cut_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item_id, piece) of (item_id, text): words with one space between, at most
+    ``PIECE_WORDS`` windows in a piece.  Each window of an item is whole in one piece."""
+    for batch in batches:
+        ids = batch.column("item_id").to_pylist()
+        for chunk in chunks(batch.column("text")):
+            w = words(chunk, ALNUM)
+            raw = w.data.tobytes()
+            names, pieces = [], []
+            for row in range(chunk.last - chunk.first):
+                a, b = int(w.first[row]), int(w.first[row + 1])
+                for at in range(a, max(b - WINDOW + 1, min(a + 1, b)), PIECE_WORDS):
+                    last = min(b, at + PIECE_WORDS + WINDOW - 1)
+                    places = zip(w.start[at:last].tolist(), w.end[at:last].tolist(), strict=True)
+                    names.append(ids[chunk.first + row])
+                    pieces.append(b" ".join(raw[s:e] for s, e in places).decode())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array(pieces, pa.string())], names=["item_id", "piece"]
+            )
+
+
+def _block_tables(rows: pd.DataFrame) -> pd.DataFrame:
+    pairs = zip(rows["item_id"], rows["piece"], strict=True)
+    made = build_patterns([(None if pd.isna(name) else name, piece) for name, piece in pairs])
+    return pd.DataFrame({"block": rows["block"].iloc[:1], "tables": [pickle.dumps(made, pickle.HIGHEST_PROTOCOL)]})
+
+
+def search_tables(benchmark: DataFrame) -> DataFrame:
+    """(block, tables): the search tables of each block of items, in a written table."""
+    pieces = (
+        benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+        .mapInArrow(cut_items, "item_id string, piece string")
+        .groupBy("item_id", "piece")
+        .agg(F.max(F.octet_length("piece")).cast("long").alias("_bytes"))
+    )
+    # a piece has no zero byte, so the last one parts id and piece
+    name = F.coalesce(F.concat(F.lit("="), "item_id"), F.lit("-"))
+    keyed = pieces.withColumn("_key", F.sha2(F.concat(name, F.lit("\0"), "piece"), 256))
+    placed = with_running_total(keyed, "_key", "_bytes", "_end")
+    block = F.floor((F.col("_end") - F.col("_bytes")) / BLOCK_BYTES).alias("block")
+    made = (
+        placed.select("item_id", "piece", block)
+        .groupBy("block")
+        .applyInPandas(_block_tables, "block long, tables binary")
+    )
+    return materialize(made, "passages")
+
+
 def find_passages(
     docs: DataFrame, benchmark: DataFrame, columns: list[str] | None = None
 ) -> DataFrame:
@@ -201,30 +283,32 @@ def find_passages(
     as disjoint stretches) and ``items`` (ids of items found, as sorted strings).
     Columns of ``docs`` with one of these three names are replaced."""
     spark = docs.sparkSession
-    total = benchmark.agg(F.sum(F.octet_length(whole_text()))).first()[0] or 0
-    blocks = max(1, math.ceil(total / BLOCK_BYTES))
+    tables = search_tables(benchmark)
+    blocks = sorted(r["block"] for r in tables.select("block").collect())
     added = [
         T.StructField("n_words", T.LongType()),
         T.StructField("spans", SPANS),
         T.StructField("items", T.ArrayType(T.StringType())),
     ]
     names = {field.name for field in added}
-    wanted = [c for c in (docs.columns if columns is None else columns) if c not in names]
+    wanted = [c for c in (docs.columns if columns is None else columns) if c.lower() not in names]
     out = docs.select(*dict.fromkeys([*wanted, "text"])).withColumns(
         {f.name: F.lit(None).cast(f.dataType) for f in added}
     )
     schema = out.schema
     last = out.select(*wanted, *(f.name for f in added)).schema
-    for block in range(blocks):
-        of_block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block
-        items = benchmark.select(F.col("item_id").cast("string"), "text").filter(of_block).collect()
-        shared = spark.sparkContext.broadcast(build_patterns([tuple(r) for r in items]))
-
-        given = last if block == blocks - 1 else schema
+    none = pickle.dumps([])
+    before = None
+    for block in blocks or [None]:
+        made = none if block is None else bytes(tables.where(F.col("block") == block).first()["tables"])
+        shared = spark.sparkContext.broadcast(made)
+        is_last = not blocks or block == blocks[-1]
+        given = last if is_last else schema
 
         def search(batches, shared=shared, keep=given.names[:-3]):
+            patterns = pickle.loads(shared.value)
             for batch in batches:
-                counts, spans, names = search_batch(batch, shared.value)
+                counts, spans, names = search_batch(batch, patterns)
                 before = batch.column("spans").to_pylist()
                 named = batch.column("items").to_pylist()
                 spans = [
@@ -244,6 +328,13 @@ def find_passages(
                 )
 
         out = out.mapInArrow(search, given)
+        if not is_last:
+            out = materialize(out, "passages-found")
+            shared.destroy()
+            if before is not None:
+                discard(before)
+            before = out
+    discard(tables)
     return out
 
 
