@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepair.functions.names import numeric_prefix
-from tidepair.operators.dictionary import build_dictionary, decode, encode
 from tidepair.functions.prefix import with_running_total
+from tidepair.operators import dictionary as dictionary_module
+from tidepair.operators.dictionary import build_dictionary, decode, encode, grow_dictionary, read_dictionary
 from tidepair.session import shared_folder
 from tidepair.sources.series import (
     read_prices,
@@ -133,3 +134,53 @@ def test_shared_folder_uses_the_session_setting(spark):
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
     root = root or spark.sparkContext.getCheckpointDir()
     assert one != two and one.startswith(root.rstrip("/"))
+
+
+def names_of(spark, *names):
+    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "row long, name string")
+
+
+def table_of(book):
+    return {r["name"]: r["id"] for r in book.table.collect()}
+
+
+def test_a_dictionary_grows_without_renumbering(spark):
+    path = shared_folder(spark, "book")
+    parts = [("b", "d", "b", None), ("a", "b", "c", "d", "é"), (), ("a", ""), (None,), ("zz", "aa", "zz")]
+    want, sizes = {}, []
+    for part in parts:
+        new = sorted({n for n in part if n is not None} - want.keys(), key=str.encode)
+        want |= {n: len(want) + i for i, n in enumerate(new)}
+        sizes.append(len(want))
+        book = grow_dictionary(names_of(spark, *part), "name", path)
+        assert table_of(book) == want and book.size == len(want)
+        assert table_of(read_dictionary(spark, path)) == want
+    for version, size in enumerate(sizes, 1):
+        then = read_dictionary(spark, path, version)
+        assert (then.size, table_of(then)) == (size, {n: i for n, i in want.items() if i < size})
+    every = names_of(spark, *(n for part in parts for n in part))
+    book = read_dictionary(spark, path)
+    back = decode(encode(every, book, "name", "id"), book, "id", "name").collect()
+    assert sorted((r["row"], r["name"]) for r in back) == sorted((r["row"], r["name"]) for r in every.collect() if r["name"] is not None)
+
+
+def test_a_version_that_failed_is_replaced(spark, monkeypatch):
+    path = shared_folder(spark, "book")
+    grow_dictionary(names_of(spark, "m"), "name", path)
+    # names of a version are there, the row that finishes it is not
+    lost = spark.createDataFrame([("x", 1), ("y", 2)], "name string, id long")
+    lost.write.parquet(f"{path}/names/version=2")
+    assert table_of(read_dictionary(spark, path)) == {"m": 0}
+    book = grow_dictionary(names_of(spark, "y", "k"), "name", path)
+    assert table_of(book) == {"m": 0, "k": 1, "y": 2} == table_of(read_dictionary(spark, path))
+
+
+def test_hot_names_of_a_grown_dictionary_stay_where_they_are(spark, monkeypatch):
+    path = shared_folder(spark, "book")
+    rows = names_of(spark, *["hot"] * 3000, *(f"n{i}" for i in range(1500)))
+    grow_dictionary(rows.where("row >= 3000"), "name", path)
+    book = grow_dictionary(rows, "name", path)
+    assert [r["name"] for r in book.table.where("hot").collect()] == ["hot"] and book.size == 1501
+    monkeypatch.setattr(dictionary_module, "BROADCAST_BYTES", 0)
+    back = decode(encode(rows, book, "name", "id"), book, "id", "name")
+    assert sorted(back.select("row", "name").collect()) == sorted(rows.collect())

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepair.functions.prefix import with_running_total
@@ -71,3 +71,74 @@ def decode(df: DataFrame, dictionary: Dictionary, id_column: str, column: str) -
     """Replace an id column by its name."""
     lookup = dictionary.table.select(F.col("id").alias(id_column), F.col("name").alias(column), "hot")
     return _look_up(df, lookup, id_column, dictionary.bytes).drop(id_column)
+
+
+# A dictionary that grows is a folder: one table of new names for each version, and
+# one short row for each finished version.
+VERSION_SCHEMA = "name string, id bigint, version bigint"
+HEAD_SCHEMA = "number bigint, size bigint, bytes bigint"
+
+
+def _heads(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(HEAD_SCHEMA).option("recursiveFileLookup", True).parquet(f"{path}/heads")
+
+
+def _known(spark: SparkSession, path: str, last: int) -> DataFrame:
+    names = spark.read.schema(VERSION_SCHEMA).parquet(f"{path}/names")
+    return names.where(F.col("version").between(1, last)).select("name", "id")
+
+
+def _total(spark: SparkSession, path: str, version: int | None) -> tuple[int, int, int]:
+    """(last version, names, bytes) up to a version, by default the last finished one."""
+    heads = _heads(spark, path)
+    if version is not None:
+        heads = heads.where(F.col("number") <= version)
+    last, size, total = heads.agg(F.max("number"), F.sum("size"), F.sum("bytes")).first()
+    return last or 0, size or 0, total or 0
+
+
+def grow_dictionary(df: DataFrame, column: str, path: str) -> Dictionary:
+    """Add the new names of a column to the dictionary at ``path`` as its next version.
+
+    Ids of known names never change; new ones get the next ids, in name order.  Only
+    new names are numbered and written, so a version costs what it adds besides one
+    join of names.  The row that finishes a version is written last: a version that
+    failed is not read and is replaced by the next call.  One writer at a time.
+    """
+    spark = df.sparkSession
+    # both tables exist, without rows, before the first version
+    spark.createDataFrame([], "name string, id bigint").write.mode("ignore").parquet(f"{path}/names/version=0")
+    spark.createDataFrame([], HEAD_SCHEMA).write.mode("ignore").parquet(f"{path}/heads/version=0")
+    last, size, _ = _total(spark, path, None)
+    counts = materialize(
+        df.select(F.col(column).cast("string").alias("name"))
+        .where("name IS NOT NULL")
+        .groupBy("name")
+        .agg(F.count(F.lit(1)).alias("rows")),
+        "names",
+    )
+    fresh = counts.join(_known(spark, path, last), "name", "left_anti")
+    numbered = with_running_total(
+        fresh.withColumn("_one", F.lit(1).cast("bigint")), "name", "_one", "_number"
+    )
+    here = f"{path}/names/version={last + 1}"
+    numbered.select("name", (F.col("_number") - 1 + size).alias("id")).write.mode("overwrite").parquet(here)
+    added = spark.read.schema("name string, id bigint").parquet(here)
+    head = added.agg(
+        F.lit(last + 1).cast("bigint").alias("number"),
+        F.count(F.lit(1)).alias("size"),
+        F.coalesce(F.sum(F.octet_length("name") + ROW_BYTES), F.lit(0)).cast("bigint").alias("bytes"),
+    )
+    head.write.mode("overwrite").parquet(f"{path}/heads/version={last + 1}")
+    # at most 1 / HOT_SHARE names are hot in the rows that were added
+    rows = counts.agg(F.sum("rows")).first()[0] or 0
+    hot = counts.where(F.col("rows") > HOT_SHARE * rows).select("name", F.lit(True).alias("hot"))
+    grown = read_dictionary(spark, path)
+    table = grown.table.drop("hot").join(F.broadcast(hot), "name", "left")
+    return replace(grown, table=table.withColumn("hot", F.coalesce("hot", F.lit(False))))
+
+
+def read_dictionary(spark: SparkSession, path: str, version: int | None = None) -> Dictionary:
+    """The dictionary at ``path`` as it is, or as it was at a version.  No name counts as hot."""
+    last, size, total = _total(spark, path, version)
+    return Dictionary(_known(spark, path, last).withColumn("hot", F.lit(False)), size, total)

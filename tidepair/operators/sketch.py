@@ -64,7 +64,7 @@ def pane_cells(feed: DataFrame, family: HashFamily, slide: str) -> DataFrame:
 CHUNK_SIZES = 8
 
 
-def _micros(interval: str) -> Column:
+def interval_micros(interval: str) -> Column:
     return F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {interval}"))
 
 
@@ -77,7 +77,7 @@ def window_cells(panes: DataFrame, size: str, slide: str) -> DataFrame:
     Sketches are gathered in the same place.  ``fresh`` is the part of ``n`` from the
     window's last pane.
     """
-    span, step = _micros(size), _micros(slide)
+    span, step = interval_micros(size), interval_micros(slide)
     chunk, last = span * CHUNK_SIZES, F.unix_micros("pane.start")
     first = last - F.floor((span - step) / step) * step
     dealt = panes.select(

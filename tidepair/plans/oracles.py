@@ -317,6 +317,20 @@ def _report() -> str:
     return _with(*parts, select=f" SELECT * FROM ({best}) AS ranked WHERE position <= 20")
 
 
+_JUDGED = f"""
+landed AS (
+    SELECT ts, sid, item, CAST(date_trunc('day', ts) AS TIMESTAMP) + to_days(1) AS pane_end,
+           (date_diff('day', (SELECT CAST(min(ts) AS DATE) FROM events), CAST(ts AS DATE))
+            + CASE WHEN item >= {LATE_ITEM} THEN {LATE_DAYS} ELSE 0 END) // {PART_DAYS} AS part
+    FROM feed),
+part_ends AS (SELECT part, max(ts) AS last_ts FROM landed GROUP BY 1),
+marks AS (
+    SELECT p.part, max(q.last_ts) - INTERVAL 1 HOUR AS watermark
+    FROM part_ends p LEFT JOIN part_ends q ON q.part < p.part GROUP BY 1),
+judged AS (
+    SELECT l.part, l.ts, l.sid, l.item, l.pane_end, m.watermark,
+           coalesce(l.pane_end <= m.watermark, false) AS late
+    FROM landed l JOIN marks m ON m.part = l.part)"""
 _SCORES = " SELECT series, topic1, topic2, cos_mean, cos_min, cos_max FROM scores"
 _CLOSED_PAIRS = f"""
     SELECT {_STAMP.format('window_end', 'window_end')}, sid1, sid2, similarity
@@ -406,6 +420,14 @@ ORACLES: dict[str, str] = {
         SELECT series, row_number() OVER (ORDER BY series) - 1 AS series_id
         FROM (SELECT DISTINCT series FROM prices) AS names) d ON d.series = p.series""",
     ),
+    "dictionary_grow": _with(
+        _PRICES,
+        select="""
+    SELECT p.event_id, d.series_id, p.series
+    FROM prices p JOIN (
+        SELECT series, row_number() OVER (ORDER BY min(date) > (SELECT min(date) FROM prices), series) - 1 AS series_id
+        FROM prices GROUP BY series) d ON d.series = p.series""",
+    ),
     "dictionary_decode": _with(_PRICES, select=" SELECT event_id, series FROM prices"),
     "topic_pairs": """
     SELECT a.topic AS topic1, b.topic AS topic2
@@ -533,19 +555,7 @@ pane_cells AS (
     ),
     "stream_late_data": _with(
         _FEED,
-        f"""
-landed AS (
-    SELECT ts, CAST(date_trunc('day', ts) AS TIMESTAMP) + to_days(1) AS pane_end,
-           (date_diff('day', (SELECT CAST(min(ts) AS DATE) FROM events), CAST(ts AS DATE))
-            + CASE WHEN item >= {LATE_ITEM} THEN {LATE_DAYS} ELSE 0 END) // {PART_DAYS} AS part
-    FROM feed),
-part_ends AS (SELECT part, max(ts) AS last_ts FROM landed GROUP BY 1),
-marks AS (
-    SELECT p.part, max(q.last_ts) - INTERVAL 1 HOUR AS watermark
-    FROM part_ends p LEFT JOIN part_ends q ON q.part < p.part GROUP BY 1),
-judged AS (
-    SELECT l.pane_end, coalesce(l.pane_end <= m.watermark, false) AS late
-    FROM landed l JOIN marks m ON m.part = l.part)""",
+        _JUDGED,
         select=f"""
     SELECT {_STAMP.format('pane_end', 'pane_end')},
            count(*) FILTER (WHERE NOT late) AS events, count(*) FILTER (WHERE late) AS late
@@ -553,6 +563,24 @@ judged AS (
     WHERE pane_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM feed)
     GROUP BY judged.pane_end HAVING count(*) FILTER (WHERE NOT late) > 0""",
     ),
+    "stream_late_rows": _with(
+        _FEED,
+        _JUDGED,
+        select=f"""
+    SELECT {_STAMP.format('pane_end', 'pane_end')}, epoch_us(ts) AS ts_micros, sid, item
+    FROM judged WHERE late""",
+    ),
+    "stream_batch_record": _with(
+        _FEED,
+        _JUDGED,
+        select="""
+    SELECT batch, rows, late, CAST(sum(rows) OVER (ORDER BY batch) AS BIGINT) AS rows_so_far,
+           last_micros, watermark_micros
+    FROM (SELECT row_number() OVER (ORDER BY part) - 1 AS batch, count(*) AS rows,
+                 count(*) FILTER (WHERE late) AS late, epoch_us(max(ts)) AS last_micros,
+                 epoch_us(max(watermark)) AS watermark_micros
+          FROM judged GROUP BY part) AS parts""",
+    ),
 }
 ORACLES["stream_text_cells"] = ORACLES["stream_cells"]
 ORACLES["stream_cells_timed"] = ORACLES["stream_cells"]

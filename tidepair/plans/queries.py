@@ -30,7 +30,13 @@ from tidepair.operators.cosine import (
     cosine_vectors,
     top_matches,
 )
-from tidepair.operators.dictionary import BROADCAST_BYTES, build_dictionary, decode, encode
+from tidepair.operators.dictionary import (
+    BROADCAST_BYTES,
+    build_dictionary,
+    decode,
+    encode,
+    grow_dictionary,
+)
 from tidepair.operators.pairs import pair_series, supported_pair_series, supported_pairs, topic_pairs
 from tidepair.operators.select import describe_series
 from tidepair.operators.sketch import (
@@ -66,6 +72,7 @@ from tidepair.sources.series import (
     write_visits,
 )
 from tidepair.streaming.bounded import run_until_caught_up
+from tidepair.streaming.late import pane_end, read_late, read_record, start_routing
 from tidepair.streaming.replay import count_late, replay
 from tidepair.streaming.similarity import (
     read_cells,
@@ -332,6 +339,22 @@ def dictionary_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(encoded, names, "series_id", "series").select("event_id", "series")
 
 
+@register("dictionary_grow")
+def dictionary_grow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of the first day are numbered first, new ones of the other days after
+    them; all rows are encoded with the version of their day and decoded with the last."""
+    prices, path = event_prices(spark, sf_dir), shared_folder(spark, "names")
+    first = F.col("date") <= F.lit(event_calendar(spark, sf_dir).start)
+    coded = []
+    for part in (prices.where(first), prices.where(~first)):
+        book = grow_dictionary(part, "series", path)
+        coded.append(encode(part.select("event_id", "series"), book, "series", "series_id"))
+    every = coded[0].unionByName(coded[1])
+    return decode(every.withColumn("id", F.col("series_id")), book, "id", "series").select(
+        "event_id", "series_id", "series"
+    )
+
+
 @register("topic_pairs")
 def topic_pair_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic_pairs(event_visits(spark, sf_dir))
@@ -607,14 +630,47 @@ def stream_text_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 LATE_ITEM, LATE_DAYS, PART_DAYS = 90, 3, 10
 
 
+def _late_part(spark: SparkSession, sf_dir: str) -> Column:
+    days = _days(spark, sf_dir) + F.when(F.col("item") >= LATE_ITEM, LATE_DAYS).otherwise(0)
+    return F.floor(days / PART_DAYS).cast("int")
+
+
 @register("stream_late_data")
 def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = event_calendar(spark, sf_dir)
     feed = event_feed(spark, sf_dir)
-    days = F.date_diff(
-        naive_utc(F.col("ts")).cast("date"), F.lit(days.start)
-    ) + F.when(F.col("item") >= LATE_ITEM, LATE_DAYS).otherwise(0)
-    part = F.floor(days / PART_DAYS).cast("int")
-    return count_late(feed, part, SLIDE, DELAY).select(
+    return count_late(feed, _late_part(spark, sf_dir), SLIDE, DELAY).select(
         _instant("pane_end"), "events", "late"
     )
+
+
+def _route_late(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    def start(stream: DataFrame, out: str) -> StreamingQuery:
+        return start_routing(stream, out, SLIDE, DELAY, once=True)
+
+    feed = event_feed(spark, sf_dir)
+    return feed, replay(feed, _late_part(spark, sf_dir), start)[1]
+
+
+@register("stream_late_rows")
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The late rows themselves, from a side output over several batches and restarts."""
+    feed, out = _route_late(spark, sf_dir)
+    return (
+        read_late(spark, out, feed.schema)
+        .withColumn("pane_end", pane_end(SLIDE))
+        .select(_instant("pane_end"), F.unix_micros("ts").alias("ts_micros"), "sid", "item")
+    )
+
+
+@register("stream_batch_record")
+def stream_batch_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, late rows and watermark of each batch, as observed while it was written."""
+    _, out = _route_late(spark, sf_dir)
+    return read_record(spark, out).select(
+        "batch",
+        "rows",
+        "late",
+        "rows_so_far",
+        F.unix_micros("last").alias("last_micros"),
+        F.unix_micros("watermark").alias("watermark_micros"),
+    )
