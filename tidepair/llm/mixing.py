@@ -214,8 +214,10 @@ def slots(counts: DataFrame, seed: int = 0) -> DataFrame:
         .withColumn("_begin", F.col("_begin") + F.coalesce(F.sum("slots").over(within), F.lit(0)))
         .withColumn("_beside", F.coalesce(F.sum("slots").over(beside), F.lit(0)))
         .withColumn("_shard_slots", F.sum("slots").over(shard))
+        .repartition(shuffle_partitions(counts.sparkSession), "source", "shard")
     )
-    # a shard has at most SHARD_SLOTS slots, so no row grows beyond that
+    # a shard has at most SHARD_SLOTS slots, so no row grows beyond that; dealt anew with a
+    # stated number of partitions, or adaptive execution would put the short rows into one task
     each = numbered.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))).withColumn(
         "slot", F.col("_begin") + F.col("_at")
     )
@@ -258,7 +260,8 @@ def mix_plan(docs: DataFrame, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     sources = placed.groupBy("source").agg(
         F.first("source_blocks").alias("source_blocks"), F.first("slots").alias("slots")
     )
-    return pieces(packed, placed), slots(shard_counts(sources, seed), seed)
+    counts = materialize(shard_counts(sources, seed), "mix-shards")
+    return pieces(packed, placed), slots(counts, seed)
 
 
 def taken_words(docs: DataFrame, seed: int = 0) -> DataFrame:
