@@ -8,6 +8,13 @@ from tidepair.functions.hashing import LinearHashes
 from tidepair.operators import tiles
 from tidepair.operators.sketch import inner_products, sketch_similarity
 from tidepair.operators.tiles import SketchListKernel
+from tidepair.streaming.similarity import (
+    read_pair_lists,
+    read_pairs,
+    read_progress,
+    run_for,
+    start_similarity,
+)
 
 DEPTH, BUCKETS = 3, 10
 
@@ -82,3 +89,25 @@ def test_whole_numbers_need_no_decimals(spark):
     assert {tuple(r) for r in sketch_similarity(hot, family, kind="bigint").where("sid1 = 2").collect()} == {(2, 1, 15 * 2**52)}
     want = {(2, 1): 15 * 2**52, (3, 1): 3 * 2**83, (3, 2): 5 * 2**83}
     assert {(r.sid1, r.sid2): int(r.similarity) for r in sketch_similarity(hot, family).collect()} == want
+
+
+def test_stream_keeps_its_pairs_as_lists(spark, tmp_path):
+    """A row of the table of pairs has the partners of a stream, not one pair."""
+    ts = "timestamp_micros(id * 1000000)"
+    spark.range(600).selectExpr(f"{ts} AS ts", "id % 20 AS sid", "id % 2 AS item").write.parquet(f"{tmp_path}/in")
+    feed = spark.readStream.schema("ts timestamp, sid bigint, item bigint").parquet(f"{tmp_path}/in")
+    family, out = LinearHashes(buckets=8), f"{tmp_path}/out"
+    seen = []
+    run_for(
+        start_similarity(
+            feed, family, out, "120 seconds", "60 seconds", "1 second", 4, once=True,
+            on_windows=lambda pairs, batch: seen.append(pairs.count()),
+        )
+    )
+    lists, pairs = read_pair_lists(spark, out), read_pairs(spark, out)
+    assert pairs.columns == ["window_end", "sid1", "sid2", "similarity"]
+    progress = {r.window_end: r.pairs for r in read_progress(spark, out).collect()}
+    found = {r.window_end: r["count"] for r in pairs.groupBy("window_end").count().collect()}
+    assert found and found == {w: n for w, n in progress.items() if n} and sum(seen) == pairs.count()
+    assert 2 * lists.count() < pairs.count() == pairs.dropDuplicates(["window_end", "sid1", "sid2"]).count()
+    assert pairs.where("sid1 <= sid2").count() == 0
