@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepair.functions.calendar import WeekdayCalendar
+from tidepair.session import partitions_for
 from tidepair.sources.feed import utc_timestamp
 
 # A calendar without days, for a table without rows.
@@ -88,14 +89,21 @@ def item_visits(spark: SparkSession, sf_dir: str, calendar: WeekdayCalendar) ->
 
 
 def sale_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A panel with holes: sales per supplier and shipping day."""
+    """A panel with holes: sales per supplier and shipping day.
+
+    Rows are dealt by series, which all that follows groups by, over a number of partitions
+    that is stated: theirs would be merged by their bytes, and few bytes are many groups.
+    """
+    items = table(spark, sf_dir, "lineitem")
+    sales = items.select(
+        F.col("l_suppkey").cast("string").alias("series"),
+        F.col("l_shipdate").cast("date").alias("date"),
+        F.col("l_extendedprice").alias("price"),
+    )
     return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(
-            F.col("l_suppkey").cast("string").alias("series"),
-            F.col("l_shipdate").cast("date").alias("date"),
-        )
-        .agg(F.sum("l_extendedprice").alias("value"))
+        sales.repartition(partitions_for(spark, items.count()), "series")
+        .groupBy("series", "date")
+        .agg(F.sum("price").alias("value"))
     )
 
 

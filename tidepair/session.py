@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 # A table of at most this many short rows may be broadcast.  Every broadcast in
 # the package is behind this bound or a bound in bytes; larger sides are shuffled.
 BROADCAST_ROWS = 100_000
+# A task that groups rows holds some 450 bytes for each, in several hash tables.
+ROWS_PER_TASK = 250_000
 
 
 def build_session(
@@ -71,6 +73,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions that grow with the rows, so that a task's groups do not."""
+    return max(shuffle_partitions(spark), math.ceil(rows / ROWS_PER_TASK))
+
+
 def tile_side(spark: SparkSession) -> int:
     """Blocks per side so that their square gives every core a few tiles."""
     return math.ceil(math.sqrt(4 * shuffle_partitions(spark)))
