@@ -1,0 +1,133 @@
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tidepair.functions.hashing import LinearHashes
+from tidepair.operators import tiles
+from tidepair.operators.sketch import inner_products, sketch_similarity
+from tidepair.operators.tiles import SketchGridKernel, run_tiles
+
+DEPTH, BUCKETS = 3, 10
+
+
+def _batch(rng, first, rows, scale):
+    dense = rng.poisson(0.5, (rows, DEPTH * BUCKETS)) * scale
+    cells = [np.flatnonzero(r) for r in dense]
+    columns = {
+        "sid": pa.array(np.arange(first, first + rows), pa.int64()),
+        "cells": pa.array(cells, pa.list_(pa.int32())),
+        "counts": pa.array([r[c] for r, c in zip(dense, cells)], pa.list_(pa.int64())),
+    }
+    return dense.reshape(rows, DEPTH, BUCKETS), pa.RecordBatch.from_pydict(columns)
+
+
+def _pairs(batches):
+    found = {}
+    for r in (r for b in batches for r in b.to_pylist()):
+        (values,) = (r[c] for c in ("few", "small", "large") if r[c] is not None)
+        places = [(own, other) for own in r["owns"] for other in r["others"]]
+        assert r["window_end"] == 7 and len(places) == len(values) > 0
+        for (own, other), value in zip(places, values):
+            if value >= 0:
+                key = max(own, other), min(own, other), r["f"]
+                assert key not in found
+                found[key] = int(value)
+    return found
+
+
+@pytest.mark.parametrize("scale", [1, 10**4, 10**9])
+@pytest.mark.parametrize("same", [True, False])
+@pytest.mark.parametrize("per_function", [True, False])
+@pytest.mark.parametrize("times", [-1, 0, 2, 4])
+@pytest.mark.parametrize("share", [0.0, 0.6, 2.0])
+def test_pairs_in_grids(monkeypatch, scale, same, per_function, times, share):
+    """Whether all, some or no matrices become grids; the last grids of a matrix are cut."""
+    for name, value in (("PART", 7), ("LINES", 2), ("COLUMNS", 3), ("SHARE", share)):
+        monkeypatch.setattr(SketchGridKernel, name, value)
+    monkeypatch.setattr(tiles, "CHUNK", 5)
+    monkeypatch.setattr(tiles, "FLUSH_ROWS", 10)
+    rng = np.random.default_rng(3)
+    held, held_batch = _batch(rng, 100, 30, scale)
+    past, past_batch = (held, held_batch) if same else _batch(rng, 0, 20, scale)
+    threshold = max(0, times) * scale * scale
+    if times < 0:
+        monkeypatch.setattr(SketchGridKernel, "SPARSE", 0)  # every function pair by pair
+    want = {}
+    for i in range(len(held)):
+        for j in range(len(past)):
+            a, b = 100 + i, j + (100 if same else 0)
+            products = [sum(int(x) * int(y) for x, y in zip(held[i, f], past[j, f])) for f in range(DEPTH)]
+            if a > b and per_function:
+                want |= {(a, b, f): p for f, p in enumerate(products) if p > 0}
+            elif a > b and min(products) > threshold:
+                want[a, b, 0] = min(products)
+    kernel = SketchGridKernel(DEPTH, BUCKETS, threshold, per_function)
+    kernel.open((7, 0, 0 if same else 1))
+    out = [*kernel.feed(0, held_batch), *kernel.feed(1, past_batch)]
+    assert want and _pairs(out) == want
+
+
+def test_many_pairs_take_four_bytes_each():
+    """All pairs of 200 streams of small counts: no name for each pair, no 64 bits."""
+    rng = np.random.default_rng(3)
+    dense = rng.integers(1, 4, (200, DEPTH * BUCKETS))
+    cells = np.arange(DEPTH * BUCKETS, dtype=np.int32)
+    batches = [
+        pa.RecordBatch.from_pydict(
+            {
+                "sid": pa.array(np.arange(first, first + 200), pa.int64()),
+                "cells": pa.array([cells] * 200, pa.list_(pa.int32())),
+                "counts": pa.array(list(dense), pa.list_(pa.int64())),
+            }
+        )
+        for first in (0, 1000)
+    ]
+    kernel = SketchGridKernel(DEPTH, BUCKETS, 0, False)
+    kernel.open((7, 0, 1))
+    out = [*kernel.feed(0, batches[0]), *kernel.feed(1, batches[1])]
+    assert len(_pairs(out)) == 200 * 200
+    assert sum(b.nbytes for b in out) < 6 * 200 * 200
+
+
+def test_tiles_are_dealt_evenly(spark):
+    """By a hash, sixteen tiles share some of sixteen tasks and leave others without."""
+
+    class Kernel:
+        def open(self, tile):
+            self.tile = tile
+
+        def feed(self, side, batch):
+            yield pa.RecordBatch.from_pydict({"low": pa.array([self.tile[0]], pa.int64())})
+
+    rows = spark.range(16).selectExpr("id AS low", "id AS sid", "0 AS side")
+    dealt = run_tiles(rows, ["low"], "sid", Kernel, "low bigint", 16, F.col("low") + 5)
+    partitions = dealt.select("low", F.spark_partition_id()).collect()
+    assert sorted(low for low, _ in partitions) == list(range(16))
+    assert len({p for _, p in partitions}) == 16
+
+
+def test_queries_agree_with_plain_sums(spark):
+    """Small and large counts, one block and several, names up to 2^40."""
+    family = LinearHashes(buckets=8)
+    cells = {}
+    for i in range(600):
+        sid = (i % 20) << 36
+        cells[sid, i // 20 % 5, i % 7] = i % 3 + (10**9 if i % 20 == 4 else 1)
+    table = spark.createDataFrame([(*k, n) for k, n in cells.items()], "sid bigint, f int, v int, n bigint")
+    sids = sorted({k[0] for k in cells})
+    products = {
+        (a, b, f): sum(cells.get((a, f, v), 0) * cells.get((b, f, v), 0) for v in range(7))
+        for a in sids for b in sids if a > b for f in range(5)
+    }
+    least = {(a, b): min(products[a, b, f] for f in range(5)) for a, b, _ in products}
+    for threshold, size in ((0, None), (0, 6), (3, 6)):
+        for kind in ("bigint", "decimal(38,0)"):
+            found = sketch_similarity(table, family, threshold, size, kind)
+            rows = found.collect()
+            assert found.dtypes[2][1] == kind and len(rows) == len(set(rows))
+            assert {(r[0], r[1]): int(r[2]) for r in rows} == {k: p for k, p in least.items() if p > threshold}
+    rows = inner_products(table, family, kind="bigint").collect()
+    assert {tuple(r) for r in rows} == {(*k, p) for k, p in products.items() if p > 0}
